@@ -94,4 +94,5 @@ def suppressed_flag(count: Column, threshold: int = 5) -> Column:
 def element_id(value: Column, width: int = 3) -> Column:
     """Element ids as zero-padded text, so that ``1``, ``'1'`` and ``'001'`` agree."""
     text = F.trim(value.cast("string"))
-    return F.when(text.rlike("^[0-9]+$") & (F.length(text) < width), F.lpad(text, width, "0")).otherwise(text)
+    short_number = (F.length(text) < width) & text.try_cast("int").isNotNull()
+    return F.when(short_number, F.lpad(text, width, "0")).otherwise(text)

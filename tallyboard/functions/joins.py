@@ -26,8 +26,8 @@ _SPREAD = "_spread"
 
 
 def fits(df: DataFrame, rows: int = LOOKUP_ROWS) -> bool:
-    """Whether a frame has at most ``rows`` rows. Runs a job that stops at ``rows + 1``."""
-    return len(df.select(F.lit(1)).take(rows + 1)) <= rows
+    """Whether a frame has at most ``rows`` rows. Runs a job that stops after ``rows + 1``."""
+    return not df.select(F.lit(1)).offset(rows).take(1)
 
 
 def spread_left_join(df: DataFrame, other: DataFrame, keys: Sequence[str], idle: Column | None = None) -> DataFrame:

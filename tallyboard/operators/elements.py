@@ -88,16 +88,20 @@ def rule_counts(
     Predicates may prefix columns with ``a.``. A record that matches k rules gives k rows
     before the count; one that matches but has no id keeps its group with a count of 0.
     """
-    matches = [
-        F.when(F.expr(f"({r['Element_Logic']})"), F.lit(r["Element_ID"]).cast("string")) for r in rules
+    matches = [F.lit(None).cast("string")] + [
+        F.when(F.expr(f"({r['Element_Logic']})"), element_id(F.lit(r["Element_ID"]))) for r in rules
     ]
-    hits = categorised.alias("a").select(
-        F.col(record_id).alias("_id"),
-        *[F.col(_AS_DIMENSION + n).alias(n) for n in dims],
-        F.explode(F.array_compact(F.array(*matches))).alias("Element_ID"),
+    # Plain explode and filter are compiled; array_compact would be interpreted per row.
+    hits = (
+        categorised.alias("a")
+        .select(
+            F.col(record_id).alias("_id"),
+            *[F.col(_AS_DIMENSION + n).alias(n) for n in dims],
+            F.explode(F.array(*matches)).alias("Element_ID"),
+        )
+        .filter(F.col("Element_ID").isNotNull())
     )
-    counted = hits.withColumn("Element_ID", element_id(F.col("Element_ID")))
-    return counted.groupBy("Element_ID", *dims).agg(F.count("_id").alias("Value"))
+    return hits.groupBy("Element_ID", *dims).agg(F.count("_id").alias("Value"))
 
 
 def breakdowns_long(

@@ -34,7 +34,7 @@ _SQL_PERIOD = "'Period-' || lpad(CAST(month({0}) AS STRING), 2, '0') || '-' || C
 
 def records(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").join(
-        table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
+        table(spark, sf, "orders").hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")
     )
     customer = text("o_custkey")
     line = F.col("l_linenumber")
@@ -217,15 +217,15 @@ DEFS = [
 
 
 def ethnicities(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.createDataFrame(ETHNICITIES, "Main_Code_Text string, Main_Description string")
+    return spark.sql(SQL["ethnicities"])
 
 
 def overrides(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.createDataFrame(OVERRIDES, "Code string, Name string, ICB string, Region string")
+    return spark.sql(SQL["overrides"])
 
 
 def metric_defs(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.createDataFrame(DEFS, ", ".join(f"{c} string" for c in _DEF_COLUMNS))
+    return spark.sql(SQL["metric_defs"])
 
 
 def _values(rows, columns) -> str:

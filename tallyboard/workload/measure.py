@@ -299,15 +299,14 @@ _DIM_STEPS = {"providers": prepare.SQL_PROVIDERS, "commissioners": prepare.SQL_C
 _ROLLUP_STEPS = {**_ELEMENT_STEPS, "metrics": SQL_METRICS, **_DIM_STEPS}
 
 
-def _rollup(spark: SparkSession, sf: str, rows: DataFrame) -> DataFrame:
-    return metrics.hierarchy_rollup(
-        rows, prepare.provider_dimension(spark, sf), prepare.commissioner_dimension(spark, sf)
-    )
+def _orgs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Both dimensions, which several steps look up, computed once."""
+    return settle(prepare.provider_dimension(spark, sf)), settle(prepare.commissioner_dimension(spark, sf))
 
 
 @query(with_inputs(SQL_ROLLUP, f"{_RECORD_INPUTS} {_DIM_INPUTS}", _ROLLUP_STEPS))
 def hierarchy_rollup(spark, sf):
-    return _rollup(spark, sf, ratio_metrics(spark, sf))
+    return metrics.hierarchy_rollup(ratio_metrics(spark, sf), *_orgs(spark, sf))
 
 
 # --- disclosure control and quartiles ----------------------------------------------------
@@ -338,11 +337,13 @@ def suppress_and_round_counts(spark, sf):
     )
 
 
-def _total_rollup(spark: SparkSession, sf: str) -> DataFrame:
+def _total_rollup(spark: SparkSession, sf: str, orgs: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Rolled-up totals without breakdowns, which is all the published table uses."""
     counts = elements.rule_counts(_categorised(spark, sf), RULES, dims=elements.BASE_DIMENSIONS)
     rows = elements.breakdowns_long(counts, groups=[])
-    return _rollup(spark, sf, metrics.ratio_metrics(rows, _reported(spark, sf)))
+    return metrics.hierarchy_rollup(
+        metrics.ratio_metrics(rows, _reported(spark, sf)), *(orgs or _orgs(spark, sf))
+    )
 
 
 def _shown(c: str) -> str:
@@ -366,7 +367,7 @@ SQL_BANDS = f"""
 
 @query(with_inputs(SQL_BANDS, _TOTAL_INPUTS, _TOTAL_STEPS))
 def quantile_bands(spark, sf):
-    safe = publish.disclosure_safe(_total_rollup(spark, sf))
+    safe = publish.disclosure_safe(settle(_total_rollup(spark, sf)))
     safe = safe.select(*metrics.BAND_KEYS, "Org_Code", "Numerator", "Denominator", "Ratio")
     return metrics.quantile_bands(safe, metrics.BAND_KEYS, "Ratio", "Org_Code")
 
@@ -403,15 +404,6 @@ def quantile_cutoffs(spark, sf):
 # --- publishing -----------------------------------------------------------------------------
 
 
-def _dims(spark: SparkSession, sf: str) -> DataFrame:
-    return dimensions.level_dimension(
-        prepare.provider_dimension(spark, sf),
-        prepare.commissioner_dimension(spark, sf),
-        spec.NATIONAL_CODE,
-        spec.NATIONAL_NAME,
-    )
-
-
 def _sql_by_level(name: str, provider: str, commissioner: str, icb: str | None, region: str | None) -> str:
     extra = f" WHEN dat.Level = 'ICB' THEN {icb}" if icb else ""
     extra += f" WHEN dat.Level = 'Region' THEN {region}" if region else ""
@@ -452,7 +444,9 @@ _SQL_DIM_JOINS = """
     )
 )
 def decorate_by_level(spark, sf):
-    return dimensions.decorate_by_level(_total_rollup(spark, sf), _dims(spark, sf))
+    orgs = _orgs(spark, sf)
+    dims = dimensions.level_dimension(*orgs, spec.NATIONAL_CODE, spec.NATIONAL_NAME)
+    return dimensions.decorate_by_level(_total_rollup(spark, sf, orgs), dims)
 
 
 _SQL_WINDOW = (
@@ -493,8 +487,10 @@ _PUBLISH_INPUTS = f"{_TOTAL_INPUTS} metric_defs"
 
 @query(with_inputs(SQL_PUBLISHED, _PUBLISH_INPUTS, _BAND_STEPS))
 def publish_metrics(spark, sf):
-    rolled = settle(_total_rollup(spark, sf))
-    return publish.publish_metrics(rolled, inputs.metric_defs(spark, sf), _dims(spark, sf))
+    orgs = _orgs(spark, sf)
+    dims = dimensions.level_dimension(*orgs, spec.NATIONAL_CODE, spec.NATIONAL_NAME)
+    rolled = settle(_total_rollup(spark, sf, orgs))
+    return publish.publish_metrics(rolled, inputs.metric_defs(spark, sf), dims)
 
 
 _COLUMNS = [f.name for f in DASHBOARD_METRICS]

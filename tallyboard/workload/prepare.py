@@ -66,8 +66,8 @@ def remap_codes(spark, sf):
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", text("l_suppkey").alias("code")
     )
-    xref = spark.createDataFrame(_XREF, "old string, new string")
-    return ingest.remap_codes(lines, "code", xref, "old", "new")
+    xref = spark.sql(inputs._values(_XREF, ["old_code", "new_code"]))
+    return ingest.remap_codes(lines, "code", xref, "old_code", "new_code")
 
 
 _SQL_SUBMITTED = f"""
