@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import MapType
 
 from .columns import all_known
 
@@ -23,6 +24,7 @@ PRODUCT_ROWS = 20_000
 """Largest list, in rows, that is attached to every row as an array."""
 
 _SPREAD = "_spread"
+_PLACES = 32
 
 
 def fits(df: DataFrame, rows: int = LOOKUP_ROWS) -> bool:
@@ -34,13 +36,16 @@ def spread_left_join(df: DataFrame, other: DataFrame, keys: Sequence[str], idle:
     """Shuffled left join on same-named keys; rows that cannot match do not pile up.
 
     Rows with a null key, and rows for which ``idle`` holds, get a spread value
-    that no row of ``other`` has. It is the row's partition number, which a retried
-    task reproduces, so a lost executor cannot change the result.
+    that no row of ``other`` has. It is made of the row's partition number, so that
+    copies of one row part too, and a hash of its values. A retried task reproduces
+    both, so a lost executor cannot change the result.
     """
     stuck = ~all_known([F.col(k) for k in keys])
     if idle is not None:
-        stuck = stuck | idle
-    spread = F.when(stuck, F.spark_partition_id() + 1).otherwise(0)
+        stuck = stuck | F.coalesce(idle, F.lit(False))
+    values = [f.name for f in df.schema if not isinstance(f.dataType, MapType)]
+    place = F.spark_partition_id() * _PLACES + F.pmod(F.hash(*values), F.lit(_PLACES)) + 1
+    spread = F.when(stuck, place).otherwise(0)
     return (
         df.withColumn(_SPREAD, spread)
         .join(other.withColumn(_SPREAD, F.lit(0)), [*keys, _SPREAD], "left")
