@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .files import write_table
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -16,10 +19,11 @@ SETTINGS = {
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute a result that several branches read once, in the reliable checkpoint folder.
+    """Write a result that several branches read to the shared checkpoint folder, and read it back.
 
     The folder is the one the cluster names in ``spark.checkpoint.dir``. A local
     session without one gets a temporary folder; a cluster must name a shared one.
+    Parquet keeps later reads to the columns they use.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
@@ -29,7 +33,7 @@ def settle(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
             named = tempfile.mkdtemp(prefix="settle-")
         context.setCheckpointDir(named)
-    return df.checkpoint()
+    return write_table(df, f"{context.getCheckpointDir()}/{uuid.uuid4().hex}")
 
 
 def build_session(app: str, master: str | None = None, settings: dict[str, str] | None = None) -> SparkSession:

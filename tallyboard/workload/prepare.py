@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import spec
 from ..operators import dimensions, ingest, quality
+from ..sources.session import settle
 from . import inputs
 from .inputs import table, text, with_inputs
 
@@ -197,7 +198,7 @@ _SQL_CHECKED = """
     )
 )
 def clean_records(spark, sf):
-    rows = inputs.records(spark, sf)
+    rows = settle(inputs.records(spark, sf))
     checked = _check(
         rows,
         [inputs.PERSON, "HOSPITAL_SPELL_ID", "ACTIVITY_DATE"],
