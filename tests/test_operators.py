@@ -250,6 +250,7 @@ def test_bands_equal_ntile_with_ties_and_nulls(spark, rows):
     order = Window.partitionBy("g").orderBy(F.col("r").asc_nulls_first(), F.md5("org"), "org")
     expected = rows(df.withColumn("q", F.ntile(4).over(order)))
     assert rows(metrics.quantile_bands(df, ["g"], "r", "org", out="q")) == expected
+    assert rows(metrics.quantile_bands(df, ["g"], "r", "org", out="q", group_rows=100)) == expected
 
     banded = metrics.quantile_bands(df, ["g"], "r", "org", out="q")
     by_band = rows(metrics.quantile_cutoffs(banded, ["g"], "r", "q"))
