@@ -82,6 +82,7 @@ def attach_group_stats(
     keys: Sequence[str],
     stats: dict[str, Column],
     needed: Column,
+    source: DataFrame | None = None,
     rows: int = LOOKUP_ROWS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
@@ -92,9 +93,11 @@ def attach_group_stats(
     ones come back: broadcast if few, else by a shuffled join. For that join hot
     groups are answered from a broadcast (bounded, since a table of N rows has at most
     N / ``hot_rows`` of them) and their rows are spread. A null key belongs to no group.
+    ``source`` gives the rows to aggregate when ``df`` is they with columns added.
     """
     groups = (
-        df.filter(all_known([F.col(k) for k in keys]))
+        (df if source is None else source)
+        .filter(all_known([F.col(k) for k in keys]))
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"), *[c.alias(n) for n, c in stats.items()])
     )

@@ -47,6 +47,32 @@ def test_spread_left_join_does_not_pile_up_rows_that_cannot_match(skewed, spark)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+def test_a_large_lookup_is_split_at_its_hot_key(spark):
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    try:
+        key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id").cast("string")))
+        df = spark.range(0, 60_000, 1, 8).select("id", key.alias("k"))
+        lookup = spark.range(60_000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("code"), F.col("id").alias("v"))
+        lookup = lookup.union(spark.sql("SELECT 'hot', -1L"))
+        joined = joins.lookup_join(df, lookup, {"k": "code"}, rows=0)
+        values = joined.collect()
+        assert len(values) == 60_000
+        assert all(r.v == (-1 if r.k == "hot" else r.id) for r in values)
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize("limits", [{}, {"rows": 0}, {"rows": 0, "hot_rows": 100}, {"rows": 0, "hot_rows": 1}])
 def test_attach_group_stats_agrees_on_every_path(skewed, rows, limits):
     stats = {"top": F.max("id"), "n": F.count(F.lit(1))}

@@ -66,7 +66,7 @@ def test_activity_extract_pushes_filters_to_the_scan(make, tmp_path, spark):
 @pytest.fixture(params=["broadcast", "shuffled", "all groups hot"])
 def path(request, monkeypatch):
     """Run the group statistics on each of their paths."""
-    defaults = {"broadcast": (50_000, 1_000_000), "shuffled": (0, 1_000_000), "all groups hot": (0, 1)}[request.param]
+    defaults = {"broadcast": (None, 50_000, 1_000_000), "shuffled": (None, 0, 1_000_000), "all groups hot": (None, 0, 1)}[request.param]
     monkeypatch.setattr(joins.attach_group_stats, "__defaults__", defaults)
 
 
