@@ -213,9 +213,9 @@ def dashboard_metrics(spark: SparkSession, s: Settings) -> DataFrame:
     known, buyers = s.table(spark, "providers"), s.table(spark, "commissioners")
     defs = _with_named(s.read(spark, "metric_defs"), s.metric_columns)
     dims = dimensions.level_dimension(known, buyers, spec.NATIONAL_CODE, spec.NATIONAL_NAME)
-    published = publish.publish_metrics(s.table(spark, "rolled_metrics"), defs, dims)
-    published = publish.reporting_windows(
-        published,
+    # Quartile groups lie within one date and setting, so the windows can come first.
+    rolled = publish.reporting_windows(
+        s.table(spark, "rolled_metrics"),
         "Date",
         "Service_Setting",
         s.min_date,
@@ -223,6 +223,7 @@ def dashboard_metrics(spark: SparkSession, s: Settings) -> DataFrame:
         s.max_date_maternity,
         s.max_date_ip,
     )
+    published = publish.publish_metrics(rolled, defs, dims)
     published = s.write(published, "published_metrics")
     places = publish.icb_places(s.read(spark, "icb_ref"), buyers)
     dense = publish.densify_grid(published, places, defs.filter(F.col("Reporting_Flag") == "1"))

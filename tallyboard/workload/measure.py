@@ -485,12 +485,15 @@ SQL_PUBLISHED = f"""
 _PUBLISH_INPUTS = f"{_TOTAL_INPUTS} metric_defs"
 
 
+def _publish(spark: SparkSession, sf: str, rolled: DataFrame, orgs: tuple[DataFrame, DataFrame]) -> DataFrame:
+    dims = dimensions.level_dimension(*orgs, spec.NATIONAL_CODE, spec.NATIONAL_NAME)
+    return publish.publish_metrics(rolled, inputs.metric_defs(spark, sf), dims)
+
+
 @query(with_inputs(SQL_PUBLISHED, _PUBLISH_INPUTS, _BAND_STEPS))
 def publish_metrics(spark, sf):
     orgs = _orgs(spark, sf)
-    dims = dimensions.level_dimension(*orgs, spec.NATIONAL_CODE, spec.NATIONAL_NAME)
-    rolled = settle(_total_rollup(spark, sf, orgs))
-    return publish.publish_metrics(rolled, inputs.metric_defs(spark, sf), dims)
+    return _publish(spark, sf, settle(_total_rollup(spark, sf, orgs)), orgs)
 
 
 _COLUMNS = [f.name for f in DASHBOARD_METRICS]
@@ -531,8 +534,10 @@ SQL_DENSE = f"""
     )
 )
 def densify_grid(spark, sf):
-    published = publish.reporting_windows(
-        publish_metrics(spark, sf),
+    orgs = _orgs(spark, sf)
+    # Quartile groups lie within one date and setting, so the windows can come first.
+    rolled = publish.reporting_windows(
+        settle(_total_rollup(spark, sf, orgs)),
         "Date",
         "Service_Setting",
         inputs.SINCE,
@@ -540,5 +545,6 @@ def densify_grid(spark, sf):
         inputs.UNTIL_MATERNITY,
         inputs.UNTIL,
     )
-    places = publish.icb_places(inputs.icb_ref(spark, sf), prepare.commissioner_dimension(spark, sf))
-    return publish.densify_grid(settle(published), places, _reported(spark, sf))
+    places = publish.icb_places(inputs.icb_ref(spark, sf), orgs[1])
+    published = settle(_publish(spark, sf, rolled, orgs))
+    return publish.densify_grid(published, places, _reported(spark, sf))
