@@ -108,7 +108,6 @@ DEPRIVATION_SNAPSHOT = "2019-12-31"
 
 # --- fixed values: rule and metric definition tables ------------------------------
 RECORD_ELEMENT_SOURCE = "Tobacco Patient Level Dataset"
-ACTIVITY_ELEMENT_SOURCE = "SUS+"
 PROPORTION = "Proportion"
 
 # --- fixed values: aggregate columns -> element (id, service setting, activity) -----

@@ -4,7 +4,6 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 import check_oracles
 from tallyboard.functions import joins
 
