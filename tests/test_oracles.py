@@ -7,6 +7,7 @@ import __spark_entry__ as entry
 import check_oracles
 
 SF = "/root/testdata/sf0.001"
+NAMES = [name for area in (entry.prepare, entry.measure, entry.score) for name in area.QUERIES]
 
 
 @pytest.fixture(scope="module")
@@ -18,10 +19,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(NAMES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, con, name):
     ok, note = check_oracles.compare(spark, con, SF, name)
     assert ok, note
