@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.joins import spread_left_join
+from ..functions.joins import fits, spread_left_join
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -54,7 +54,15 @@ def answer(rows: DataFrame, groups: DataFrame, keys: Sequence[str], values: Sequ
     return joined.withColumns({v: found[v] for v in values}).drop("_hot", "_cold")
 
 
-def slices(column: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def drop_rows(docs: DataFrame, ids: DataFrame, doc_id: str, rows: int = 1_000_000) -> DataFrame:
+    """``docs`` without the ids in the one column of ``ids``, which are broadcast if measured to be at most ``rows``."""
+    key = ids.columns[0]
+    other = ids.select(F.col(key).alias("_drop"))
+    other = F.broadcast(other) if fits(ids, rows) else other
+    return docs.join(other, docs[doc_id] == other["_drop"], "left_anti")
+
+
+def slices(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Cut a binary column into stretches of about ``limit`` bytes.
 
     Yields (first row, end row, bytes of the stretch, offsets into them). A text
