@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, exact_dedup, language_id, licenses, mixing
+from . import decontaminate, exact_dedup, language_id, licenses, mixing, warc
 from .common import table
 
 
+def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured_at", "range", "place")
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -34,6 +39,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_warc_archive": op4_warc_archive,
     "op6_license_scan": op6_license_scan,
     "op7_decontaminate": op7_decontaminate,
     "op8_mix_sources": op8_mix_sources,
