@@ -9,6 +9,7 @@ a longer prefix wins at once, and only equal ones are compared, from there on.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -125,34 +126,29 @@ def cut_run(items: list[Item], splitters: list[bytes]) -> Iterator[tuple[int, by
         yield at, encode(part, prefixes)
 
 
-def pick_splitters(keys: DataFrame, per_range: int, clip: int | None = None) -> list[bytes]:
-    """Splitters for ranges of about ``per_range`` of the strings in the one column of ``keys``.
+def pick_splitters(keys: DataFrame, ranges: int) -> list[bytes]:
+    """Splitters for about ``ranges`` ranges of the strings in the one column of ``keys``.
 
-    About SAMPLES strings per range come to the driver, chosen by hash; ``clip`` cuts
-    them to a prefix, so that strings which share it stay in one range.
+    About SAMPLES strings per range come to the driver, chosen by hash.
     """
     name = keys.columns[0]
-    total = keys.count()
-    ranges = -(-total // per_range)
     if ranges < 2:
         return []
-    every = max(1, total // (ranges * SAMPLES))
-    chosen = keys.filter(F.pmod(F.xxhash64(name), F.lit(every)) == 0)
-    short = F.substring(name, 1, clip) if clip else F.col(name)
-    found = sorted(bytes(r[0]) for r in chosen.select(short).collect())
+    every = max(1, keys.count() // (ranges * SAMPLES))
+    found = sorted(bytes(r[0]) for r in keys.filter(F.pmod(F.xxhash64(name), F.lit(every)) == 0).collect())
     return sorted({found[i * len(found) // ranges] for i in range(1, ranges)}) if found else []
 
 
 def send_runs(rows: DataFrame, splitters: list[bytes], run_bytes: int = RUN_BYTES) -> DataFrame:
-    """(range, blob) of sorted front-coded runs from rows of (key binary, value binary)."""
+    """(range, run, blob) of sorted front-coded runs from rows of (key binary, value binary)."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[Item] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
-            out = list(cut_run(held, splitters))
-            return pa.RecordBatch.from_arrays([pa.array([r for r, _ in out], pa.int32()), pa.array([b for _, b in out], pa.binary())], names=["range", "blob"])
+            run, out = uuid.uuid4().hex, list(cut_run(held, splitters))
+            return pa.RecordBatch.from_arrays([pa.array([r for r, _ in out], pa.int32()), pa.array([run] * len(out)), pa.array([b for _, b in out], pa.binary())], names=["range", "run", "blob"])
 
         for batch in batches:
             for key, value in zip(batch.column("key").to_pylist(), batch.column("value").to_pylist()):
@@ -164,25 +160,25 @@ def send_runs(rows: DataFrame, splitters: list[bytes], run_bytes: int = RUN_BYTE
         if held:
             yield flush()
 
-    return rows.select("key", "value").mapInArrow(build, "range int, blob binary")
+    return rows.select("key", "value").mapInArrow(build, "range int, run string, blob binary")
 
 
-def merge_ranges(runs: DataFrame, handle: Callable[[int, Iterator[tuple[bytes, int, bytes]]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """Combine the runs of each range in one task and hand the merged stream to ``handle``.
+def combine_ranges(runs: DataFrame, handle: Callable[[int, list[tuple[str, bytes]]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """Give the (run, blob) pieces of each range to ``handle``, which merges them.
 
     A task holds the front-coded pieces of one range at a time.
     """
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, blobs = None, []
+        at, pieces = None, []
         for batch in batches:
-            for number, blob in zip(batch.column("range").to_pylist(), batch.column("blob").to_pylist()):
-                if number != at and blobs:
-                    yield from handle(at, merge([decode(b) for b in blobs]))
-                    blobs = []
+            for number, run, blob in zip(*(batch.column(c).to_pylist() for c in ("range", "run", "blob"))):
+                if number != at and pieces:
+                    yield from handle(at, pieces)
+                    pieces = []
                 at = number
-                blobs.append(blob)
-        if blobs:
-            yield from handle(at, merge([decode(b) for b in blobs]))
+                pieces.append((run, blob))
+        if pieces:
+            yield from handle(at, pieces)
 
-    return runs.repartition("range").sortWithinPartitions("range").mapInArrow(combine, schema)
+    return runs.select("range", "run", "blob").repartition("range").sortWithinPartitions("range", "run").mapInArrow(combine, schema)

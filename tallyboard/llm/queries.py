@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, exact_dedup, language_id, licenses, mixing, warc
+from . import decontaminate, exact_dedup, language_id, licenses, mixing, suffix_dedup, warc
 from .common import table
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), kept=False).drop("kept")
+
+
 def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.archive_pages(table(spark, sf_dir, "pages"))
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured_at", "range", "place")
@@ -39,6 +43,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_warc_archive": op4_warc_archive,
     "op6_license_scan": op6_license_scan,
     "op7_decontaminate": op7_decontaminate,

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.joins import fits
 from ..sources.session import settle
 from .common import answer, utf8
-from .merge import merge_ranges, pick_splitters, send_runs
+from .merge import combine_ranges, decode, merge, pick_splitters, send_runs
 
 LEAST = 100
 """Smallest payload, in bytes, that a revisit may refer to."""
@@ -171,11 +171,11 @@ def index_captures(records: DataFrame, range_captures: int = RANGE_CAPTURES) ->
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(values, pa.binary())], names=["key", "value"])
 
     rows = settle(records.select(*names).mapInArrow(keyed, "key binary, value binary"))
-    splitters = pick_splitters(rows.select("key"), range_captures)
+    splitters = pick_splitters(rows.select("key"), -(-rows.count() // range_captures))
 
-    def handle(number: int, merged: Iterator[tuple[bytes, int, bytes]]) -> Iterator[pa.RecordBatch]:
+    def handle(number: int, pieces: list[tuple[str, bytes]]) -> Iterator[pa.RecordBatch]:
         out, at, history = [], None, 0
-        for place, (key, _, value) in enumerate(merged):
+        for place, (key, _, value) in enumerate(merge(decode(blob) for _, blob in pieces)):
             host = key.split(b"\0", 1)[0]
             history = history + 1 if host == at else 0
             at = host
@@ -187,7 +187,7 @@ def index_captures(records: DataFrame, range_captures: int = RANGE_CAPTURES) ->
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _INDEX_ARROW)], schema=_INDEX_ARROW)
 
-    return merge_ranges(send_runs(rows, splitters), handle, _INDEX)
+    return combine_ranges(send_runs(rows, splitters), handle, _INDEX)
 
 
 def archive_folder(spark: SparkSession) -> str:
