@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, exact_dedup, language_id, licenses, mixing, suffix_dedup, warc
+from . import class_lm, decontaminate, exact_dedup, language_id, licenses, mixing, suffix_dedup, warc
 from .common import table
 
 
+def op2_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), kept=False).drop("kept")
 
@@ -43,6 +47,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_class_lm": op2_class_lm,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_warc_archive": op4_warc_archive,
     "op6_license_scan": op6_license_scan,
