@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import class_lm, decontaminate, exact_dedup, language_id, licenses, mixing, suffix_dedup, warc
+from . import class_lm, decontaminate, exact_dedup, jaccard_join, language_id, licenses, mixing, suffix_dedup, warc
 from .common import table
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "n_links", "kept")
+
+
 def op2_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return class_lm.score_texts(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_class_lm": op2_class_lm,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_warc_archive": op4_warc_archive,

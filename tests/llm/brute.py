@@ -21,3 +21,41 @@ def repeats(texts, length):
         kept = bytes(b for b, g in zip(raw, gone) if not g)
         out.append((len(raw), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
     return out
+
+
+def shingles(text, size=5):
+    import re
+
+    words = re.findall(rb"[0-9a-z\x80-\xff]+", bytes(c + 32 if 65 <= c <= 90 else c for c in (text or "").encode()))
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1)))
+
+
+def jaccard(texts, threshold=0.8):
+    """Number of links and class (smallest position) per text, comparing all pairs that share a shingle."""
+    sets = [shingles(t) for t in texts]
+    where = {}
+    for i, s in enumerate(sets):
+        for g in s:
+            where.setdefault(g, []).append(i)
+    links, up = [0] * len(sets), list(range(len(sets)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, s in enumerate(sets):
+        count = {}
+        for g in s:
+            for j in where[g]:
+                if j < i:
+                    count[j] = count.get(j, 0) + 1
+        for j, n in count.items():
+            if n >= threshold * (len(s) + len(sets[j]) - n) - 1e-9:
+                links[i] += 1
+                links[j] += 1
+                a, b = root(i), root(j)
+                up[max(a, b)] = min(a, b)
+    return links, [root(i) for i in range(len(sets))]
