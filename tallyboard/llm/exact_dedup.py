@@ -27,26 +27,28 @@ WANTED_ROWS = 500_000
 """Most repeated keys (40 bytes each) that are broadcast to fetch their texts; beyond it the join is shuffled."""
 
 
-def _cell(key: Column) -> Column:
-    return F.shiftrightunsigned(key, 64 - MAX_DEPTH)
+def _cell(key: Column, depth: int = MAX_DEPTH) -> Column:
+    return F.shiftrightunsigned(key, 64 - depth)
 
 
 def build_directory(entries: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame, int]:
     """The directory (cell, bucket, depth) for entries with a ``key``, and its global depth.
 
-    A cell is the first MAX_DEPTH bits of a key, a bucket is named by its first cell.
-    A bucket that is still overfull at MAX_DEPTH stays so; its owner only takes longer.
+    A cell is as many bits of a key as the global depth; a bucket is named by its first
+    cell. A bucket that is still overfull at MAX_DEPTH stays so; its owner only takes longer.
     """
     cells = settle(entries.groupBy(_cell(F.col("key")).alias("cell")).agg(F.count("*").alias("load"), F.lit(0).alias("depth")))
-    for depth in range(1, MAX_DEPTH + 1):
-        prefix = F.shiftright("cell", MAX_DEPTH - depth)
+    for doubled in range(1, MAX_DEPTH + 1):
+        prefix = F.shiftright("cell", MAX_DEPTH - doubled)
         inside = F.sum("load").over(Window.partitionBy(prefix))
-        stays = (F.col("depth") == 0) & ((inside <= capacity) | F.lit(depth == MAX_DEPTH))
-        cells = settle(cells.withColumn("depth", F.when(stays, depth).otherwise(F.col("depth"))))
+        stays = (F.col("depth") == 0) & ((inside <= capacity) | F.lit(doubled == MAX_DEPTH))
+        cells = settle(cells.withColumn("depth", F.when(stays, doubled).otherwise(F.col("depth"))))
         if cells.filter("depth = 0").isEmpty():
             break
-    bucket = F.expr(f"shiftleft(shiftright(cell, {MAX_DEPTH} - depth), {MAX_DEPTH} - depth)")
-    return cells.select("cell", bucket.alias("bucket"), "depth"), depth
+    own = F.expr(f"shiftleft(shiftright(cell, {MAX_DEPTH} - depth), {MAX_DEPTH} - depth)")
+    down = MAX_DEPTH - doubled
+    placed = cells.select(F.shiftright("cell", down).alias("cell"), F.shiftright(own, down).alias("bucket"), "depth")
+    return settle(placed.distinct()), doubled
 
 
 def _send_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,7 +105,7 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", cap
     keyed = settle(docs.select(F.col(doc_id).alias("id"), key.alias("key"), sha.alias("sha")))
     entries = settle(keyed.groupBy("key", "sha").agg(F.max("id").alias("keep"), F.count("*").alias("n")))
     total = keyed.count()
-    directory, _ = build_directory(entries, capacity)
+    directory, depth = build_directory(entries, capacity)
 
     shared = entries.groupBy("key").agg(F.sum("n").alias("rows")).filter("rows > 1").select("key")
     texts = docs.select(key.alias("key"), sha.alias("sha"), body.alias("body"))
@@ -113,7 +115,7 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", cap
         texts = texts.join(shared, "key", "left_semi")
     sent = texts.mapInArrow(_send_once, "key long, sha binary, body binary")
     owned = (
-        sent.withColumn("cell", _cell(F.col("key")))
+        sent.withColumn("cell", _cell(F.col("key"), depth))
         .join(F.broadcast(directory), "cell")
         .repartition("bucket")
         .sortWithinPartitions("bucket", "key", "sha")
@@ -121,7 +123,7 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", cap
     )
     chains = owned.mapInArrow(_chain, "key long, sha binary, place int")
     index = settle(
-        entries.withColumn("cell", _cell(F.col("key")))
+        entries.withColumn("cell", _cell(F.col("key"), depth))
         .join(F.broadcast(directory), "cell")
         .join(chains, ["key", "sha"], "left")
         .select("bucket", "depth", "key", "sha", "keep", "n", F.coalesce("place", F.lit(1)).alias("place"))
