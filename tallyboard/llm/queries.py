@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import class_lm, decontaminate, exact_dedup, jaccard_join, language_id, licenses, mixing, suffix_dedup, warc
+from . import class_lm, decontaminate, exact_dedup, jaccard_join, language_id, licenses, mixing, secret_scan, suffix_dedup, warc
 from .common import table
 
 
@@ -27,6 +27,10 @@ def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured_at", "range", "place")
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_class_lm": op2_class_lm,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_warc_archive": op4_warc_archive,
+    "op5_secret_scan": op5_secret_scan,
     "op6_license_scan": op6_license_scan,
     "op7_decontaminate": op7_decontaminate,
     "op8_mix_sources": op8_mix_sources,
