@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,8 @@ HOT_SHARE = 4096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the test data. Python workers of a local session get this package's folder on their path."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -54,12 +57,23 @@ def answer(rows: DataFrame, groups: DataFrame, keys: Sequence[str], values: Sequ
     return joined.withColumns({v: found[v] for v in values}).drop("_hot", "_cold")
 
 
-def drop_rows(docs: DataFrame, ids: DataFrame, doc_id: str, rows: int = 1_000_000) -> DataFrame:
-    """``docs`` without the ids in the one column of ``ids``, which are broadcast if measured to be at most ``rows``."""
-    key = ids.columns[0]
-    other = ids.select(F.col(key).alias("_drop"))
-    other = F.broadcast(other) if fits(ids, rows) else other
-    return docs.join(other, docs[doc_id] == other["_drop"], "left_anti")
+def without(docs: DataFrame, keys: Sequence[Column], gone: DataFrame, rows: int = 500_000, once: bool = False) -> DataFrame:
+    """``docs`` without the rows whose ``keys`` are in ``gone``, which is broadcast if measured to be at most ``rows``.
+
+    ``once`` also keeps only one row for equal keys. Null equals null. Helper columns
+    get names that ``docs`` does not have.
+    """
+    stem = "_"
+    while any(c.startswith(stem) for c in docs.columns):
+        stem += "_"
+    mine, theirs = [f"{stem}{i}" for i in range(len(keys))], [f"{stem}{i}gone" for i in range(len(keys))]
+    other = gone.toDF(*theirs)
+    other = F.broadcast(other) if fits(other, rows) else other
+    same = F.lit(True)
+    for a, b in zip(mine, theirs):
+        same = same & F.col(a).eqNullSafe(F.col(b))
+    left = docs.withColumns(dict(zip(mine, keys))).join(other, same, "left_anti")
+    return (left.dropDuplicates(mine) if once else left).drop(*mine)
 
 
 def slices(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..sources.session import settle
-from .common import drop_rows, slices, utf8
+from .common import slices, utf8, without
 from .wordhash import IS_PLAIN, find_words, hash_runs, hash_spans, mix
 
 SHINGLE = 5
@@ -173,5 +173,5 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item; rows with a null id stay."""
     found = find_leaks(docs, benchmark, doc_id, text, **options)
-    leaked = settle(found.filter(F.size("item_ids") > 0).select("doc_id"))
-    return drop_rows(docs, leaked, doc_id)
+    leaked = settle(found.filter((F.size("item_ids") > 0) & F.col("doc_id").isNotNull()).select("doc_id"))
+    return without(docs, [F.col(doc_id)], leaked)

@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 
 from ..functions.joins import fits
 from ..sources.session import settle
-from .common import answer, lower_ascii
+from .common import answer, lower_ascii, without
 
 CAPACITY = 50_000
 MAX_DEPTH = 20
@@ -139,6 +139,15 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", cap
     )
 
 
+def keep_last_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of equal texts; of rows that repeat the kept id and text one stays."""
+    found = settle(exact_dedup(docs, doc_id, text, **options))
+    dropped = found.filter("not kept").select("doc_id", "text_sha256").distinct()
+    again = found.filter("kept and group_size > 1").groupBy("doc_id", "text_sha256").count().filter("count > 1")
+    keys = [F.col(doc_id), F.sha2(lower_ascii(F.col(text)).cast("binary"), 256)]
+    return without(docs, keys, dropped, once=not again.isEmpty())
+
+
 ORACLE = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(body) AS text_sha256

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.joins import fits
 from ..sources.session import settle
-from .common import answer, drop_rows, slices, utf8
+from .common import answer, slices, utf8, without
 from .components import connected_components
 from .wordhash import IS_PLAIN, find_words, hash_runs, hash_spans, mix
 
@@ -326,10 +326,7 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", th
 def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each class; of rows that repeat a kept id and text one stays."""
     found = settle(jaccard_join(docs, doc_id, text, **options))
-    keyed = docs.withColumns({"_name": F.coalesce(F.col(doc_id).cast("string"), F.lit("")), "_h": F.xxhash64(utf8(F.col(text)))})
     dropped = found.filter("not kept").select("name", "h").distinct()
-    other = F.broadcast(dropped) if fits(dropped, 500_000) else dropped
-    left = keyed.join(other, (F.col("_name") == F.col("name")) & (F.col("_h") == F.col("h")), "left_anti")
-    if not found.filter("kept and n_links > 0").groupBy("name", "h").count().filter("count > 1").isEmpty():
-        left = left.dropDuplicates(["_name", "_h"])
-    return left.drop("_name", "_h")
+    again = found.filter("kept and n_links > 0").groupBy("name", "h").count().filter("count > 1")
+    keys = [F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.xxhash64(utf8(F.col(text)))]
+    return without(docs, keys, dropped, once=not again.isEmpty())
