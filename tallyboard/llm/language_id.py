@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..sources.session import settle
-from .common import drop_rows, remainder, slices, utf8
+from .common import remainder, slices, utf8, without
 from .wordhash import LOWER, find_words, hash_spans
 
 UNKNOWN = "und"
@@ -31,6 +31,7 @@ PIECE = 32
 CACHE = 500_000
 """Words whose labels a task remembers before it starts over."""
 _SPACE = 32
+_DRAWS = 1 << 20
 IS_LETTER = np.array([c >= 0x80 or 65 <= c <= 90 or 97 <= c <= 122 for c in range(256)])
 
 
@@ -68,7 +69,7 @@ class Direction:
     def backward(self, trace: list, upper: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Gradients of table and weights, given those of the states."""
         n = self.weights.shape[0]
-        d_table, d_weights = np.zeros_like(self.table), np.zeros_like(self.weights)
+        d_weights, given = np.zeros_like(self.weights), []
         d_h = np.zeros(upper.shape[1:], np.float32)
         for t in range(len(trace) - 1, -1, -1):
             x, before, z, r, new, kept = trace[t]
@@ -78,10 +79,11 @@ class Direction:
             d_r = d_new * kept * r * (1 - r)
             d_given = np.concatenate([d_z, d_r, d_new], axis=1)
             d_kept = np.concatenate([d_z, d_r, d_new * r], axis=1)
-            np.add.at(d_table, x, d_given)
+            given.append(d_given)
             d_weights += before.T @ d_kept
             d_h = d_h * z + d_kept @ self.weights.T
-        return d_table, d_weights
+        seen = np.concatenate([step[0] for step in reversed(trace)])[:, None] == np.arange(256)
+        return seen.astype(np.float32).T @ np.concatenate(given), d_weights
 
 
 class Network:
@@ -159,12 +161,19 @@ def framed(x: np.ndarray) -> np.ndarray:
 
 
 def training_words(docs: DataFrame, doc_id: str, text: str, lang: str, sample_docs: int, sample_words: int, fold: tuple[int, int]) -> list[tuple[str, str]]:
-    """A bounded sample of (language, word) from labelled documents outside the held-out fold."""
+    """A bounded sample of (language, word) from labelled documents outside the held-out fold.
+
+    Documents are drawn by hash at twice the wanted rate before the exact first ones are
+    taken, so no task ranks a whole language. There is one count per language.
+    """
     labelled = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull() & (remainder(F.col(doc_id), fold[0]) != fold[1])).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(doc_id).cast("string")).alias("at")
     )
-    ids = labelled.select("lang", "at", F.xxhash64("text").alias("body"))
-    ids = ids.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("at", "body"))).filter(F.col("place") <= sample_docs).select("lang", "at", "body").distinct()
+    slim = labelled.select("lang", "at", F.xxhash64("text").alias("body"))
+    counts = slim.groupBy("lang").agg(F.count("*").alias("n"))
+    drawn = slim.join(F.broadcast(counts), "lang").filter(F.pmod("at", F.lit(_DRAWS)) * F.col("n") < 2 * sample_docs * _DRAWS)
+    first = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("at", F.lit(_DRAWS)), "at", "body"))
+    ids = drawn.withColumn("place", first).filter(F.col("place") <= sample_docs).select("lang", "at", "body").distinct()
     chosen = labelled.withColumn("body", F.xxhash64("text")).join(F.broadcast(ids), ["lang", "at", "body"], "left_semi")
     words = chosen.select("lang", F.posexplode(F.split(F.lower("text"), r"[\x20\x09-\x0D]+")).alias("place", "word"), "at").filter("word <> ''")
     ranked = words.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("word", "at", "place"), "word")))
@@ -256,5 +265,5 @@ def keep_identified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """``docs`` without those whose language is ``und``; rows with a null id stay."""
     network = train_network(docs, doc_id, text, **options)
     found = identify(docs, network, doc_id, text)
-    rejected = settle(found.filter(F.col("lang_pred") == UNKNOWN).select("doc_id"))
-    return drop_rows(docs, rejected, doc_id)
+    rejected = settle(found.filter((F.col("lang_pred") == UNKNOWN) & F.col("doc_id").isNotNull()).select("doc_id"))
+    return without(docs, [F.col(doc_id)], rejected)

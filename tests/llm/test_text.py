@@ -53,7 +53,7 @@ def test_model_adds_up_to_one():
     k = int(model.of.max()) + 1
     for c in range(k):
         inside = model.of == c
-        assert 10 ** model.sizes[inside][0] == pytest.approx((pairs.sum(0) + words)[inside].sum() + 1)
+        assert 10 ** model.sizes[c] == pytest.approx((pairs.sum(0) + words)[inside].sum() + 1)
     assert (model.of == model.of[0]).sum() == 1
 
 
