@@ -195,6 +195,11 @@ def expected_providers(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+CATEGORY_COLUMNS = (
+    "RecordID ODS_CODE SETTING_TYPE ACTIVITY_TYPE ACTIVITY_DATE GENDER ETHNICITY SMOKINGSTATUS INHOUSE_REFERRAL "
+    "LSOA_OF_RESIDENCE Der_Age_at_CDS_Activity_Date"
+).split()
+"""What the categories and the rules below read of a record."""
 ETHNICITIES = [("A", "British"), ("D", "Mixed"), ("H", "Indian"), ("M", "African")]
 OVERRIDES = [("3", "Third supplier", "N1", "R2"), ("5", None, "N2", None)]
 RULES = [
@@ -212,6 +217,7 @@ DEFS = [
     ("M1", "Returned", "Use", "Proportion", "All", "1", "2", "1", "Returned lines", "Lines", "flag", "All lines", "Lines", "any"),
     ("M2", "Discounted", "Use", "Proportion", "Maternity", "1", "003", "001", "Discounted lines", "Lines", "discount", "All lines", "Lines", "any"),
     ("M3", "Small", "Volume", "Count", None, "1", "004", None, "Small lines", "Lines", "size", None, None, None),
+    ("M5", "Recorded", "Use", "Proportion", "All", "1", "1", "010", "Recorded", "Counts", "sum", "Activity", "Events", "count"),
     ("M4", "Same", "Volume", "Proportion", "All", "0", "1", "1", "All lines", "Lines", "any", "All lines", "Lines", "any"),
 ]
 

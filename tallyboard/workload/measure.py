@@ -27,34 +27,28 @@ def query(sql: str):
 
 # --- categories and rule counts ------------------------------------------------
 
-SQL_CATEGORIES = """
-    SELECT a.*, b.Main_Description, c.IMD_Decile,
-           CAST(date_trunc('month', ACTIVITY_DATE) AS DATE) AS d_date, ODS_CODE AS d_provider, SubICB_Code AS d_commissioner,
-           CASE WHEN SETTING_TYPE IN ('1','2') THEN 'All other services' WHEN SETTING_TYPE = '3' THEN 'Maternity services'
-                ELSE 'All other services' END AS d_setting,
-           CASE WHEN SETTING_TYPE = '1' AND ACTIVITY_TYPE = '1' THEN 'Acute Inpatient'
-                WHEN SETTING_TYPE = '1' AND ACTIVITY_TYPE = '2' THEN 'Acute Outpatient'
-                WHEN SETTING_TYPE = '2' AND ACTIVITY_TYPE IN ('1','3') THEN 'Mental Health Inpatient'
-                WHEN SETTING_TYPE = '2' AND ACTIVITY_TYPE = '4' THEN 'Specialist Community Mental Health'
-                WHEN SETTING_TYPE = '3' THEN 'Maternity' ELSE 'Other activity' END AS d_activity,
-           CASE GENDER WHEN '1' THEN 'Male' WHEN '2' THEN 'Female' WHEN '3' THEN 'Is not stated' ELSE 'Unknown' END AS d_gender,
-           CASE WHEN CAST(Der_Age_at_CDS_Activity_Date AS INTEGER) < 18 THEN 'Under 18'
-                WHEN CAST(Der_Age_at_CDS_Activity_Date AS INTEGER) BETWEEN 18 AND 34 THEN '18-34'
-                WHEN CAST(Der_Age_at_CDS_Activity_Date AS INTEGER) BETWEEN 35 AND 43 THEN '35-44'
-                WHEN CAST(Der_Age_at_CDS_Activity_Date AS INTEGER) BETWEEN 45 AND 59 THEN '45-59'
-                WHEN CAST(Der_Age_at_CDS_Activity_Date AS INTEGER) >= 60 THEN '60 and over' ELSE 'Unknown' END AS d_age,
-           b.Main_Description AS d_ethnicity,
-           CASE WHEN ETHNICITY IN ('A','B','C') THEN 'White'
-                WHEN ETHNICITY IN ('D','E','F','G') THEN 'Mixed or multiple ethnic groups'
-                WHEN ETHNICITY IN ('H','J','K','L') THEN 'Asian or Asian British'
-                WHEN ETHNICITY IN ('M','N','P') THEN 'Black, African, Caribbean or Black British'
-                WHEN ETHNICITY IN ('R','S') THEN 'Other ethnic group' ELSE 'Is not stated' END AS d_group,
-           CASE WHEN IMD_Decile IN ('1','2') THEN 'Quintile 1 - Most deprived' WHEN IMD_Decile IN ('3','4') THEN 'Quintile 2'
-                WHEN IMD_Decile IN ('5','6') THEN 'Quintile 3' WHEN IMD_Decile IN ('7','8') THEN 'Quintile 4'
-                WHEN IMD_Decile IN ('9','10') THEN 'Quintile 5 - Least deprived' ELSE 'Unknown' END AS d_quintile
-    FROM records a
-    LEFT JOIN (SELECT DISTINCT Main_Code_Text, Main_Description FROM ethnicities) b ON a.ETHNICITY = b.Main_Code_Text
-    LEFT JOIN areas_ref c ON a.LSOA_OF_RESIDENCE = c.LSOA_Code"""
+def _sql_codes(column: str, labels, default: str) -> str:
+    """Label of a code by one lookup in the programme's table of codes."""
+    cases = " ".join(f"WHEN {column} IN ({', '.join(repr(c) for c in codes)}) THEN '{label}'" for codes, label in labels)
+    return f"CASE {cases} ELSE '{default}' END"
+
+
+def _sql_code_pairs(first: str, second: str) -> str:
+    cases = []
+    for a, b, label in spec.ACTIVITY_TYPES:
+        test = f"{first} IN ({', '.join(map(repr, a))})" + ("" if b is None else f" AND {second} IN ({', '.join(map(repr, b))})")
+        cases.append(f"WHEN {test} THEN '{label}'")
+    return f"CASE {' '.join(cases)} ELSE '{spec.ACTIVITY_TYPE_ELSE}' END"
+
+
+def _sql_bands(column: str) -> str:
+    cases = []
+    for low, below, label in spec.AGE_BANDS:
+        tests = ([f"{column} >= {low}"] if low is not None else []) + ([f"{column} < {below}"] if below is not None else [])
+        cases.append(f"WHEN {' AND '.join(tests)} THEN '{label}'")
+    return f"CASE {' '.join(cases)} ELSE '{spec.AGE_ELSE}' END"
+
+
 _DIM_SQL = dict(
     zip(
         elements.DIMENSIONS,
@@ -63,6 +57,30 @@ _DIM_SQL = dict(
 )
 
 
+def sql_categories(source: str = "records", commissioner: str = "SubICB_Code") -> str:
+    """Records with their labels: the lookups first, then every label from the looked-up row."""
+    values = {
+        "d_date": "CAST(date_trunc('month', ACTIVITY_DATE) AS DATE)",
+        "d_provider": "ODS_CODE",
+        "d_commissioner": commissioner,
+        "d_setting": _sql_codes("SETTING_TYPE", spec.SERVICE_SETTINGS, spec.SERVICE_SETTING_ELSE),
+        "d_activity": _sql_code_pairs("SETTING_TYPE", "ACTIVITY_TYPE"),
+        "d_gender": _sql_codes("GENDER", spec.GENDERS, spec.GENDER_ELSE),
+        "d_age": _sql_bands("CAST(Der_Age_at_CDS_Activity_Date AS DOUBLE)"),
+        "d_ethnicity": "Main_Description",
+        "d_group": _sql_codes("ETHNICITY", spec.ETHNIC_GROUPS, spec.ETHNIC_GROUP_ELSE),
+        "d_quintile": _sql_codes("IMD_Decile", spec.QUINTILES, spec.QUINTILE_ELSE),
+    }
+    looked_up = (
+        f"SELECT {source}.*, (SELECT max(Main_Description) FROM ethnicities WHERE Main_Code_Text = ETHNICITY) AS Main_Description, "
+        f"areas_ref.IMD_Decile FROM {source} LEFT JOIN areas_ref ON LSOA_Code = LSOA_OF_RESIDENCE"
+    )
+    return f"SELECT looked_up.*, {', '.join(f'{v} AS {k}' for k, v in values.items())} FROM ({looked_up}) AS looked_up"
+
+
+SQL_CATEGORIES = sql_categories()
+
+
 def _sql_counts(dims) -> str:
     shown = ", ".join(f"{_DIM_SQL[d]} AS {d}" for d in dims)
     by = ", ".join(_DIM_SQL[d] for d in dims)
@@ -124,13 +142,7 @@ def breakdowns_long(spark, sf):
 # --- elements from aggregates and activity ----------------------------------------
 
 _SQL_PERIOD_MONTH = "CAST(right({0}, 4) || '-' || left(right({0}, 7), 2) || '-01' AS DATE)"
-_SQL_ELEMENT = (
-    "SELECT '{element}' AS Element_ID, {date} AS Date, {org} AS Provider_Code, CAST(NULL AS STRING) AS Commissioner_Code, "
-    "'{setting}' AS Service_Setting, '{activity}' AS Activity_Type, 'Total' AS Health_Inequalities_Group, "
-    "'Total' AS Health_Inequalities_SubGroup, {value} AS Value FROM {source} a "
-    "INNER JOIN (SELECT DISTINCT ODS_Code FROM providers) b ON {org} = b.ODS_Code {where} GROUP BY {date}, {org}"
-)
-_SQL_PLACES = {"providers": "SELECT ODS_Code FROM (SELECT Organisation_Code AS ODS_Code FROM providers_ref WHERE Is_Latest = 1) AS p"}
+_SQL_PLACES = {"providers_now": "SELECT Organisation_Code AS ODS_Code FROM providers_ref WHERE Is_Latest = 1"}
 
 
 def _places(spark: SparkSession, sf: str) -> DataFrame:
@@ -138,12 +150,23 @@ def _places(spark: SparkSession, sf: str) -> DataFrame:
     return latest.select(F.col("Organisation_Code").alias("ODS_Code"))
 
 
-SQL_WIDE = " UNION ALL ".join(
-    _SQL_ELEMENT.format(
-        element=e, setting=s, activity=a, source="aggregates", where="", org="a.ODS_Code",
-        date=_SQL_PERIOD_MONTH.format("Reporting_Period"), value=f"CAST(sum({c}) AS DOUBLE)",
+def _sql_total_rows(element: str, setting: str, activity: str, value: str, source: str) -> str:
+    """Counts of known providers as element rows without a commissioner or a breakdown."""
+    return (
+        f"SELECT {element} AS Element_ID, Date, Provider_Code, CAST(NULL AS STRING) AS Commissioner_Code, "
+        f"{setting} AS Service_Setting, {activity} AS Activity_Type, 'Total' AS Health_Inequalities_Group, "
+        f"'Total' AS Health_Inequalities_SubGroup, {value} AS Value FROM {source} "
+        "WHERE Provider_Code IN (SELECT ODS_Code FROM providers_now)"
     )
-    for c, (e, s, a) in spec.AGGREGATE_ELEMENTS.items()
+
+
+_SQL_SUMS = ", ".join(f"CAST(sum({c}) AS DOUBLE) AS {c}" for c in spec.AGGREGATE_ELEMENTS)
+_SQL_MEASURES = ", ".join(f"('{c}', '{e}', '{s}', '{a}')" for c, (e, s, a) in spec.AGGREGATE_ELEMENTS.items())
+SQL_WIDE = _sql_total_rows(
+    "element", "setting", "activity",
+    "CASE measure " + " ".join(f"WHEN '{c}' THEN {c}" for c in spec.AGGREGATE_ELEMENTS) + " END",
+    f"(SELECT {_SQL_PERIOD_MONTH.format('Reporting_Period')} AS Date, ODS_Code AS Provider_Code, {_SQL_SUMS} FROM aggregates GROUP BY 1, 2) AS months "
+    f"CROSS JOIN (VALUES {_SQL_MEASURES}) AS labels(measure, element, setting, activity)",
 )
 
 
@@ -165,24 +188,35 @@ _SQL_ACUTE = (
     "WHERE Patient_Classification = '1' AND Age_At_Start_of_Spell_SUS >= 16 AND Discharge_Method NOT IN ('4', '04') "
     "AND Der_Admit_Treatment_Function_Code NOT IN ('424', '501', '560')"
 )
-_SQL_SPELLS = "WHERE LOSDischHosSpell IS NOT NULL AND LOSDischHosSpell > 0 AND Der_Age_at_StartDateHospProvSpell >= 16"
+_SQL_SPELLS = "WHERE LOSDischHosSpell > 0 AND Der_Age_at_StartDateHospProvSpell >= 16"
 SQL_MONTH = "CAST(date_trunc('month', {0}) AS DATE)"
-SQL_ACTIVITY = " UNION ALL ".join(
-    _SQL_ELEMENT.format(
-        element="010", setting=s, activity=a, source=t, where=w, org=o, date=SQL_MONTH.format(d), value="count(*)"
-    )
-    for s, a, t, w, o, d in [
-        ("All other services", "Acute Inpatient", "sus", _SQL_ACUTE, "a.Provider_Code", "Admission_Date"),
-        ("All other services", "Mental Health Inpatient", "mhsds", _SQL_SPELLS, "a.OrgIDProv", "StartDateHospProvSpell"),
-        ("Maternity services", "Maternity", "msds", "", "a.OrgCodeProvider", "MinBookingDate"),
+
+
+def sql_monthly_activity(acute: str, mental: str, maternity: str) -> str:
+    """(Source, Org_Code, Date, Activity): all events in scope under one name each, counted once."""
+    events = [
+        (acute, "Provider_Code", "Admission_Date", f"sus {_SQL_ACUTE}"),
+        (mental, "OrgIDProv", "StartDateHospProvSpell", f"mhsds {_SQL_SPELLS}"),
+        (maternity, "OrgCodeProvider", "MinBookingDate", "msds"),
     ]
-)
+    union = " UNION ALL ".join(f"SELECT '{name}' AS Source, {org} AS Org_Code, {day} AS happened FROM {rows}" for name, org, day, rows in events)
+    return f"SELECT Source, Org_Code, {SQL_MONTH.format('happened')} AS Date, count(*) AS Activity FROM ({union}) AS events GROUP BY 1, 2, 3"
+
+
 ACTIVITY_LABELS = {
     "acute": ("All other services", "Acute Inpatient"),
     "mental": ("All other services", "Mental Health Inpatient"),
     "maternity": ("Maternity services", "Maternity"),
 }
 
+SQL_ACTIVITY = _sql_total_rows(
+    f"'{spec.ACTIVITY_ELEMENT}'",
+    "CASE Source WHEN 'maternity' THEN 'Maternity services' ELSE 'All other services' END",
+    "CASE Source WHEN 'acute' THEN 'Acute Inpatient' WHEN 'mental' THEN 'Mental Health Inpatient' ELSE 'Maternity' END",
+    "Activity",
+    f"(SELECT Source, Org_Code AS Provider_Code, Date, Activity FROM ({sql_monthly_activity('acute', 'mental', 'maternity')}) AS monthly) AS counted",
+)
+
 
 def extracts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Acute admissions, mental-health spells and first bookings since the lower bound."""
@@ -212,91 +246,90 @@ def activity_counts(spark, sf):
 _AS_ELEMENT = ", ".join(
     ["Element_ID", *elements.BASE_DIMENSIONS, "Health_Inequalities_Group", "Health_Inequalities_SubGroup", "CAST(Value AS DOUBLE) AS Value"]
 )
-_GENDER_DIMENSIONS = [*elements.BASE_DIMENSIONS, "Gender"]
+_RECORD_INPUTS_ALL = f"{_RECORD_INPUTS} aggregates providers_ref {EXTRACT_INPUTS}"
 
 
-@query(
-    with_inputs(
-        " UNION ALL ".join(f"SELECT {_AS_ELEMENT} FROM ({q}) AS x" for q in (_sql_long(["Gender"]), SQL_WIDE, SQL_ACTIVITY)),
-        f"{_RECORD_INPUTS} aggregates providers_ref {EXTRACT_INPUTS}",
-        {"cats": SQL_CATEGORIES, "counts": _sql_counts(_GENDER_DIMENSIONS), **_SQL_PLACES, **_SQL_EXTRACTS},
-    )
-)
-def assemble_elements(spark, sf):
-    return elements.assemble_elements(
-        _record_elements(spark, sf), wide_measures_to_elements(spark, sf), activity_counts(spark, sf)
-    )
+def _sql_assembled(groups) -> str:
+    return " UNION ALL ".join(f"SELECT {_AS_ELEMENT} FROM ({q}) AS part" for q in (_sql_long(groups), SQL_WIDE, SQL_ACTIVITY))
 
 
-# --- metrics -------------------------------------------------------------------------
+def element_steps(groups, categories: str = SQL_CATEGORIES) -> dict[str, str]:
+    """SQL steps up to ``elements``, with the given breakdowns and all sources."""
+    dims = elements.BASE_DIMENSIONS + list(groups)
+    return {"cats": categories, "counts": _sql_counts(dims), **_SQL_PLACES, **_SQL_EXTRACTS, "elements": _sql_assembled(groups)}
 
 
-def _record_elements(spark: SparkSession, sf: str) -> DataFrame:
-    counts = elements.rule_counts(_categorised(spark, sf), RULES, dims=_GENDER_DIMENSIONS)
-    return elements.breakdowns_long(counts, groups=["Gender"])
+def assembled(spark: SparkSession, sf: str, groups=elements.BREAKDOWNS, categorised: DataFrame | None = None) -> DataFrame:
+    """Elements of records with the given breakdowns, of aggregates and of activity."""
+    rows = _categorised(spark, sf) if categorised is None else categorised
+    counts = elements.rule_counts(rows, RULES, dims=elements.BASE_DIMENSIONS + list(groups))
+    return elements.assemble_elements(
+        elements.breakdowns_long(counts, groups=list(groups)), wide_measures_to_elements(spark, sf), activity_counts(spark, sf)
+    )
 
 
-_ELEMENT_STEPS = {
-    "cats": SQL_CATEGORIES,
-    "counts": _sql_counts(_GENDER_DIMENSIONS),
-    "elements": _sql_long(["Gender"]),
-}
-_KEYS = ", ".join(metrics.ELEMENT_KEYS)
+_ELEMENT_STEPS = element_steps(elements.BREAKDOWNS)
 
 
-def _sql_metric(metric: str, kind: str, numerator: str, denominator: str | None) -> str:
-    num = f"sum(CASE WHEN CAST(Element_ID AS INTEGER) = {int(numerator)} THEN CAST(Value AS DOUBLE) ELSE 0 END)"
-    if kind == "Proportion":
-        den = f"sum(CASE WHEN CAST(Element_ID AS INTEGER) = {int(denominator)} THEN CAST(Value AS DOUBLE) ELSE 0 END)"
-        where = f"CAST(Element_ID AS INTEGER) IN ({int(numerator)}, {int(denominator)})"
-    else:
-        den, where = "CAST(NULL AS DOUBLE)", f"CAST(Element_ID AS INTEGER) = {int(numerator)}"
-    return f"SELECT '{metric}' AS Metric_ID, {_KEYS}, {num} AS Numerator, {den} AS Denominator FROM elements WHERE {where} GROUP BY {_KEYS}"
+@query(with_inputs("SELECT * FROM elements", _RECORD_INPUTS_ALL, _ELEMENT_STEPS))
+def assemble_elements(spark, sf):
+    return assembled(spark, sf)
 
 
-SQL_METRICS = " UNION ALL ".join(
-    _sql_metric(d[0], d[3], d[6], d[7]) for d in inputs.DEFS if d[5] == "1"
-)
+# --- metrics -------------------------------------------------------------------------
+
+
+_KEYS = ", ".join(metrics.ELEMENT_KEYS)
+SQL_METRICS = f"""
+    SELECT Metric_ID, {_KEYS},
+           sum(CASE WHEN element = num THEN Value ELSE 0 END) AS Numerator,
+           CASE WHEN max(Metric_Type) = 'Proportion' THEN sum(CASE WHEN element = den THEN Value ELSE 0 END) END AS Denominator
+    FROM (SELECT *, CAST(Element_ID AS INTEGER) AS element FROM elements) AS e
+    JOIN (SELECT Metric_ID, Metric_Type, CAST(Numerator_Element AS INTEGER) AS num,
+                 CASE WHEN Metric_Type = 'Proportion' THEN CAST(Denominator_Element AS INTEGER) END AS den
+          FROM metric_defs WHERE Reporting_Flag = '1') AS m
+      ON element = num OR element = den
+    GROUP BY Metric_ID, {_KEYS}"""
 
 
 def _reported(spark: SparkSession, sf: str) -> DataFrame:
     return inputs.metric_defs(spark, sf).filter(F.col("Reporting_Flag") == "1")
 
 
-@query(with_inputs(SQL_METRICS, _RECORD_INPUTS, _ELEMENT_STEPS))
+@query(with_inputs(SQL_METRICS, f"{_RECORD_INPUTS_ALL} metric_defs", _ELEMENT_STEPS))
 def ratio_metrics(spark, sf):
-    return metrics.ratio_metrics(_record_elements(spark, sf), _reported(spark, sf))
+    return metrics.ratio_metrics(assembled(spark, sf), _reported(spark, sf))
 
 
 _REST = "Service_Setting, Activity_Type, Health_Inequalities_Group, Health_Inequalities_SubGroup"
 
 
-def _sql_level(level: str, source: str, code: str, join: str) -> str:
-    by = "" if code.startswith("'") else f", {code}"
-    return (
-        f"SELECT Metric_ID, Date, '{level}' AS Level, '{source}' AS Aggregation_Source, {code} AS Org_Code, {_REST}, "
-        f"sum(Numerator) AS Numerator, sum(Denominator) AS Denominator FROM metrics a {join} "
-        f"GROUP BY Metric_ID, Date{by}, {_REST}"
+_SQL_ROLES = " UNION ALL ".join(
+    f"SELECT Metric_ID, Date, '{role}' AS Aggregation_Source, {role}_Code AS own, {_REST}, Numerator, Denominator FROM metrics"
+    for role in ("Provider", "Commissioner")
+)
+_SQL_PARENTS = (
+    "SELECT 'Provider' AS role, ODS_Code AS code, ICB_Code, Region_Code FROM providers UNION ALL "
+    "SELECT 'Commissioner', Organisation_Code, ICB_Code, Region_Code FROM commissioners"
+)
+_SQL_PLACED = [
+    ("Aggregation_Source", "own", "FROM roles"),
+    ("'National'", "'ENG'", "FROM roles"),
+    ("'ICB'", "ICB_Code", "FROM roles LEFT JOIN parents ON role = Aggregation_Source AND code = own"),
+    ("'Region'", "Region_Code", "FROM roles LEFT JOIN parents ON role = Aggregation_Source AND code = own"),
+]
+SQL_ROLLUP = (
+    f"SELECT Metric_ID, Date, Level, Aggregation_Source, Org_Code, {_REST}, sum(Numerator) AS Numerator, sum(Denominator) AS Denominator FROM ("
+    + " UNION ALL ".join(
+        f"SELECT Metric_ID, Date, {level} AS Level, Aggregation_Source, {code} AS Org_Code, {_REST}, Numerator, Denominator {rows}"
+        for level, code, rows in _SQL_PLACED
     )
-
-
-_BY_PROVIDER = "LEFT JOIN providers b ON a.Provider_Code = b.ODS_Code"
-_BY_COMMISSIONER = "LEFT JOIN commissioners b ON a.Commissioner_Code = b.Organisation_Code"
-SQL_ROLLUP = " UNION ALL ".join(
-    [
-        _sql_level("Provider", "Provider", "Provider_Code", ""),
-        _sql_level("ICB", "Provider", "b.ICB_Code", _BY_PROVIDER),
-        _sql_level("Region", "Provider", "b.Region_Code", _BY_PROVIDER),
-        _sql_level("National", "Provider", "'ENG'", ""),
-        _sql_level("Commissioner", "Commissioner", "Commissioner_Code", ""),
-        _sql_level("ICB", "Commissioner", "b.ICB_Code", _BY_COMMISSIONER),
-        _sql_level("Region", "Commissioner", "b.Region_Code", _BY_COMMISSIONER),
-        _sql_level("National", "Commissioner", "'ENG'", ""),
-    ]
+    + f") AS placed GROUP BY Metric_ID, Date, Level, Aggregation_Source, Org_Code, {_REST}"
 )
-_DIM_INPUTS = "providers_ref commissioners_ref icb_ref region_ref overrides"
+_DIM_INPUTS = "commissioners_ref icb_ref region_ref overrides metric_defs"
 _DIM_STEPS = {"providers": prepare.SQL_PROVIDERS, "commissioners": prepare.SQL_COMMISSIONERS}
-_ROLLUP_STEPS = {**_ELEMENT_STEPS, "metrics": SQL_METRICS, **_DIM_STEPS}
+_ROLLUP_STEPS = {"metrics": SQL_METRICS, **_DIM_STEPS, "roles": _SQL_ROLES, "parents": _SQL_PARENTS}
+_ROLLED_INPUTS = f"{_RECORD_INPUTS_ALL} {_DIM_INPUTS}"
 
 
 def _orgs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -304,7 +337,7 @@ def _orgs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return settle(prepare.provider_dimension(spark, sf)), settle(prepare.commissioner_dimension(spark, sf))
 
 
-@query(with_inputs(SQL_ROLLUP, f"{_RECORD_INPUTS} {_DIM_INPUTS}", _ROLLUP_STEPS))
+@query(with_inputs(SQL_ROLLUP, _ROLLED_INPUTS, {**_ELEMENT_STEPS, **_ROLLUP_STEPS}))
 def hierarchy_rollup(spark, sf):
     return metrics.hierarchy_rollup(ratio_metrics(spark, sf), *_orgs(spark, sf))
 
@@ -337,27 +370,28 @@ def suppress_and_round_counts(spark, sf):
     )
 
 
-def _total_rollup(spark: SparkSession, sf: str, orgs: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
-    """Rolled-up totals without breakdowns, which is all the published table uses."""
-    counts = elements.rule_counts(_categorised(spark, sf), RULES, dims=elements.BASE_DIMENSIONS)
-    rows = elements.breakdowns_long(counts, groups=[])
-    return metrics.hierarchy_rollup(
-        metrics.ratio_metrics(rows, _reported(spark, sf)), *(orgs or _orgs(spark, sf))
-    )
+def _total_rollup(spark: SparkSession, sf: str, orgs: tuple[DataFrame, DataFrame] | None = None, categorised: DataFrame | None = None) -> DataFrame:
+    """Rolled-up totals of all sources without breakdowns, which is all the published table uses."""
+    rows = assembled(spark, sf, [], categorised)
+    return metrics.hierarchy_rollup(metrics.ratio_metrics(rows, _reported(spark, sf)), *(orgs or _orgs(spark, sf)))
 
 
 def _shown(c: str) -> str:
     return f"CASE WHEN {c} < 5 AND {c} > 0 THEN 0 ELSE CAST(round({c} / 5.0) * 5 AS BIGINT) END"
 
 
-_TOTAL_STEPS = {
-    **_ROLLUP_STEPS,
-    "counts": _sql_counts(elements.BASE_DIMENSIONS),
-    "elements": _sql_long([]),
-    "rolled": SQL_ROLLUP,
-    "shown": f"SELECT *, {_shown('Numerator')} AS num, {_shown('Denominator')} AS den FROM rolled",
-}
-_TOTAL_INPUTS = f"{_RECORD_INPUTS} {_DIM_INPUTS}"
+def total_steps(categories: str = SQL_CATEGORIES) -> dict[str, str]:
+    """SQL steps up to the rolled-up totals and what is shown of them."""
+    return {
+        **element_steps([], categories),
+        **_ROLLUP_STEPS,
+        "rolled": SQL_ROLLUP,
+        "shown": f"SELECT *, {_shown('Numerator')} AS num, {_shown('Denominator')} AS den FROM rolled",
+    }
+
+
+_TOTAL_STEPS = total_steps()
+_TOTAL_INPUTS = _ROLLED_INPUTS
 _BAND = ", ".join(metrics.BAND_KEYS)
 SQL_BANDS = f"""
     SELECT {_BAND}, Org_Code, num AS Numerator, den AS Denominator, ratio AS Ratio,
@@ -372,75 +406,57 @@ def quantile_bands(spark, sf):
     return metrics.quantile_bands(safe, metrics.BAND_KEYS, "Ratio", "Org_Code")
 
 
-def _sql_quarter(k: int) -> str:
-    return (
-        f"(SELECT {_BAND}, max(CAST(Numerator AS DOUBLE) / nullif(CAST(Denominator AS DOUBLE), 0)) AS top, "
-        f"min(CAST(Numerator AS DOUBLE) / nullif(CAST(Denominator AS DOUBLE), 0)) AS low "
-        f"FROM bands WHERE Quartile = {k} GROUP BY {_BAND}) q{k} ON "
-        + " AND ".join(f"dat.{c} = q{k}.{c}" for c in metrics.BAND_KEYS)
-    )
-
-
-_SQL_QUARTERS = " ".join(f"LEFT JOIN {_sql_quarter(k)}" for k in (1, 2, 3, 4))
-_SQL_CUTOFFS = (
-    "q1.top * 100 AS Lower_Quartile, q3.top * 100 AS Upper_Quartile, q1.low * 100 AS Min_Value, "
-    "q4.top * 100 AS Max_Value, q2.top * 100 AS Median"
+_SQL_RATIO_BANDS = f"SELECT {_BAND}, Quartile, CAST(Numerator AS DOUBLE) / nullif(CAST(Denominator AS DOUBLE), 0) AS share FROM bands"
+_SQL_CUTOFFS = ", ".join(
+    f"{extreme}(share) FILTER (WHERE Quartile = {k}) * 100 AS {name}"
+    for extreme, k, name in [("max", 1, "Lower_Quartile"), ("max", 3, "Upper_Quartile"), ("min", 1, "Min_Value"), ("max", 4, "Max_Value"), ("max", 2, "Median")]
 )
-_BAND_STEPS = {**_TOTAL_STEPS, "bands": SQL_BANDS}
+SQL_CUTS = f"SELECT {_BAND}, {_SQL_CUTOFFS} FROM ({_SQL_RATIO_BANDS}) AS shares GROUP BY {_BAND}"
+_BAND_STEPS = {"bands": SQL_BANDS, "cuts": SQL_CUTS}
 
 
-@query(
-    with_inputs(
-        f"""SELECT {', '.join('dat.' + c for c in metrics.BAND_KEYS)}, {_SQL_CUTOFFS}
-            FROM (SELECT DISTINCT {_BAND} FROM bands WHERE Date IS NOT NULL) dat {_SQL_QUARTERS}""",
-        _TOTAL_INPUTS,
-        _BAND_STEPS,
-    )
-)
+@query(with_inputs("SELECT * FROM cuts WHERE Date IS NOT NULL", _TOTAL_INPUTS, {**_TOTAL_STEPS, **_BAND_STEPS}))
 def quantile_cutoffs(spark, sf):
+    """The cut-offs as the published table takes them, from counts per ratio."""
+    safe = publish.disclosure_safe(_total_rollup(spark, sf)).filter(F.col("Date").isNotNull())
+    return metrics.cutoffs_from_ratios(safe)
+
+
+@query(with_inputs("SELECT * FROM cuts WHERE Date IS NOT NULL", _TOTAL_INPUTS, {**_TOTAL_STEPS, **_BAND_STEPS}))
+def quantile_cutoffs_banded(spark, sf):
+    """The same from banded rows."""
     return metrics.quantile_cutoffs(quantile_bands(spark, sf).filter(F.col("Date").isNotNull()))
 
 
 # --- publishing -----------------------------------------------------------------------------
 
 
-def _sql_by_level(name: str, provider: str, commissioner: str, icb: str | None, region: str | None) -> str:
-    extra = f" WHEN dat.Level = 'ICB' THEN {icb}" if icb else ""
-    extra += f" WHEN dat.Level = 'Region' THEN {region}" if region else ""
-    if name == "Org_Name":
-        extra += " WHEN dat.Level = 'National' THEN 'England'"
-    return (
-        f"CASE WHEN dat.Level = 'Provider' THEN ref_prov.{provider} "
-        f"WHEN dat.Level = 'Commissioner' THEN ref_com.{commissioner}{extra} END AS {name}"
-    )
+_NAMES = ["Org_Name", "ICB_Code", "ICB_Name", "ICB_Map", "Region_Code", "Region_Name", "Region_Map"]
+
 
+def _sql_named(level: str, code: str, name: str, icb: bool, region: bool, source: str) -> str:
+    shown = [name] + [c if icb else f"CAST(NULL AS STRING) AS {c}" for c in _NAMES[1:4]] + [c if region else f"CAST(NULL AS STRING) AS {c}" for c in _NAMES[4:]]
+    return f"SELECT DISTINCT '{level}' AS of_level, {code} AS of_code, {', '.join(shown)} FROM {source}"
 
-_SQL_NAMES = ", ".join(
+
+SQL_NAMED = " UNION ALL ".join(
     [
-        _sql_by_level("Org_Name", "ODS_Name", "Organisation_Name", "ref_icb.ICB_Name", "ref_reg.Region_Name"),
-        _sql_by_level("ICB_Code", "ICB_Code", "ICB_Code", "ref_icb.ICB_Code", None),
-        _sql_by_level("ICB_Name", "ICB_Name", "ICB_Name", "ref_icb.ICB_Name", None),
-        _sql_by_level("ICB_Map", "ICB_Map", "ICB_Map", "ref_icb.ICB_Map", None),
-        _sql_by_level("Region_Code", "Region_Code", "Region_Code", "ref_icb.Region_Code", "ref_reg.Region_Code"),
-        _sql_by_level("Region_Name", "Region_Name", "Region_Name", "ref_icb.Region_Name", "ref_reg.Region_Name"),
-        _sql_by_level("Region_Map", "Region_Map", "Region_Map", "ref_icb.Region_Map", "ref_reg.Region_Map"),
+        _sql_named("Provider", "ODS_Code", "ODS_Name AS Org_Name", True, True, "providers"),
+        _sql_named("Commissioner", "Organisation_Code", "Organisation_Name AS Org_Name", True, True, "commissioners"),
+        _sql_named("ICB", "ICB_Code", "ICB_Name AS Org_Name", True, True, "providers"),
+        _sql_named("Region", "Region_Code", "Region_Name AS Org_Name", False, True, "providers"),
+        _sql_named("National", "'ENG'", "'England' AS Org_Name", False, False, "(SELECT 1 AS one) AS one"),
     ]
 )
-_SQL_DIM_JOINS = """
-    LEFT JOIN providers ref_prov ON dat.Level = 'Provider' AND dat.Org_Code = ref_prov.ODS_Code
-    LEFT JOIN commissioners ref_com ON dat.Level = 'Commissioner' AND dat.Org_Code = ref_com.Organisation_Code
-    LEFT JOIN (SELECT DISTINCT ICB_Code, ICB_Name, ICB_Map, Region_Code, Region_Name, Region_Map FROM providers) ref_icb
-      ON dat.Level = 'ICB' AND dat.Org_Code = ref_icb.ICB_Code
-    LEFT JOIN (SELECT DISTINCT Region_Code, Region_Name, Region_Map FROM providers) ref_reg
-      ON dat.Level = 'Region' AND dat.Org_Code = ref_reg.Region_Code"""
+_SQL_NAMES = ", ".join(_NAMES)
+_SQL_NAMING = "LEFT JOIN named ON of_level = Level AND of_code = Org_Code"
 
 
 @query(
     with_inputs(
-        f"SELECT {', '.join('dat.' + c for c in metrics.ROLLUP_KEYS)}, dat.Numerator, dat.Denominator, {_SQL_NAMES} "
-        f"FROM rolled dat {_SQL_DIM_JOINS}",
+        f"SELECT {', '.join(metrics.ROLLUP_KEYS)}, Numerator, Denominator, {_SQL_NAMES} FROM rolled {_SQL_NAMING}",
         _TOTAL_INPUTS,
-        _TOTAL_STEPS,
+        {**_TOTAL_STEPS, "named": SQL_NAMED},
     )
 )
 def decorate_by_level(spark, sf):
@@ -472,17 +488,21 @@ def reporting_windows(spark, sf):
 _SQL_TEXTS = ", ".join(
     f"{{0}}.{s}_Element_{t} AS {s}_{t}" for s in ("Numerator", "Denominator") for t in ("Description", "Source", "Logic")
 )
+_CUTS = ["Lower_Quartile", "Upper_Quartile", "Min_Value", "Max_Value", "Median"]
 SQL_PUBLISHED = f"""
-    SELECT dat.Metric_ID, defs.Metric_ID || ': ' || defs.Metric_Name AS Metric_Name, defs.Metric_Category, defs.Metric_Type,
-           dat.Date, dat.Service_Setting, dat.Activity_Type, dat.Aggregation_Source, dat.Health_Inequalities_Group,
-           dat.Health_Inequalities_SubGroup, dat.Level, dat.Org_Code, {_SQL_NAMES},
-           num AS Numerator, CAST(CASE WHEN dat.Numerator < 5 AND dat.Numerator > 0 THEN 1 ELSE 0 END AS BIGINT) AS Numerator_Suppressed_Flag,
-           den AS Denominator, CAST(CASE WHEN dat.Denominator < 5 AND dat.Denominator > 0 THEN 1 ELSE 0 END AS BIGINT) AS Denominator_Suppressed_Flag,
-           {_SQL_TEXTS.format("defs")}, {_SQL_CUTOFFS}
-    FROM shown dat LEFT JOIN metric_defs defs ON dat.Metric_ID = defs.Metric_ID {_SQL_DIM_JOINS} {_SQL_QUARTERS}
-    WHERE dat.Activity_Type = CASE WHEN defs.Metric_Setting = 'Maternity' THEN defs.Metric_Setting ELSE dat.Activity_Type END
-      AND dat.Service_Setting IS NOT NULL AND dat.Activity_Type IS NOT NULL AND dat.Date IS NOT NULL AND dat.Org_Code IS NOT NULL"""
-_PUBLISH_INPUTS = f"{_TOTAL_INPUTS} metric_defs"
+    SELECT s.Metric_ID, s.Metric_ID || ': ' || m.Metric_Name AS Metric_Name, m.Metric_Category, m.Metric_Type,
+           s.Date, s.Service_Setting, s.Activity_Type, s.Aggregation_Source, s.Health_Inequalities_Group,
+           s.Health_Inequalities_SubGroup, s.Level, s.Org_Code, {_SQL_NAMES}, s.num AS Numerator,
+           CAST(coalesce(s.Numerator BETWEEN 0.0000001 AND 4.9999999, false) AS BIGINT) AS Numerator_Suppressed_Flag,
+           s.den AS Denominator,
+           CAST(coalesce(s.Denominator BETWEEN 0.0000001 AND 4.9999999, false) AS BIGINT) AS Denominator_Suppressed_Flag,
+           {_SQL_TEXTS.format("m")}, {', '.join(_CUTS)}
+    FROM (SELECT * FROM shown WHERE Service_Setting IS NOT NULL AND Activity_Type IS NOT NULL AND Date IS NOT NULL AND Org_Code IS NOT NULL) s
+    JOIN metric_defs m ON m.Metric_ID = s.Metric_ID AND (coalesce(m.Metric_Setting, '') <> 'Maternity' OR s.Activity_Type = 'Maternity')
+    LEFT JOIN cuts c ON {' AND '.join(f'c.{k} = s.{k}' for k in metrics.BAND_KEYS)}
+    LEFT JOIN named ON of_level = s.Level AND of_code = s.Org_Code"""
+_PUBLISH_INPUTS = _TOTAL_INPUTS
+_PUBLISH_STEPS = {**_BAND_STEPS, "named": SQL_NAMED}
 
 
 def _publish(spark: SparkSession, sf: str, rolled: DataFrame, orgs: tuple[DataFrame, DataFrame]) -> DataFrame:
@@ -490,47 +510,40 @@ def _publish(spark: SparkSession, sf: str, rolled: DataFrame, orgs: tuple[DataFr
     return publish.publish_metrics(rolled, inputs.metric_defs(spark, sf), dims)
 
 
-@query(with_inputs(SQL_PUBLISHED, _PUBLISH_INPUTS, _BAND_STEPS))
+@query(with_inputs(SQL_PUBLISHED, _PUBLISH_INPUTS, {**_TOTAL_STEPS, **_PUBLISH_STEPS}))
 def publish_metrics(spark, sf):
     orgs = _orgs(spark, sf)
     return _publish(spark, sf, settle(_total_rollup(spark, sf, orgs)), orgs)
 
 
 _COLUMNS = [f.name for f in DASHBOARD_METRICS]
-_FROM_GRID = {
-    "Health_Inequalities_Group": "'Total'",
-    "Health_Inequalities_SubGroup": "'Total'",
-    "Level": "'ICB'",
-}
-_FROM_ROWS = set(publish._MEASURES)
-_SQL_GRID = ", ".join(
-    f"{_FROM_GRID.get(c, ('dat.' if c in _FROM_ROWS else 'base.') + c)} AS {c}" for c in _COLUMNS
+_CELL = "Date, Aggregation_Source, Service_Setting, Activity_Type"
+SQL_PLACES = """
+    SELECT DISTINCT i.ICB_Code AS Org_Code, i.ICB_Name AS Org_Name, i.ICB_Code, i.ICB_Name, i.ICB_Map, c.Region_Code, c.Region_Name, c.Region_Map
+    FROM icb_ref i LEFT JOIN (SELECT DISTINCT ICB_Code, Region_Code, Region_Name, Region_Map FROM commissioners) c USING (ICB_Code)"""
+SQL_DESCRIBED = (
+    "SELECT DISTINCT Metric_ID, Metric_ID || ': ' || Metric_Name AS Metric_Name, Metric_Category, Metric_Type, "
+    f"{_SQL_TEXTS.format('metric_defs')} FROM metric_defs WHERE Reporting_Flag = '1'"
 )
+_ONLY_GRID = {"Health_Inequalities_Group": "'Total'", "Health_Inequalities_SubGroup": "'Total'", "Level": "'ICB'"}
+_SQL_DENSE_ROWS = ", ".join(_ONLY_GRID.get(c, c) + f" AS {c}" for c in _COLUMNS)
 SQL_DENSE = f"""
     SELECT {', '.join(_COLUMNS)} FROM windowed WHERE Level <> 'ICB'
     UNION ALL
-    SELECT {_SQL_GRID} FROM (
-        SELECT DISTINCT icb.ICB_Code AS Org_Code, icb.ICB_Name AS Org_Name, icb.ICB_Code, icb.ICB_Name, icb.ICB_Map,
-               com.Region_Code, com.Region_Name, com.Region_Map, m.Metric_ID, m.Metric_ID || ': ' || m.Metric_Name AS Metric_Name,
-               m.Metric_Category, m.Metric_Type, {_SQL_TEXTS.format("m")}, cell.*
-        FROM icb_ref icb LEFT JOIN commissioners com ON icb.ICB_Code = com.ICB_Code
-        CROSS JOIN (SELECT * FROM metric_defs WHERE Reporting_Flag = '1') m
-        CROSS JOIN (SELECT DISTINCT Date, Aggregation_Source, Service_Setting, Activity_Type FROM windowed WHERE Level = 'ICB') cell
-    ) base LEFT JOIN (SELECT * FROM windowed WHERE Level = 'ICB') dat
-      ON base.Metric_ID = dat.Metric_ID AND base.Date = dat.Date AND base.Service_Setting = dat.Service_Setting
-     AND base.Activity_Type = dat.Activity_Type AND base.Aggregation_Source = dat.Aggregation_Source AND base.Org_Code = dat.Org_Code"""
+    SELECT {_SQL_DENSE_ROWS}
+    FROM (SELECT DISTINCT {_CELL} FROM windowed WHERE Level = 'ICB') cells CROSS JOIN described CROSS JOIN places
+    LEFT JOIN (SELECT Metric_ID, {_CELL}, Org_Code, {', '.join(publish._MEASURES)} FROM windowed WHERE Level = 'ICB') seen
+    USING (Metric_ID, {_CELL}, Org_Code)"""
+
+
+_SQL_WINDOWED = "SELECT * FROM published WHERE " + _SQL_WINDOW.format(date="Date", segment="Service_Setting", special="Maternity services")
 
 
 @query(
     with_inputs(
         SQL_DENSE,
         _PUBLISH_INPUTS,
-        {
-            **_BAND_STEPS,
-            "published": SQL_PUBLISHED,
-            "windowed": "SELECT * FROM published WHERE "
-            + _SQL_WINDOW.format(date="Date", segment="Service_Setting", special="Maternity services"),
-        },
+        {**_TOTAL_STEPS, **_PUBLISH_STEPS, "published": SQL_PUBLISHED, "windowed": _SQL_WINDOWED, "places": SQL_PLACES, "described": SQL_DESCRIBED},
     )
 )
 def densify_grid(spark, sf):
@@ -548,3 +561,24 @@ def densify_grid(spark, sf):
     places = publish.icb_places(inputs.icb_ref(spark, sf), orgs[1])
     published = settle(_publish(spark, sf, rolled, orgs))
     return publish.densify_grid(published, places, _reported(spark, sf))
+
+
+# --- the chained programme ---------------------------------------------------------------
+
+
+_CLEAN_STEPS = {"checked": prepare.SQL_CHECKED, "clean": prepare.sql_found("(SELECT * FROM checked WHERE issues = 0 AND RecordID IS NOT NULL)")}
+
+
+@query(
+    with_inputs(
+        SQL_PUBLISHED,
+        _PUBLISH_INPUTS,
+        {**_CLEAN_STEPS, **total_steps(sql_categories("clean", "Found")), **_PUBLISH_STEPS},
+    )
+)
+def programme_published(spark, sf):
+    """Raw records to the published table: checks, commissioners, elements of all sources, metrics, roll-up."""
+    clean = prepare.cleaned(spark, sf, inputs.CATEGORY_COLUMNS)
+    rows = elements.categorise(clean, inputs.ethnicities(spark, sf), inputs.areas_ref(spark, sf), commissioner="Found")
+    orgs = _orgs(spark, sf)
+    return _publish(spark, sf, settle(_total_rollup(spark, sf, orgs, rows)), orgs)

@@ -87,19 +87,16 @@ def exclude_known_bad(spark, sf):
     return ingest.exclude_known_bad(submitted, {"code": "F", "period": "Period-03-1997"})
 
 
-_SQL_WATERFALL = """
-    SELECT r.*, CASE WHEN b.Organisation_Code IS NOT NULL THEN b.Organisation_Code
-                     WHEN c.Organisation_Code IS NOT NULL THEN c.Organisation_Code
-                     WHEN d.Organisation_Code IS NOT NULL THEN d.Organisation_Code END AS Found
-    FROM {0} r
-    LEFT JOIN (SELECT * FROM commissioners_ref WHERE Effective_To IS NULL) b ON r.CCG_OF_REGISTRATION = b.Organisation_Code
-    LEFT JOIN (SELECT * FROM commissioners_ref WHERE Effective_To IS NULL) c ON r.CCG_OF_RESIDENCE = c.Organisation_Code
-    LEFT JOIN (SELECT * FROM commissioners_ref WHERE Effective_To IS NULL) d ON r.Der_Postcode_CCG_Code = d.Organisation_Code"""
+def sql_found(rows: str) -> str:
+    """Rows with ``Found``: the first candidate among the codes in force."""
+    known = "(SELECT Organisation_Code FROM commissioners_ref WHERE Effective_To IS NULL)"
+    tried = ", ".join(f"CASE WHEN {c} IN {known} THEN {c} END" for c in spec.COMMISSIONER_CANDIDATES)
+    return f"SELECT candidates.*, coalesce({tried}) AS Found FROM {rows} AS candidates"
 
 
 @query(
     with_inputs(
-        f"SELECT RecordID, AuditID, ODS_CODE, Found FROM ({_SQL_WATERFALL.format('records')}) AS w",
+        f"SELECT RecordID, AuditID, ODS_CODE, Found FROM ({sql_found('records')}) AS w",
         "records commissioners_ref",
     )
 )
@@ -111,13 +108,13 @@ def waterfall_lookup(spark, sf):
 
 
 _SQL_DUPLICATES = """
-    SELECT a.event_id, CASE WHEN top = version OR top IS NULL THEN 0 ELSE 1 END AS superseded
-    FROM e a LEFT JOIN (SELECT max(version) AS top, user_id, kind, day FROM e GROUP BY user_id, kind, day) b
-      ON a.user_id = b.user_id AND a.kind = b.kind AND a.day = b.day"""
+    SELECT event_id, CASE WHEN user_id IS NULL OR kind IS NULL OR day IS NULL OR count(version) OVER same = 0
+                            OR coalesce(version = max(version) OVER same, false) THEN 0 ELSE 1 END AS superseded
+    FROM e WINDOW same AS (PARTITION BY user_id, kind, day)"""
 _SQL_SINGLES = """
-    SELECT a.event_id, CASE WHEN b.user_id IS NOT NULL THEN 1 ELSE 0 END AS singleton
-    FROM e a LEFT JOIN (SELECT user_id, day FROM e GROUP BY user_id, day HAVING count(*) = 1) b
-      ON a.user_id = b.user_id AND a.day = b.day"""
+    SELECT event_id, CASE WHEN user_id IS NOT NULL AND day IS NOT NULL AND count(*) OVER (PARTITION BY user_id, day) = 1
+                          THEN 1 ELSE 0 END AS singleton
+    FROM e"""
 
 
 @query(with_inputs(_SQL_DUPLICATES, "", {"e": _SQL_EVENTS}))
@@ -175,30 +172,22 @@ def quality_summary(spark, sf):
     return checked.select("event_id", *flags)
 
 
-_SQL_CHECKED = """
-    SELECT a.*, CASE WHEN top = AuditID OR top IS NULL THEN 0 ELSE 1 END AS DQ_Duplicates,
-           CASE WHEN c.ODS_CODE IS NOT NULL THEN 1 ELSE 0 END AS DQ_Dummy,
-           CASE WHEN a.ACTIVITY_DATE IS NULL THEN 1 ELSE 0 END AS DQ_ActivityDate,
-           CASE WHEN a.SETTING_TYPE IS NULL THEN 1 ELSE 0 END AS DQ_Setting
-    FROM records a
-    LEFT JOIN (SELECT max(AuditID) AS top, Person, HOSPITAL_SPELL_ID, ACTIVITY_DATE FROM records
-               GROUP BY Person, HOSPITAL_SPELL_ID, ACTIVITY_DATE) b
-      ON a.Person = b.Person AND a.HOSPITAL_SPELL_ID = b.HOSPITAL_SPELL_ID AND a.ACTIVITY_DATE = b.ACTIVITY_DATE
-    LEFT JOIN (SELECT ODS_CODE, REPORTING_PERIOD FROM records GROUP BY ODS_CODE, REPORTING_PERIOD HAVING count(*) = 1) c
-      ON a.ODS_CODE = c.ODS_CODE AND a.REPORTING_PERIOD = c.REPORTING_PERIOD"""
+SQL_CHECKED = """
+    SELECT *, CASE WHEN coalesce(outdated, false) OR coalesce(alone, false) OR ACTIVITY_DATE IS NULL OR SETTING_TYPE IS NULL THEN 1 ELSE 0 END AS issues
+    FROM (SELECT records.*,
+                 Person IS NOT NULL AND HOSPITAL_SPELL_ID IS NOT NULL AND ACTIVITY_DATE IS NOT NULL
+                   AND coalesce(AuditID <> max(AuditID) OVER version, max(AuditID) OVER version IS NOT NULL) AS outdated,
+                 ODS_CODE IS NOT NULL AND REPORTING_PERIOD IS NOT NULL AND count(*) OVER submission = 1 AS alone
+          FROM records
+          WINDOW version AS (PARTITION BY Person, HOSPITAL_SPELL_ID, ACTIVITY_DATE),
+                 submission AS (PARTITION BY ODS_CODE, REPORTING_PERIOD)) AS judged"""
+_KEPT = ["RecordID", "AuditID", "ODS_CODE", "REPORTING_PERIOD", "ACTIVITY_DATE"]
 
 
-@query(
-    with_inputs(
-        f"""SELECT RecordID, AuditID, ODS_CODE, REPORTING_PERIOD, ACTIVITY_DATE, Found FROM (
-              {_SQL_WATERFALL.format("(SELECT * FROM checked WHERE DQ_Duplicates + DQ_Dummy + DQ_ActivityDate + DQ_Setting = 0)")}
-            ) AS w WHERE RecordID IS NOT NULL""",
-        "records commissioners_ref",
-        {"checked": _SQL_CHECKED},
-    )
-)
-def clean_records(spark, sf):
-    rows = settle(inputs.records(spark, sf))
+def cleaned(spark: SparkSession, sf: str, columns) -> DataFrame:
+    """Clean records with the given columns and ``Found``; only what is used is written down."""
+    used = {*columns, "RecordID", inputs.PERSON, "HOSPITAL_SPELL_ID", "ACTIVITY_DATE", "AuditID", "ODS_CODE", "REPORTING_PERIOD", "SETTING_TYPE", *spec.COMMISSIONER_CANDIDATES}
+    rows = settle(inputs.records(spark, sf).select(*sorted(used)))
     checked = _check(
         rows,
         [inputs.PERSON, "HOSPITAL_SPELL_ID", "ACTIVITY_DATE"],
@@ -208,40 +197,43 @@ def clean_records(spark, sf):
         "SETTING_TYPE",
     )
     current = inputs.commissioners_ref(spark, sf).filter(F.col("Effective_To").isNull())
-    kept = ["RecordID", "AuditID", "ODS_CODE", "REPORTING_PERIOD", "ACTIVITY_DATE"]
-    clean = quality.clean_records(
-        checked,
-        "RecordID",
-        [*kept, *spec.COMMISSIONER_CANDIDATES],
-        spec.COMMISSIONER_CANDIDATES,
-        current,
-        "Organisation_Code",
-        "Found",
+    wanted = list(dict.fromkeys([*columns, *spec.COMMISSIONER_CANDIDATES]))
+    return quality.clean_records(
+        checked, "RecordID", wanted, spec.COMMISSIONER_CANDIDATES, current, "Organisation_Code", "Found"
+    )
+
+
+@query(
+    with_inputs(
+        f"SELECT {', '.join(_KEPT)}, Found FROM ({sql_found('(SELECT * FROM checked WHERE issues = 0 AND RecordID IS NOT NULL)')}) AS found",
+        "records commissioners_ref",
+        {"checked": SQL_CHECKED},
     )
-    return clean.select(*kept, "Found")
+)
+def clean_records(spark, sf):
+    return cleaned(spark, sf, _KEPT).select(*_KEPT, "Found")
 
 
 SQL_PROVIDERS = """
-    SELECT a.ODS_Code, a.ODS_Name, a.ICB_Code, b.ICB_Name, b.ICB_Map, a.Region_Code, c.Region AS Region_Name, c.Region_Map
-    FROM (SELECT DISTINCT ODS_CODE AS ODS_Code,
-                 CASE WHEN ODS_CODE = '3' THEN 'Third supplier' ELSE p.Organisation_Name END AS ODS_Name,
-                 CASE WHEN ODS_CODE = '3' THEN 'N1' WHEN ODS_CODE = '5' THEN 'N2'
-                      ELSE p.High_Level_Health_Authority_Code END AS ICB_Code,
-                 CASE WHEN ODS_CODE = '3' THEN 'R2' ELSE p.National_Grouping_Code END AS Region_Code
-          FROM (SELECT CAST(l_suppkey AS STRING) AS ODS_CODE FROM lineitem) r
-          LEFT JOIN (SELECT * FROM providers_ref WHERE Is_Latest = 1) p ON r.ODS_CODE = p.Organisation_Code) a
-    LEFT JOIN icb_ref b ON a.ICB_Code = b.ICB_Code
-    LEFT JOIN region_ref c ON a.Region_Code = c.Region_Code"""
+    SELECT code AS ODS_Code, shown AS ODS_Name, above AS ICB_Code,
+           (SELECT max(ICB_Name) FROM icb_ref WHERE ICB_Code = above) AS ICB_Name,
+           (SELECT max(ICB_Map) FROM icb_ref WHERE ICB_Code = above) AS ICB_Map,
+           top AS Region_Code,
+           (SELECT max(Region) FROM region_ref WHERE Region_Code = top) AS Region_Name,
+           (SELECT max(Region_Map) FROM region_ref WHERE Region_Code = top) AS Region_Map
+    FROM (SELECT seen.code, coalesce(o.Name, Organisation_Name) AS shown, coalesce(o.ICB, High_Level_Health_Authority_Code) AS above,
+                 coalesce(o.Region, National_Grouping_Code) AS top
+          FROM (SELECT DISTINCT CAST(l_suppkey AS STRING) AS code FROM lineitem) AS seen
+          LEFT JOIN overrides o ON o.Code = seen.code
+          LEFT JOIN providers_ref ON Organisation_Code = seen.code AND Is_Latest = 1) AS known"""
 SQL_COMMISSIONERS = """
-    SELECT DISTINCT a.Organisation_Code, a.Organisation_Name, a.Organisation_Code_Name, a.STP_Code AS ICB_Code,
-           a.STP_Name AS ICB_Name, a.STP_Code_Name AS ICB_Code_Name, d.ICB_Map, a.Region_Code,
-           c.Region AS Region_Name, a.Region_Code_Name, c.Region_Map
-    FROM (SELECT * FROM commissioners_ref WHERE Effective_To IS NULL) a
-    LEFT JOIN region_ref c ON a.Region_Code = c.Region_Code
-    LEFT JOIN icb_ref d ON a.ICB_Code = d.ICB_Code"""
+    SELECT DISTINCT Organisation_Code, Organisation_Name, Organisation_Code_Name, STP_Code AS ICB_Code, STP_Name AS ICB_Name,
+           STP_Code_Name AS ICB_Code_Name, ICB_Map, Region_Code, Region AS Region_Name, Region_Code_Name, Region_Map
+    FROM commissioners_ref LEFT JOIN (SELECT ICB_Code, ICB_Map FROM icb_ref) AS maps USING (ICB_Code) LEFT JOIN region_ref USING (Region_Code)
+    WHERE Effective_To IS NULL"""
 
 
-@query(with_inputs(SQL_PROVIDERS, "providers_ref icb_ref region_ref"))
+@query(with_inputs(SQL_PROVIDERS, "providers_ref icb_ref region_ref overrides"))
 def provider_dimension(spark, sf):
     return dimensions.provider_dimension(
         table(spark, sf, "lineitem").select(text("l_suppkey").alias("ODS_CODE")),
