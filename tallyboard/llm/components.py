@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..sources.session import settle
-from .common import answer
+from .common import answer, settle_sized
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool, total: int) -> DataFrame:
     """Hang the neighbours of each node on its smallest one: all larger neighbours, or all smaller ones and itself."""
-    total = edges.count()
     if large:
         rows = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
     else:
@@ -18,7 +17,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     least = rows.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
     joined = answer(rows, least, ["u"], ["m"], "n", 2 * total)
     moved = joined.filter("v > u") if large else joined.unionByName(least.select("u", F.col("u").alias("v"), "m"))
-    return settle(moved.filter("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct())
+    return settle_sized(moved.filter("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct(), 2 * total)
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -31,7 +30,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     print_ = (F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0)))
     before = now.agg(*print_).first()
     while True:
-        now = _star(_star(now, True), False)
+        now = _star(_star(now, True, before[0]), False, 2 * before[0])
         after = now.agg(*print_).first()
         if after == before:
             break
