@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.joins import fits, spread_left_join
+from ..sources.session import settle
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -57,6 +58,11 @@ def answer(rows: DataFrame, groups: DataFrame, keys: Sequence[str], values: Sequ
     return joined.withColumns({v: found[v] for v in values}).drop("_hot", "_cold")
 
 
+def settle_sized(df: DataFrame, rows: int, per_file: int = 20_000) -> DataFrame:
+    """Settle a result of at most ``rows`` rows in as many files as they need, not one per shuffle partition."""
+    return settle(df.coalesce(max(1, -(-rows // per_file))))
+
+
 def without(docs: DataFrame, keys: Sequence[Column], gone: DataFrame, rows: int = 500_000, once: bool = False) -> DataFrame:
     """``docs`` without the rows whose ``keys`` are in ``gone``, which is broadcast if measured to be at most ``rows``.
 
@@ -84,8 +90,10 @@ def slices(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, n
     """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_binary())
-    offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+    if not len(column):
+        return
+    width = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    offsets = np.frombuffer(column.buffers()[1], dtype=width)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     data = np.frombuffer(column.buffers()[2] or b"", dtype=np.uint8)
     first = 0
     while first < len(column):

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.joins import fits
 from ..sources.session import settle
-from .common import answer, slices, utf8, without
+from .common import answer, settle_sized, slices, utf8, without
 from .components import connected_components
 from .wordhash import IS_PLAIN, find_words, hash_runs, hash_spans, mix
 
@@ -278,16 +278,18 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", th
     an empty result.
     """
     signed = settle(_signed(docs, doc_id, text))
+    total = signed.count()
     worded = signed.filter("n > 0")
-    classes = settle(worded.groupBy("key").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "name", "h")).alias("least"), F.count("*").alias("weight"), F.first("n").alias("n"), F.first("sig").alias("sig")))
+    classes = settle_sized(worded.groupBy("key").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "name", "h")).alias("least"), F.count("*").alias("weight"), F.first("n").alias("n"), F.first("sig").alias("sig")), total)
     edges = settle(_candidate_edges(classes, threshold, tolerance, block_classes))
-    groups = settle(connected_components(edges).select(F.col("node").alias("key"), F.col("component").alias("group")))
+    groups = settle_sized(connected_components(edges).select(F.col("node").alias("key"), F.col("component").alias("group")), total)
+    grouped = groups.count()
 
     sized = groups.join(classes, "key")
-    totals = settle(sized.groupBy("group").agg(F.sum("n").alias("shingles"), F.count("*").alias("members")))
+    totals = settle_sized(sized.groupBy("group").agg(F.sum("n").alias("shingles"), F.count("*").alias("members")), grouped)
     blocks = F.greatest(F.ceil(F.col("shingles") / block_shingles), F.ceil(F.col("members") / block_classes)).alias("blocks")
-    placed = answer(sized, totals.select("group", "members", blocks), ["group"], ["blocks"], "members", groups.count())
-    chosen = settle(placed.select("group", "key", "weight", "sig", "blocks", "least.name", "least.h"))
+    placed = answer(sized, totals.select("group", "members", blocks), ["group"], ["blocks"], "members", grouped)
+    chosen = settle_sized(placed.select("group", "key", "weight", "sig", "blocks", "least.name", "least.h"), grouped)
     lookup = chosen.select("name", "h", "key")
     bodies = _bodies(docs, doc_id, text).select("name", "h", "body")
     texts = bodies.join(F.broadcast(lookup) if fits(lookup, wanted) else lookup, ["name", "h"]).select("key", "body")
@@ -309,8 +311,8 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", th
         local = local.unionByName(connected_components(across).select(F.col("node").alias("key"), F.col("component").alias("class")))
     labelled = classes.select("key", "least", "weight").join(local, "key", "left").join(links, "key", "left").withColumn("class", F.coalesce("class", "key"))
     named = labelled.groupBy("class").agg(F.min("least").alias("first"), F.sum("weight").alias("class_size"), F.count("*").alias("classes"))
-    answers = settle(answer(labelled, named, ["class"], ["first", "class_size"], "classes", classes.count()).select("key", "weight", "first", "class_size", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")))
-    rows = answer(signed.select("id", "name", "h", F.coalesce("key", F.lit(b"")).alias("key")), answers, ["key"], ["first", "class_size", "n_links"], "weight", signed.count())
+    answers = settle_sized(answer(labelled, named, ["class"], ["first", "class_size"], "classes", classes.count()).select("key", "weight", "first", "class_size", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")), total)
+    rows = answer(signed.select("id", "name", "h", F.coalesce("key", F.lit(b"")).alias("key")), answers, ["key"], ["first", "class_size", "n_links"], "weight", total)
     alone = F.col("first").isNull()
     return rows.select(
         F.col("id").alias("doc_id"),
