@@ -27,7 +27,7 @@ from .common import remainder, slices, utf8
 from .wordhash import LOWER, find_words, hash_spans
 
 FOLDS, HELD_OUT = 7, 2
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 6 << 20
 ITEM_SHARE = 2048
 """Every item but the rest has 1/2048 of all tokens or more, so there are at most 2049, and 2049 ** 2 pairs."""
 CLASSES = 48
