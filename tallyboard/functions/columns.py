@@ -92,7 +92,8 @@ def suppressed_flag(count: Column, threshold: int = 5) -> Column:
 
 
 def element_id(value: Column, width: int = 3) -> Column:
-    """Element ids as zero-padded text, so that ``1``, ``'1'`` and ``'001'`` agree."""
+    """Element ids as zero-padded text, so that ``1``, ``'1'``, ``'1.0'``, ``'001'`` and ``'0001'`` agree."""
     text = F.trim(value.cast("string"))
-    short_number = (F.length(text) < width) & text.try_cast("int").isNotNull()
-    return F.when(short_number, F.lpad(text, width, "0")).otherwise(text)
+    digits = F.regexp_extract(text, r"^\+?0*([0-9]+)(\.0*)?$", 1)
+    padded = F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits)
+    return F.when(digits != "", padded).otherwise(text)

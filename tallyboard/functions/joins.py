@@ -12,13 +12,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import MapType
 
+from ..sources.session import settle
 from .columns import all_known
 
 LOOKUP_ROWS = 50_000
 """Largest lookup, in rows, that is copied to every executor."""
 
 HOT_ROWS = 1_000_000
-"""Group size from which a group counts as hot; there are at most rows / HOT_ROWS of them."""
+"""Group size from which a group counts as hot."""
 
 PRODUCT_ROWS = 20_000
 """Largest list, in rows, that is attached to every row as an array."""
@@ -59,16 +60,18 @@ def lookup_join(
     on: dict[str, str],
     how: str = "left",
     rows: int = LOOKUP_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join a lookup on ``{column of df: key column of lookup}`` and drop the lookup's keys.
 
-    Broadcast when the lookup is measured to be small, shuffled otherwise. Several
+    Broadcast when the lookup is measured to be small, shuffled otherwise; a caller that
+    joins one lookup several times measures it once and passes ``small``. Several
     lookup rows for one key fan the row out, as a join does.
     """
     keys = [f"_key_{i}" for i in range(len(on))]
     other = lookup.withColumnsRenamed(dict(zip(on.values(), keys)))
     keyed = df.withColumns({k: F.col(c) for k, c in zip(keys, on)})
-    if fits(lookup, rows):
+    if fits(lookup, rows) if small is None else small:
         joined = keyed.join(F.broadcast(other), keys, how)
     elif how == "left":
         joined = spread_left_join(keyed, other, keys)
@@ -89,29 +92,45 @@ def attach_group_stats(
     """Put aggregates of a row's group on the row, null where the group is not ``needed``.
 
     Stands in for a window over ``keys``, which would hold a whole group in one
-    task. Groups are aggregated on both sides of their shuffle and only needed
-    ones come back: broadcast if few, else by a shuffled join. For that join hot
-    groups are answered from a broadcast (bounded, since a table of N rows has at most
-    N / ``hot_rows`` of them) and their rows are spread. A null key belongs to no group.
-    ``source`` gives the rows to aggregate when ``df`` is they with columns added.
+    task. The groups are aggregated once, on both sides of their shuffle, and the
+    needed and the hot ones are written down; that table is measured and joined back:
+    broadcast if small, else by a shuffled join. For that join hot groups, if measured to
+    be few, are answered from a broadcast and their rows are spread; adaptive skew
+    splitting handles any others. A null key belongs to no group. ``source`` gives
+    the rows to aggregate when ``df`` is they with columns added.
     """
-    groups = (
+    answer = F.struct(*[F.when(needed, F.col(n)).alias(n) for n in stats])
+    groups = settle(
         (df if source is None else source)
         .filter(all_known([F.col(k) for k in keys]))
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"), *[c.alias(n) for n, c in stats.items()])
+        .filter(needed | (F.col("_rows") >= hot_rows))
+        .select(*keys, "_rows", answer.alias("_answer"))
     )
-    wanted = groups.filter(needed)
-    if fits(wanted, rows):
-        return df.join(F.broadcast(wanted), list(keys), "left").drop("_rows")
-
-    answer = F.struct(*[F.when(needed, F.col(n)).alias(n) for n in stats])
-    hot = groups.filter(F.col("_rows") >= hot_rows).select(*keys, answer.alias("_hot"))
-    cold = groups.filter((F.col("_rows") < hot_rows) & needed).select(*keys, answer.alias("_cold"))
+    values = {n: F.col("_answer")[n] for n in stats}
+    if fits(groups, rows):
+        return df.join(F.broadcast(groups), list(keys), "left").withColumns(values).drop("_rows", "_answer")
+
+    hot = groups.filter(F.col("_rows") >= hot_rows).select(*keys, F.col("_answer").alias("_hot"))
+    if not fits(hot, rows or LOOKUP_ROWS):
+        return spread_left_join(df, groups.drop("_rows"), keys).withColumns(values).drop("_answer")
+    cold = groups.filter(F.col("_rows") < hot_rows).drop("_rows")
     marked = df.join(F.broadcast(hot), list(keys), "left")
     joined = spread_left_join(marked, cold, keys, idle=F.col("_hot").isNotNull())
-    found = {n: F.coalesce(F.col("_hot")[n], F.col("_cold")[n]) for n in stats}
-    return joined.withColumns(found).drop("_hot", "_cold")
+    found = {n: F.coalesce(F.col("_hot")[n], F.col("_answer")[n]) for n in stats}
+    return joined.withColumns(found).drop("_hot", "_answer")
+
+
+def check_unique(df: DataFrame, keys: Sequence[str], name: str = "table") -> DataFrame:
+    """``df`` itself, or an error that names some keys which occur more than once.
+
+    For dimensions and definitions: a doubled row there would inflate every count it joins.
+    """
+    doubled = df.groupBy(*keys).count().filter("count > 1").limit(5).collect()
+    if doubled:
+        raise ValueError(f"{name} repeats keys: " + "; ".join(str(r.asDict()) for r in doubled))
+    return df
 
 
 def product(df: DataFrame, items: DataFrame, rows: int = PRODUCT_ROWS, buckets: int = 64) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Row, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from .. import spec
 from ..contracts import ELEMENTS, conform
@@ -75,33 +76,67 @@ def dimensions(categorised: DataFrame, names: Sequence[str] = DIMENSIONS, keep:
     return categorised.select(*keep, *[F.col(_AS_DIMENSION + n).alias(n) for n in names])
 
 
+RULE_BLOCK = 50
+"""Rules counted by one group-by; more would outgrow what Spark compiles into one method."""
+
+
+@contextmanager
+def _lenient(spark: SparkSession) -> Iterator[None]:
+    """Frames built inside compare text with numbers as older releases do: bad text is null, not an error."""
+    name = "spark.sql.ansi.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def rule_counts(
     categorised: DataFrame,
     rules: Sequence[Row] | Sequence[Mapping[str, str]],
     record_id: str = "RecordID",
     dims: Sequence[str] = DIMENSIONS,
+    block: int = RULE_BLOCK,
 ) -> DataFrame:
-    """Records with an id that each rule matches, by dimension, in one scan.
+    """Records with an id that each rule matches, by dimension.
 
     A rule has ``Element_ID`` and ``Element_Logic``, a SQL predicate over the record's
     columns. Rules become expressions, so they are the one table read on the driver.
-    Predicates may prefix columns with ``a.``. A record that matches k rules gives k rows
-    before the count; one that matches but has no id keeps its group with a count of 0.
+    Predicates may prefix columns with ``a.``; text compared with a number is null where
+    it is none. Each block of rules is one scan and one group-by over the dimensions
+    with a sum per rule, turned into rows afterwards: 1 for a match with an id, 0 for
+    one without, so that such a group stays with a count of 0, and null for no match.
     """
-    matches = [F.lit(None).cast("string")] + [
-        F.when(F.expr(f"({r['Element_Logic']})"), element_id(F.lit(r["Element_ID"]))) for r in rules
-    ]
-    # Plain explode and filter are compiled; array_compact would be interpreted per row.
-    hits = (
-        categorised.alias("a")
-        .select(
-            F.col(record_id).alias("_id"),
-            *[F.col(_AS_DIMENSION + n).alias(n) for n in dims],
-            F.explode(F.array(*matches)).alias("Element_ID"),
+    if not rules:
+        nothing = categorised.filter(F.lit(False)).select(*[F.col(_AS_DIMENSION + n).alias(n) for n in dims])
+        return nothing.select(F.lit("").alias("Element_ID"), *dims, F.lit(0).cast("bigint").alias("Value"))
+    parts = []
+    for first in range(0, len(rules), block):
+        some = rules[first : first + block]
+        with _lenient(categorised.sparkSession):
+            flags = categorised.alias("a").select(
+                *[F.col(_AS_DIMENSION + n).alias(n) for n in dims],
+                *[
+                    F.when(F.expr(f"({r['Element_Logic']})"), F.col(f"a.{record_id}").isNotNull().cast("int")).alias(f"_rule_{i}")
+                    for i, r in enumerate(some)
+                ],
+            )
+        sums = flags.groupBy(*dims).agg(*[F.sum(f"_rule_{i}").alias(f"_rule_{i}") for i in range(len(some))])
+        counts = F.array(
+            *[
+                F.struct(element_id(F.lit(r["Element_ID"])).alias("Element_ID"), F.col(f"_rule_{i}").alias("Value"))
+                for i, r in enumerate(some)
+            ]
         )
-        .filter(F.col("Element_ID").isNotNull())
-    )
-    return hits.groupBy("Element_ID", *dims).agg(F.count("_id").alias("Value"))
+        parts.append(sums.select("*", F.inline(counts)).filter("Value IS NOT NULL").select("Element_ID", *dims, "Value"))
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    numbers = [str(r["Element_ID"]).strip().lstrip("0").split(".")[0] for r in rules]
+    if len(set(numbers)) == len(numbers):
+        return union
+    return union.groupBy("Element_ID", *dims).agg(F.sum("Value").alias("Value"))
 
 
 def breakdowns_long(

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.joins import lookup_join
+from ..functions.joins import fits, lookup_join
 
 
 def ingest_records(df: DataFrame, columns: Sequence[str], date_cols: Sequence[str] = ()) -> DataFrame:
@@ -44,10 +44,11 @@ def waterfall_lookup(
     The list should already be cut to entries in force.
     """
     known = ref.select(F.col(ref_key).alias("_known")).filter(F.col("_known").isNotNull()).distinct()
+    small = fits(known)
     found = [f"_found_{i}" for i in range(len(candidates))]
     for candidate, name in zip(candidates, found):
         hit = known.withColumn(name, F.col("_known"))
-        df = lookup_join(df, hit, {candidate: "_known"})
+        df = lookup_join(df, hit, {candidate: "_known"}, small=small)
     return df.withColumn(out, F.coalesce(*found)).drop(*found)
 
 

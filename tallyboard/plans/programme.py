@@ -7,7 +7,7 @@ exported as CSV.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,8 +15,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import spec
 from ..contracts import ELEMENTS_BY_DEMOGRAPHIC, conform
 from ..functions.columns import period_month
+from ..functions.joins import check_unique
 from ..operators import dimensions, elements, ingest, metrics, publish, quality, scorecard
 from ..sources.files import export_csv, scan_csv, scan_parquet, write_table
+from ..sources.session import release_settled, settled_so_far
 
 RECURSIVE = {"records", "aggregates", "admissions", "spells", "bookings"}
 PARQUET = RECURSIVE | {"provider_ref", "sub_icb_ref", "ethnicity_ref", "deprivation_ref"}
@@ -61,8 +63,8 @@ class Settings:
     def table(self, spark: SparkSession, name: str) -> DataFrame:
         return spark.read.parquet(f"{self.work}/{name}")
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
-        return write_table(df, f"{self.work}/{name}")
+    def write(self, df: DataFrame, name: str, layout: Sequence[str] = ()) -> DataFrame:
+        return write_table(df, f"{self.work}/{name}", layout)
 
 
 def _with_named(df: DataFrame, columns: Mapping[str, str | int]) -> DataFrame:
@@ -170,11 +172,7 @@ def build_elements(spark: SparkSession, s: Settings) -> DataFrame:
     rules = _with_named(s.read(spark, "element_rules"), s.rule_columns).filter(
         (F.col("Reporting_Flag") == "1") & (F.col("Element_Source") == spec.RECORD_ELEMENT_SOURCE)
     )
-    records = s.table(spark, "clean_records").withColumn(
-        # Rules compare the age with numbers, which text that is no number would stop.
-        "Der_Age_at_CDS_Activity_Date",
-        F.col("Der_Age_at_CDS_Activity_Date").try_cast("double").cast("int"),
-    )
+    records = s.table(spark, "clean_records")
     latest = s.read(spark, "ethnicity_ref").filter(F.col("Is_Latest").cast("string") == "1")
     snapshot = F.lit(spec.DEPRIVATION_SNAPSHOT).cast("date")
     deciles = s.read(spark, "deprivation_ref").filter(
@@ -197,6 +195,7 @@ def build_metrics(spark: SparkSession, s: Settings) -> DataFrame:
     """Numerators and denominators of the reported metrics."""
     defs = _with_named(s.read(spark, "metric_defs"), s.metric_columns)
     reported = defs.filter(F.col("Reporting_Flag") == "1")
+    check_unique(reported, ["Metric_ID"], "metric_defs")
     return s.write(metrics.ratio_metrics(s.table(spark, "elements"), reported), "metrics")
 
 
@@ -205,7 +204,7 @@ def aggregate_metrics(spark: SparkSession, s: Settings) -> DataFrame:
     rolled = metrics.hierarchy_rollup(
         s.table(spark, "metrics"), s.table(spark, "providers"), s.table(spark, "commissioners")
     )
-    return s.write(rolled, "rolled_metrics")
+    return s.write(rolled, "rolled_metrics", ["Date", "Metric_ID", "Org_Code"])
 
 
 def dashboard_metrics(spark: SparkSession, s: Settings) -> DataFrame:
@@ -288,4 +287,7 @@ STAGES: dict[str, Callable[[SparkSession, Settings], DataFrame]] = {
 
 def run(spark: SparkSession, settings: Settings, stages: list[str] | None = None) -> dict[str, DataFrame]:
     """Run all stages, or the named ones over tables that earlier runs wrote."""
-    return {name: STAGES[name](spark, settings) for name in stages or STAGES}
+    before = settled_so_far()
+    written = {name: STAGES[name](spark, settings) for name in stages or STAGES}
+    release_settled(spark, before)
+    return written

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -20,8 +22,14 @@ def scan_csv(spark: SparkSession, path: str, schema: StructType | None = None) -
     return (reader.schema(schema) if schema is not None else reader).csv(path)
 
 
-def write_table(df: DataFrame, path: str) -> DataFrame:
-    """Write a stage's result as Parquet and continue from what was written."""
+def write_table(df: DataFrame, path: str, layout: Sequence[str] = ()) -> DataFrame:
+    """Write a stage's result as Parquet and continue from what was written.
+
+    ``layout`` ranges and sorts the rows by columns that later reads filter on, a month
+    for example, so that whole files and row groups are skipped.
+    """
+    if layout:
+        df = df.repartitionByRange(*layout).sortWithinPartitions(*layout)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

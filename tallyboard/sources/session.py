@@ -23,7 +23,7 @@ def settle(df: DataFrame) -> DataFrame:
 
     The folder is the one the cluster names in ``spark.checkpoint.dir``. A local
     session without one gets a temporary folder; a cluster must name a shared one.
-    Parquet keeps later reads to the columns they use.
+    Parquet keeps later reads to the columns they use. :func:`release_settled` deletes it.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
@@ -33,7 +33,30 @@ def settle(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
             named = tempfile.mkdtemp(prefix="settle-")
         context.setCheckpointDir(named)
-    return write_table(df, f"{context.getCheckpointDir()}/{uuid.uuid4().hex}")
+    path = f"{context.getCheckpointDir()}/{uuid.uuid4().hex}"
+    _settled.append(path)
+    return write_table(df, path)
+
+
+_settled: list[str] = []
+
+
+def settled_so_far() -> int:
+    """How many frames this session has settled and not released: a mark for :func:`release_settled`."""
+    return len(_settled)
+
+
+def release_settled(spark: SparkSession, since: int = 0) -> int:
+    """Delete what ``settle`` has written, from the mark ``since`` on; returns how many frames.
+
+    Call it once the results that read them are written.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    gone = 0
+    while len(_settled) > since:
+        path = jvm.org.apache.hadoop.fs.Path(_settled.pop())
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone
 
 
 def build_session(app: str, master: str | None = None, settings: dict[str, str] | None = None) -> SparkSession:

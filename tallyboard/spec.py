@@ -7,29 +7,79 @@ as arguments, so another programme can pass its own.
 from __future__ import annotations
 
 # --- fixed values: record-level columns that are kept at ingest ---------------
-RECORD_COLUMNS = """
-RecordID AuditID REPORTING_PERIOD ODS_CODE ODS_Name SETTING_TYPE ACTIVITY_TYPE
-ACTIVITY_DATE HOSPITAL_SPELL_ID PREGNANCY_ID OP_ATTENDANCE_ID
-COMMUNITYCARECONTACT_ID MATERNITYTRANSFER GENDER ETHNICITY SMOKINGSTATUS
-SMOKER_ATDELIVERY SMOKER_AT36WEEKS INHOUSE_REFERRAL INHOUSE_REFERRAL_DATE
-SEEN_INHOUSE ATTENDANCE_INHOUSE_DATE TOBACCODEPENDENCE_CAREPLAN ONGOINGSUPPORT
-OUTCOME_AT28DAYS PHARMACOTHERAPY_TYPE GP_PRACTICE_CODE_TRACED CCG_OF_RESIDENCE
-ICS_OF_RESIDENCE LA_OF_RESIDENCE LSOA_OF_RESIDENCE ICS_OF_REGISTRATION
-CCG_OF_REGISTRATION LA_OF_REGISTRATION LSOA_OF_REGISTRATION CURRENTVAPING
-INTENDEDQUITDATE NUMBERQUITS SUPPORTEDQUITATTEMPT Der_Age_at_CDS_Activity_Date
-Der_AgeWks_at_CDS_Activity_Date Der_Postcode_CCG_Code
-Der_Postcode_Constituency_Code Der_Postcode_Dist_Unitary_Auth
-Der_Postcode_Electoral_Ward Der_Postcode_Local_Auth Der_Postcode_LSOA_Code
-Der_Postcode_MSOA_Code Der_Postcode_PCT_Code Der_Postcode_Sector
-Der_PostCode_Traced_CCG_Code Der_PostCode_Traced_Constituency_Code
-Der_PostCode_Traced_Dist_Unitary_Auth Der_PostCode_Traced_Electoral_Ward
-Der_PostCode_Traced_Local_Auth Der_PostCode_Traced_LSOA_Code
-Der_PostCode_Traced_MSOA_Code Der_PostCode_Traced_PCT_Code
-Der_PostCode_Traced_Sector Der_PostCode_Traced_yr2011_LSOA
-Der_PostCode_Traced_yr2011_MSOA Der_Postcode_yr2011_LSOA
-Der_Postcode_yr2011_MSOA pseudo_nhs_number_ncdr Pseudo_Person_ID_NCDR
-DerRfaRecipientAll CustomerAll UDALFileID UDALYear UDALMonth UDALDay
-""".split()
+RECORD_COLUMNS = [
+    "RecordID",
+    "AuditID",
+    "REPORTING_PERIOD",
+    "ODS_CODE",
+    "ODS_Name",
+    "SETTING_TYPE",
+    "ACTIVITY_TYPE",
+    "ACTIVITY_DATE",
+    "HOSPITAL_SPELL_ID",
+    "PREGNANCY_ID",
+    "OP_ATTENDANCE_ID",
+    "COMMUNITYCARECONTACT_ID",
+    "MATERNITYTRANSFER",
+    "GENDER",
+    "ETHNICITY",
+    "SMOKINGSTATUS",
+    "SMOKER_ATDELIVERY",
+    "SMOKER_AT36WEEKS",
+    "INHOUSE_REFERRAL",
+    "INHOUSE_REFERRAL_DATE",
+    "SEEN_INHOUSE",
+    "ATTENDANCE_INHOUSE_DATE",
+    "TOBACCODEPENDENCE_CAREPLAN",
+    "ONGOINGSUPPORT",
+    "OUTCOME_AT28DAYS",
+    "PHARMACOTHERAPY_TYPE",
+    "GP_PRACTICE_CODE_TRACED",
+    "CCG_OF_RESIDENCE",
+    "ICS_OF_RESIDENCE",
+    "LA_OF_RESIDENCE",
+    "LSOA_OF_RESIDENCE",
+    "ICS_OF_REGISTRATION",
+    "CCG_OF_REGISTRATION",
+    "LA_OF_REGISTRATION",
+    "LSOA_OF_REGISTRATION",
+    "CURRENTVAPING",
+    "INTENDEDQUITDATE",
+    "NUMBERQUITS",
+    "SUPPORTEDQUITATTEMPT",
+    "Der_Age_at_CDS_Activity_Date",
+    "Der_AgeWks_at_CDS_Activity_Date",
+    "Der_Postcode_CCG_Code",
+    "Der_Postcode_Constituency_Code",
+    "Der_Postcode_Dist_Unitary_Auth",
+    "Der_Postcode_Electoral_Ward",
+    "Der_Postcode_Local_Auth",
+    "Der_Postcode_LSOA_Code",
+    "Der_Postcode_MSOA_Code",
+    "Der_Postcode_PCT_Code",
+    "Der_Postcode_Sector",
+    "Der_PostCode_Traced_CCG_Code",
+    "Der_PostCode_Traced_Constituency_Code",
+    "Der_PostCode_Traced_Dist_Unitary_Auth",
+    "Der_PostCode_Traced_Electoral_Ward",
+    "Der_PostCode_Traced_Local_Auth",
+    "Der_PostCode_Traced_LSOA_Code",
+    "Der_PostCode_Traced_MSOA_Code",
+    "Der_PostCode_Traced_PCT_Code",
+    "Der_PostCode_Traced_Sector",
+    "Der_PostCode_Traced_yr2011_LSOA",
+    "Der_PostCode_Traced_yr2011_MSOA",
+    "Der_Postcode_yr2011_LSOA",
+    "Der_Postcode_yr2011_MSOA",
+    "pseudo_nhs_number_ncdr",
+    "Pseudo_Person_ID_NCDR",
+    "DerRfaRecipientAll",
+    "CustomerAll",
+    "UDALFileID",
+    "UDALYear",
+    "UDALMonth",
+    "UDALDay",
+]
 RECORD_DATES = ["ACTIVITY_DATE"]
 PERSON = "pseudo_nhs_number_ncdr"
 

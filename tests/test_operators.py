@@ -164,10 +164,29 @@ def test_rules_match_any_number_of_times_in_one_scan(make, rows):
     by_gender = elements.rule_counts(_categorised(make), rules, dims=["Gender"])
     assert ("001", "Is not stated", 0) in rows(by_gender)
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Generate explode") == 1
+    assert plan.count("Generate inline") == 1 and plan.count("partial_sum(_rule_0") == 1
     assert elements.rule_counts(_categorised(make), []).count() == 0
 
 
+def test_many_rules_and_repeated_ids(make, rows):
+    rules = [{"Element_ID": str(i), "Element_Logic": f"length(ETHNICITY) + {i} > 100 or GENDER = '{i % 4}'"} for i in range(300)]
+    df = elements.rule_counts(_categorised(make), rules, dims=["Provider_Code"])
+    few = elements.rule_counts(_categorised(make), rules, dims=["Provider_Code"], block=7)
+    assert rows(df) == rows(few) and df.count() > 200
+    twice = [{"Element_ID": "1", "Element_Logic": "true"}, {"Element_ID": "001", "Element_Logic": "true"}]
+    one = elements.rule_counts(_categorised(make), twice[:1], dims=["Provider_Code"])
+    both = elements.rule_counts(_categorised(make), twice, dims=["Provider_Code"])
+    assert [(e, p, 2 * n) for e, p, n in rows(one)] == rows(both)
+
+
+def test_rules_compare_bad_text_as_null(make, rows, spark):
+    rules = [{"Element_ID": "1", "Element_Logic": "ETHNICITY = 7"}, {"Element_ID": "2", "Element_Logic": "ETHNICITY = 7 or GENDER > 0"}]
+    ansi = spark.conf.get("spark.sql.ansi.enabled")
+    got = rows(elements.rule_counts(_categorised(make), rules, dims=["Provider_Code"]), "Element_ID")
+    assert got == [("002",)]
+    assert spark.conf.get("spark.sql.ansi.enabled") == ansi
+
+
 def test_breakdowns_keep_a_null_subgroup_apart(make, rows):
     df = make([("e", "x", None, 3), ("e", "x", "p", 2), ("e", "y", "p", 4)], "Element_ID string, Date string, Ethnicity string, Value bigint")
     out = elements.breakdowns_long(df, ["Date"], ["Ethnicity"])
@@ -404,3 +423,37 @@ def test_decoration_depends_on_the_level(make, rows):
         ("Commissioner", "Buyer", "I1", "R1"), ("ICB", None, None, None), ("ICB", "One", "I1", "R1"),
         ("National", "England", None, None), ("Provider", "Alpha", "I1", "R1"), ("Region", "North", None, "R1"),
     ]
+
+
+def test_element_ids_agree_as_numbers(make):
+    given = ["1", " 01", "001", "0001", "1.0", "12.0", "0", "000", "1234", "01234", "1.5", "x1", None, ""]
+    df = make([(v,) for v in given], "e string").select(element_id(F.col("e")).alias("e"))
+    assert [r.e for r in df.collect()] == ["001"] * 5 + ["012", "000", "000", "1234", "1234", "1.5", "x1", None, ""]
+
+
+def test_doubled_keys_are_named(make):
+    from tallyboard.functions.joins import check_unique
+
+    table = make([("a", 1), ("b", 2)], "code string, n int")
+    assert check_unique(table, ["code"]) is table
+    with pytest.raises(ValueError, match="places repeats keys.*'a'"):
+        check_unique(table.union(table.filter("n = 1")), ["code"], "places")
+
+
+def test_settled_frames_are_deleted(make, spark):
+    from tallyboard.sources.session import release_settled, settle
+
+    kept = settle(make([(1,)], "n int"))
+    path = kept.inputFiles()[0]
+    assert kept.count() == 1 and release_settled(spark) >= 1
+    jvm = spark._jvm.org.apache.hadoop.fs.Path(path)
+    assert not jvm.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm)
+
+
+def test_tables_are_laid_out_by_month(make, tmp_path):
+    from tallyboard.sources.files import write_table
+
+    rows_ = make([(f"2024-{m:02d}", i) for i in range(50) for m in range(1, 13)], "month string, n int").repartition(7)
+    written = write_table(rows_, str(tmp_path / "t"), ["month"])
+    spans = written.groupBy(F.input_file_name()).agg(F.countDistinct("month").alias("months")).collect()
+    assert written.count() == 600 and sum(r.months for r in spans) == 12
