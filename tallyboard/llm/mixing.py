@@ -20,7 +20,7 @@ from .common import WORD
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
-RANGE_ROWS = 20_000
+RANGE_ROWS = 2_000
 SEED = "mix"
 
 
@@ -76,8 +76,8 @@ def mix_sources(
     key = F.md5(F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(f":{seed}")).cast("binary"))
     size = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long")
     sized = settle(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), size.alias("size"), key.alias("key")))
-    bits = min(16, max(0, math.ceil(math.log2(max(1, sized.count()) / range_rows))))
-    start = F.shiftright(F.conv(F.substring("key", 1, 4), 16, 10).cast("int"), 16 - bits)
+    bits = min(20, max(0, math.ceil(math.log2(max(1, sized.count()) / range_rows))))
+    start = F.shiftright(F.conv(F.substring("key", 1, 5), 16, 10).cast("int"), 20 - bits)
     keys = {"named": F.coalesce("source", F.lit("")), "unnamed": F.col("source").isNull(), "range": start}
     placed = sized.withColumns(keys)
 
