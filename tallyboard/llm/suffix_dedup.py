@@ -32,9 +32,9 @@ LENGTH, GRAM = 400, 64
 RANGE_NODES = 30_000
 GROUP_CONTEXTS = 20_000
 """A group of nodes with one anchor is decided in its task up to this many different contexts, else string by string."""
-WANTED_NODES = 1_500_000
+WANTED_NODES = 100_000
 """Most nodes (12 bytes each, plus 24 a document) that are broadcast to the documents; beyond it that join is shuffled."""
-WANTED_SPANS = 1_500_000
+WANTED_SPANS = 100_000
 SAMPLE = 64
 """One anchor in this many sends its bytes, to find the ranges."""
 _END = b"\xff"
