@@ -13,6 +13,7 @@ import hashlib
 import re
 import uuid
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -82,20 +83,25 @@ def write_archives(records: DataFrame, path: str, most: int = RECORDS) -> None:
     records.select(F.concat(header, block).alias("value")).write.option("lineSep", END + END).option("compression", "gzip").option("maxRecordsPerFile", most).text(path)
 
 
-def parse_records(raw: bytes) -> Iterator[tuple[int, dict[bytes, bytes], bytes]]:
-    """(offset, named fields in lower case, block) of every record in an unpacked archive."""
+def parse_records(archive: BinaryIO) -> Iterator[tuple[int, dict[bytes, bytes], bytes]]:
+    """(offset, named fields in lower case, block) of every record in an unpacked archive, one record in memory at a time."""
     at = 0
-    while at < len(raw):
-        end = raw.index(b"\r\n\r\n", at) + 4
-        version, *lines = raw[at : end - 4].split(b"\r\n")
+    while version := archive.readline():
         if not version.startswith(b"WARC/"):
             raise ValueError(f"no WARC record at byte {at}")
-        fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(b":") for line in lines)}
-        stop = end + int(fields[b"content-length"])
-        if raw[stop : stop + 4] != b"\r\n\r\n":
+        fields, size = {}, len(version)
+        while (line := archive.readline()) != b"\r\n":
+            if not line:
+                raise ValueError(f"record at byte {at} is cut short")
+            name, _, value = line.partition(b":")
+            fields[name.strip().lower()] = value.strip()
+            size += len(line)
+        length = int(fields[b"content-length"])
+        block = archive.read(length)
+        if len(block) < length or archive.read(4) != b"\r\n\r\n":
             raise ValueError(f"record at byte {at} is cut short")
-        yield at, fields, raw[end:stop]
-        at = stop + 4
+        yield at, fields, block
+        at += size + 2 + length + 4
 
 
 def url_key(url: str) -> str:
@@ -127,8 +133,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, packed in zip(batch.column("path").to_pylist(), batch.column("content")):
-                raw, rows, held = gzip.decompress(packed.as_py()), [], 0
-                for offset, fields, block in parse_records(raw):
+                archive, rows, held = gzip.GzipFile(fileobj=pa.BufferReader(packed.as_buffer())), [], 0
+                for offset, fields, block in parse_records(archive):
                     head, _, payload = block.partition(b"\r\n\r\n")
                     digest = fields[b"warc-payload-digest"].partition(b":")[2].decode()
                     kind = fields[b"warc-type"].decode()

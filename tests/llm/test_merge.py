@@ -1,6 +1,7 @@
 """The loser tree, front coding, and archives."""
 
 import gzip
+import io
 import random
 
 import pytest
@@ -71,7 +72,7 @@ def test_archives(spark, odd):
     records = {r.page_id: r for r in warc.read_archives(spark, path).collect()}
     assert records[6].payload.decode() == PAGES[5][2] and records[7].payload is None
     files = spark.read.format("binaryFile").load(path + "/part-*").collect()
-    assert sum(1 for f in files for _ in warc.parse_records(gzip.decompress(bytes(f.content)))) == len(PAGES)
+    assert sum(1 for f in files for _ in warc.parse_records(gzip.GzipFile(fileobj=io.BytesIO(f.content)))) == len(PAGES)
 
 
 def test_index_over_many_ranges(spark, odd):
