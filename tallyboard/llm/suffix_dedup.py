@@ -32,8 +32,12 @@ LENGTH, GRAM = 400, 64
 RANGE_NODES = 30_000
 GROUP_CONTEXTS = 20_000
 """A group of nodes with one anchor is decided in its task up to this many different contexts, else string by string."""
+HOT_NODES = 200_000
+"""Nodes with an anchor that more nodes than this have are kept out of the merge and decided string by string."""
+APART = -1
+"""The range of such nodes' runs; no task brings it together."""
 WANTED_NODES = 100_000
-"""Most nodes (12 bytes each, plus 24 a document) that are broadcast to the documents; beyond it that join is shuffled."""
+"""Most nodes (16 bytes each, plus 24 a document) that are broadcast to the documents; beyond it that join is shuffled."""
 WANTED_SPANS = 100_000
 SAMPLE = 64
 """One anchor in this many sends its bytes, to find the ranges."""
@@ -162,18 +166,23 @@ _RUNS = "range int, run string, blob binary, refs binary"
 
 
 def _runs(rows: DataFrame, splitters: list[bytes], length: int, gram: int, run_bytes: int) -> DataFrame:
-    """Sorted runs of different contexts per task. ``refs`` holds, for the place of a context in its piece, the rows it came from."""
+    """Sorted runs of different contexts per task, those of hot anchors as a piece in APART.
+
+    ``refs`` holds, for the place of a context in its piece, the rows it came from.
+    """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bytes, list[tuple[int, int]]] = {}
         names: dict[tuple[str, int], int] = {}
+        hot: set[bytes] = set()
         size = 0
 
         def flush() -> pa.RecordBatch:
             run, out = uuid.uuid4().hex, []
             listed = list(names)
             items = [(key, b"2" if len(refs) > 1 else b"1") for key, refs in held.items()]
-            for number, blob in cut_run(items, splitters):
+            apart = cut_run([i for i in items if i[0] in hot], [])
+            for number, blob in [*cut_run([i for i in items if i[0] not in hot], splitters), *((APART, blob) for _, blob in apart)]:
                 refs = [(place, *ref) for place, (key, _, _) in enumerate(decode(blob)) for ref in held[key]]
                 used = sorted({r[1] for r in refs})
                 packed = np.array([(p, bisect.bisect_left(used, n), a) for p, n, a in refs], np.int32).tobytes()
@@ -192,9 +201,12 @@ def _runs(rows: DataFrame, splitters: list[bytes], length: int, gram: int, run_b
                         size += len(key) + 200
                     held[key].append((number, anchor))
                     size += 100
+                    if node["hot"]:
+                        hot.add(key)
                 if size > run_bytes:
                     yield flush()
                     held, names, size = {}, {}, 0
+                    hot.clear()
         if held:
             yield flush()
 
@@ -216,6 +228,38 @@ def _unpack(packed: bytes) -> tuple[list[tuple[str, int]], np.ndarray]:
 _DECISIONS = "range int, run string, place int, low int, high int, context binary"
 
 
+def _made(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["range", "run", "place", "low", "high", "context"])
+
+
+def _whole(key: bytes, length: int) -> tuple[int, int]:
+    """Offsets of the first and last start of a context."""
+    ahead = key.rindex(_END)
+    return length - ahead, len(key) - ahead - 1
+
+
+def _apart(runs: DataFrame, length: int) -> DataFrame:
+    """The contexts of the pieces in APART; one that is in its run more than once repeats in all its starts."""
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for run, blob in zip(batch.column("run").to_pylist(), batch.column("blob")):
+                out: list[tuple] = []
+                for place, (key, _, value) in enumerate(decode(blob.as_py())):
+                    spans = _whole(key, length)
+                    if value == b"2":
+                        out.append((APART, run, place, *spans, None))
+                    out.append((APART, run, place, *spans, key))
+                    if len(out) > 5_000:
+                        yield _made(out)
+                        out = []
+                if out:
+                    yield _made(out)
+
+    return runs.filter(F.col("range") == APART).select("run", "blob").mapInArrow(unpack, _DECISIONS)
+
+
 def _decisions(runs: DataFrame, length: int, gram: int, group_contexts: int) -> DataFrame:
     """Offsets of repeated starts per place in a run; of groups too large for a task, the contexts themselves."""
 
@@ -223,21 +267,10 @@ def _decisions(runs: DataFrame, length: int, gram: int, group_contexts: int) ->
         names = [run for run, _ in pieces]
         out: list[tuple] = []
 
-        def batch() -> pa.RecordBatch:
-            columns = list(zip(*out))
-            kinds = (pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
-            made = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["range", "run", "place", "low", "high", "context"])
-            out.clear()
-            return made
-
         def tagged(run: int, blob: bytes) -> Iterator[tuple[bytes, int, tuple[int, int, bytes]]]:
             for place, (key, prefix, value) in enumerate(decode(blob)):
                 yield key, prefix, (run, place, value)
 
-        def whole(key: bytes) -> tuple[int, int]:
-            ahead = key.rindex(_END)
-            return length - ahead, len(key) - ahead - 1
-
         keys: list[bytes] = []
         shared: list[int] = []
         refs: list[list[tuple[int, int]]] = []
@@ -251,11 +284,11 @@ def _decisions(runs: DataFrame, length: int, gram: int, group_contexts: int) ->
             found = [[] for _ in keys] if hot or len(keys) == 1 else decide(keys, shared, length)
             for key, spans, places, repeats in zip(keys, found, refs, many):
                 if repeats:
-                    spans = [whole(key)]
+                    spans = [_whole(key, length)]
                 out.extend((number, names[run], place, low, high, None) for run, place in places for low, high in spans)
                 if hot:
                     run, place = places[0]
-                    out.append((number, names[run], place, *whole(key), key))
+                    out.append((number, names[run], place, *_whole(key, length), key))
             keys.clear(), shared.clear(), refs.clear(), many.clear()
             hot = more
 
@@ -269,16 +302,17 @@ def _decisions(runs: DataFrame, length: int, gram: int, group_contexts: int) ->
             elif len(keys) >= group_contexts:
                 close(True)
             if len(out) > 20_000:
-                yield batch()
+                yield _made(out)
+                out.clear()
             keys.append(key)
             shared.append(prefix)
             refs.append([(run, place)])
             many.append(value == b"2")
         close(False)
         if out:
-            yield batch()
+            yield _made(out)
 
-    return combine_ranges(runs, handle, _DECISIONS)
+    return combine_ranges(runs.filter(F.col("range") != APART), handle, _DECISIONS)
 
 
 def _string_by_string(contexts: DataFrame, length: int) -> DataFrame:
@@ -300,7 +334,7 @@ def _string_by_string(contexts: DataFrame, length: int) -> DataFrame:
     return found.select("range", "run", "place", "low", F.col("low").alias("high"))
 
 
-def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, group_contexts: int = GROUP_CONTEXTS, range_nodes: int = RANGE_NODES, run_bytes: int = RUN_BYTES, wanted_nodes: int = WANTED_NODES) -> DataFrame:
+def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, group_contexts: int = GROUP_CONTEXTS, range_nodes: int = RANGE_NODES, run_bytes: int = RUN_BYTES, wanted_nodes: int = WANTED_NODES, hot_nodes: int = HOT_NODES) -> DataFrame:
     """name, h and the spans (begin, end) of bytes in strings of ``length`` bytes that start anywhere else too."""
     rows = _keyed(docs, doc_id, text)
     anchors = settle(_anchors(rows, length, gram))
@@ -311,11 +345,14 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     ranges = math.ceil(count / range_nodes)
     splitters = pick_splitters(repeated.filter("sample is not null").select("sample"), ranges)
 
-    nodes = repeated.groupBy("name", "h").agg(F.collect_list(F.struct("first", "last", "anchor")).alias("nodes"))
+    nodes = repeated.groupBy("name", "h").agg(F.collect_list(F.struct("first", "last", "anchor", (F.col("n") > hot_nodes).alias("hot"))).alias("nodes"))
     wanted = F.broadcast(nodes) if count <= wanted_nodes else nodes
     chosen = rows.select("name", "h", "body").join(wanted, ["name", "h"])
     runs = settle(_runs(chosen, splitters, length, gram, run_bytes))
-    made = settle(_decisions(runs, length, gram, group_contexts))
+    made = _decisions(runs, length, gram, group_contexts)
+    if not grams.filter(F.col("n") > hot_nodes).isEmpty():
+        made = made.unionByName(_apart(runs, length))
+    made = settle(made)
     decided = made.filter("context is null").drop("context")
     large = made.filter("context is not null")
     if not large.isEmpty():

@@ -122,7 +122,7 @@ def test_components(spark):
 SMALL = dict(length=48, gram=8)
 
 
-@pytest.mark.parametrize("options", [{}, SMALL, {**SMALL, "group_contexts": 2, "range_nodes": 200, "run_bytes": 1 << 18, "wanted_nodes": 0, "wanted_spans": 0}])
+@pytest.mark.parametrize("options", [{}, SMALL, {**SMALL, "group_contexts": 2, "range_nodes": 200, "run_bytes": 1 << 18, "wanted_nodes": 0, "wanted_spans": 0}, {**SMALL, "hot_nodes": 3, "run_bytes": 1 << 18}])
 def test_repeats(docs, texts, options):
     got = by_id(suffix_dedup.remove_repeats(docs, **options).collect())
     for (i, t), want in zip(texts, brute.repeats([t for _, t in texts], options.get("length", 400))):
@@ -141,7 +141,7 @@ def test_repeats_of_periods_and_edits(spark):
         cut = rng.randrange(0, 60)
         made.append(lead + passage[cut : cut + rng.randrange(40, 120)] + tail)
     table = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
-    for options in (SMALL, {**SMALL, "group_contexts": 3}):
+    for options in (SMALL, {**SMALL, "group_contexts": 3}, {**SMALL, "hot_nodes": 2}, {**SMALL, "hot_nodes": 1, "run_bytes": 1_000}):
         got = by_id(suffix_dedup.remove_repeats(table, **options).collect())
         for i, want in enumerate(brute.repeats(made, 48)):
             assert (got[i].n_bytes, got[i].n_removed, got[i].n_spans, got[i].kept_sha256) == want
