@@ -122,8 +122,8 @@ class ItemIndex:
         return best
 
 
-_COLUMNS = "doc_id long, item_ids array<long>, scores array<double>, first_words array<long>, window_words array<long>"
-_ARROW = pa.schema([("doc_id", pa.int64()), ("item_ids", pa.list_(pa.int64())), ("scores", pa.list_(pa.float64())), ("first_words", pa.list_(pa.int64())), ("window_words", pa.list_(pa.int64()))])
+_COLUMNS = "doc_id long, h long, item_ids array<long>, scores array<double>, first_words array<long>, window_words array<long>"
+_ARROW = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("item_ids", pa.list_(pa.int64())), ("scores", pa.list_(pa.float64())), ("first_words", pa.list_(pa.int64())), ("window_words", pa.list_(pa.int64()))])
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", least: float = SIMILARITY, radius: int = RADIUS, pass_bytes: int = PASS_BYTES) -> DataFrame:
@@ -132,12 +132,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
     Null texts count as empty; empty texts and items match nothing. A text or item of
     one to four words is one shingle of its own length. A text shorter than an item is one
     window. Items are held pass by pass, ``pass_bytes`` at a time (a longer item is a
-    pass of its own); with several passes rows that repeat an id share their finds.
+    pass of its own); the finds of several passes are put together per id and text, so
+    repeated rows repeat.
     """
     items = benchmark.select(F.col(item_id).cast("long").alias("item"), utf8(F.col(item_text)).alias("body"))
     total = items.agg(F.sum(F.length("body"))).first()[0] or 0
     passes = max(1, -(-total // pass_bytes))
-    bodies = docs.select(F.col(doc_id).cast("long").alias("doc_id"), utf8(F.col(text)).alias("body"))
+    bodies = docs.select(F.col(doc_id).cast("long").alias("doc_id"), utf8(F.col(text)).alias("body")).withColumn("h", F.xxhash64("body"))
     found = []
     for number in range(passes):
         part = items if passes == 1 else items.filter(F.pmod(F.xxhash64("item", "body"), F.lit(passes)) == number)
@@ -146,7 +147,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
         def search(batches: Iterator[pa.RecordBatch], rows=rows) -> Iterator[pa.RecordBatch]:
             index = ItemIndex(rows, least, radius)
             for batch in batches:
-                ids, out = batch.column("doc_id").to_pylist(), []
+                ids, out = list(zip(batch.column("doc_id").to_pylist(), batch.column("h").to_pylist())), []
                 for begin, end, data, offsets in slices(batch.column("body")):
                     hashes, weights, before, _ = shingles(data, offsets)
                     hits = index.hits(hashes)
@@ -157,17 +158,20 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
                         finds[k] = sorted(index.search(hashes[lo:hi], weights[lo:hi], hits[of == k] - lo).items())
                     for k in range(end - begin):
                         got = finds.get(k, [])
-                        out.append((ids[begin + k], [index.ids[i] for i, _ in got], [s for _, (s, _, _) in got], [a for _, (_, a, _) in got], [n + SHINGLE - 1 for _, (_, _, n) in got]))
+                        out.append((*ids[begin + k], [index.ids[i] for i, _ in got], [s for _, (s, _, _) in got], [a for _, (_, a, _) in got], [n + SHINGLE - 1 for _, (_, _, n) in got]))
                 yield pa.RecordBatch.from_pylist([dict(zip(_ARROW.names, r)) for r in out], schema=_ARROW)
 
         found.append(bodies.mapInArrow(search, _COLUMNS))
     if passes == 1:
-        return found[0]
+        return found[0].drop("h")
     lists = ("item_ids", "scores", "first_words", "window_words")
-    union = found[0]
-    for more in found[1:]:
+    hits = [part.filter(F.size("item_ids") > 0).select(F.col("doc_id").alias("of"), F.col("h").alias("of_h"), F.lit(number).alias("pass"), F.struct(*lists).alias("hit")) for number, part in enumerate(found)]
+    union = hits[0]
+    for more in hits[1:]:
         union = union.unionByName(more)
-    return union.groupBy("doc_id").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in lists])
+    grouped = union.dropDuplicates(["of", "of_h", "pass"]).groupBy("of", "of_h").agg(F.collect_list("hit").alias("hits"))
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("h") == F.col("of_h"))
+    return bodies.select("doc_id", "h").join(grouped, same, "left").select("doc_id", *[F.flatten(F.coalesce(F.col("hits")[c], F.array())).alias(c) for c in lists])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
