@@ -1,9 +1,12 @@
 """Scoring text with a Brown class-based n-gram model.
 
-All words of the training documents are counted. A word with at least 1/ITEM_SHARE of all
-tokens is an item of its own; the others are items by their last letters. Exchange
-clustering puts the items into classes so that neighbouring classes tell most about
-each other. A text's probability is the product over its tokens of the class transition and
+All words of the training documents are counted and clustered, so that neighbouring classes
+tell most about each other. The start is an exchange over items: a word with at least
+1/ITEM_SHARE of all tokens is an item of its own, the others are items by their last
+letters. From there every training word is placed by itself, on Spark: each round counts
+the classes before and after every word, and half of the words go to their best class
+against the class table of the round's start. Words that training does not have go by their
+last letters. A text's probability is the product over its tokens of the class transition and
 of the word's emission from its class, both smoothed; the class chain starts from the end
 token's class.
 
@@ -18,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
@@ -29,12 +33,14 @@ from .wordhash import LOWER, find_words, hash_spans
 FOLDS, HELD_OUT = 7, 2
 BLOCK_BYTES = 6 << 20
 ITEM_SHARE = 2048
-"""Every item but the rest has 1/2048 of all tokens or more, so there are at most 2049, and 2049 ** 2 pairs."""
+"""Every item of the start but the rest has 1/2048 of all tokens or more, so there are at most 2049, and 2049 ** 2 pairs."""
 CLASSES = 48
 ROUNDS = 6
 PRIOR = 50.0
 """Tokens that a class's share of the corpus counts for among its transitions."""
 END, REST = 0, 1
+SETTLED = 1e-3
+"""Rounds end when two in succession raise the mutual information by less than this share of it."""
 
 
 def _squeeze(codes: np.ndarray) -> bytes:
@@ -105,6 +111,61 @@ def encode(docs: DataFrame, doc_id: str, text: str, fold: tuple[int, int], block
     return rows.mapInArrow(build, _BLOCK)
 
 
+def g(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1))
+
+
+def information(table: np.ndarray) -> float:
+    """What an assignment is judged by: the mutual information of neighbouring classes, times tokens, plus a constant."""
+    return float(g(table).sum() - g(table.sum(0)).sum() - g(table.sum(1)).sum())
+
+
+def best_classes(of: np.ndarray, slots: np.ndarray, n: np.ndarray, own: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The class of each word that raises ``information`` most if that word alone moves.
+
+    Entries (of, slot, n) tell how often word number ``of`` stands before class ``slot``
+    (below k), after class ``slot - k`` (below 2k), or before itself (2k; these are among the others too).
+    """
+    k, w = len(table), len(own)
+    at = np.arange(w)
+
+    def counts(lo: int, hi: int) -> np.ndarray:
+        mine = (slots >= lo) & (slots < hi)
+        return np.bincount(of[mine] * (hi - lo) + slots[mine] - lo, n[mine], w * (hi - lo)).reshape(w, hi - lo)
+
+    right, left, self_ = counts(0, k), counts(k, 2 * k), counts(2 * k, 2 * k + 1)[:, 0]
+    right[at, own] -= self_
+    left[at, own] -= self_
+
+    def side(here: np.ndarray, other: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """Gain per class but for its cell with itself; ``cells[r]`` are its cells with class r, the word still in them."""
+        word, r = np.nonzero(here)
+        number, rows = here[word, r], np.arange(len(word))
+        x = cells[r]
+        x[rows, own[word]] -= number
+        mine = np.flatnonzero(r == own[word])
+        x[mine] -= other[word[mine]]
+        change = g(x + number[:, None]) - g(x)
+        change[rows, r] = 0
+        out = np.zeros((w, k))
+        some, first = np.unique(word, return_index=True)
+        if len(some):
+            out[some] = np.add.reduceat(change, first, axis=0)
+        return out
+
+    gain = side(right, left, table.T.copy()) + side(left, right, table.copy())
+    diagonal = np.repeat(np.diag(table)[None], w, 0)
+    diagonal[at, own] -= right[at, own] + left[at, own] + self_
+    gain += g(diagonal + right + left + self_[:, None]) - g(diagonal)
+    for sums, tokens in ((table.sum(1), right.sum(1) + self_), (table.sum(0), left.sum(1) + self_)):
+        others = np.repeat(sums[None], w, 0)
+        others[at, own] -= tokens
+        gain -= g(others + tokens[:, None]) - g(others)
+    gain[:, END] = -np.inf
+    best = gain.argmax(1)
+    return np.where(gain[at, best] > gain[at, own] + 1e-9, best, own)
+
+
 def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) -> np.ndarray:
     """Class of each item from the counts of neighbouring items (first, second).
 
@@ -123,9 +184,6 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) ->
     member[np.arange(m), of] = 1
     table = member.T @ pairs @ member
 
-    def g(x: np.ndarray) -> np.ndarray:
-        return x * np.log(np.maximum(x, 1))
-
     for _ in range(rounds):
         moved = 0
         for w in order.tolist():
@@ -168,12 +226,14 @@ class Model:
     def fit(pairs: np.ndarray, tokens: np.ndarray, words: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS, prior: float = PRIOR) -> Model:
         """``tokens`` and ``words`` count an item's tokens and different words in training."""
         of = exchange(pairs, classes, rounds)
-        k = int(of.max()) + 1
-        member = np.zeros((len(of), k))
+        member = np.zeros((len(of), int(of.max()) + 1))
         member[np.arange(len(of)), of] = 1
-        total, different = tokens @ member, words @ member
-        share = (total + 1) / (total.sum() + k)
-        table = member.T @ pairs @ member
+        return Model.smooth(of, member.T @ pairs @ member, tokens @ member, words @ member, prior)
+
+    @staticmethod
+    def smooth(of: np.ndarray, table: np.ndarray, total: np.ndarray, different: np.ndarray, prior: float = PRIOR) -> Model:
+        """From the counts of neighbouring classes, and each class's tokens and different words."""
+        share = (total + 1) / (total.sum() + len(table))
         smoothed = (table + prior * share) / (table.sum(1, keepdims=True) + prior)
         return Model(of, np.log10(smoothed), np.log10(total + different + 1))
 
@@ -187,79 +247,186 @@ class Model:
         return sums[ends] - sums[ends - sizes]
 
 
-_DOC = "doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, items binary"
-_DOC_ARROW = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("log_counts", pa.float64()), ("items", pa.binary())])
-
+def _answered(blocks: DataFrame, found: DataFrame, *columns: str) -> DataFrame:
+    """Blocks with ``columns`` of their words, from the rows of ``found``."""
+    answers = found.groupBy("block").agg(F.collect_list(F.struct("code", *columns)).alias("answers"))
+    return blocks.select("block", "ids", "held", "sizes", "codes").join(answers, "block", "left").select("ids", "held", "sizes", "codes", "answers")
 
-def _annotate(blocks: DataFrame, found: DataFrame, ends: int) -> DataFrame:
-    """Per text its tokens, known tokens, sum of log10(count + 1) and its items; ``ends`` counts the end token."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                ids, held, sizes = (batch.column(c)[row].as_py() for c in ("ids", "held", "sizes"))
-                answers = batch.column("answers")[row].values
-                sizes = np.array(sizes, np.int64)
-                n = len(answers) if answers is not None else 0
-                count, item = np.zeros(n, np.int64), np.zeros(n, np.int16)
+def _read(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[list, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """Per block its ids, folds, sizes, codes, and the words' ``columns`` by code."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            ids, held, sizes = (batch.column(c)[row].as_py() for c in ("ids", "held", "sizes"))
+            answers = batch.column("answers")[row].values
+            n = len(answers) if answers is not None else 0
+            by_code = [np.zeros(n, np.int64) for _ in columns]
+            for values, c in zip(by_code, columns):
                 if n:
-                    code = answers.field("code").to_numpy()
-                    count[code], item[code] = answers.field("c").to_numpy(), answers.field("item").to_numpy()
-                codes = _unsqueeze(batch.column("codes")[row].as_py())
-                first = np.cumsum(sizes) - sizes
-                logs = np.concatenate([[0.0], np.cumsum(np.log10(count + 1)[codes])])
-                known = np.concatenate([[0], np.cumsum(count[codes] > 0)])
-                series = item[codes]
-                end = np.array([END], np.int16).tobytes()
-                for lo in range(0, len(ids), 2000):
-                    part = slice(lo, lo + 2000)
-                    a, b = first[part], first[part] + sizes[part]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[part], pa.int64()), pa.array(held[part], pa.bool_()), pa.array(sizes[part] + 1), pa.array(known[b] - known[a] + (ends > 0)), pa.array(logs[b] - logs[a] + np.log10(ends + 1)), pa.array([series[x:y].tobytes() + end for x, y in zip(a.tolist(), b.tolist())], pa.binary())],
-                        schema=_DOC_ARROW,
-                    )
-
-    answers = found.groupBy("block").agg(F.collect_list(F.struct("code", "c", "item")).alias("answers"))
-    return blocks.select("block", "ids", "held", "sizes", "codes").join(answers, "block", "left").select("ids", "held", "sizes", "codes", "answers").mapInArrow(run, _DOC)
-
-
-def _items_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    raw = [b.as_py() for b in column]
-    return np.frombuffer(b"".join(raw), np.int16).astype(np.int64), np.array([len(b) // 2 for b in raw], np.int64)
-
-
-def _pairs(texts: DataFrame, m: int) -> np.ndarray:
-    """Counts of neighbouring items over all training texts, summed per batch before they are shuffled."""
+                    values[answers.field("code").to_numpy()] = answers.field(c).to_numpy()
+            yield ids, np.array(held, bool), np.array(sizes, np.int64), _unsqueeze(batch.column("codes")[row].as_py()).astype(np.int64), by_code
+
+
+def _training(codes: np.ndarray, held: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the training texts, -1 after each text, and before the first."""
+    train = ~held
+    kept = codes[np.repeat(train, sizes)]
+    return np.concatenate([[-1], np.insert(kept, np.cumsum(sizes[train]), -1)]), train
+
+
+def _pairs(blocks: DataFrame, found: DataFrame, m: int) -> np.ndarray:
+    """Counts of neighbouring items over all training texts, summed per block before they are shuffled."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 2000):
-                items, _ = _items_of(batch.column("items").slice(lo, 2000))
-                if not len(items):
-                    continue
-                before = np.concatenate([[END], items[:-1]])
-                keys, n = np.unique(before * m + items, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["pair", "n"])
-
-    counted = texts.filter("not held_out").select("items").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+        for _, held, sizes, codes, (item,) in _read(batches, "item"):
+            series, _ = _training(codes, held, sizes)
+            items = np.append(item, END)[series]
+            keys, n = np.unique(items[:-1] * m + items[1:], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["pair", "n"])
+
+    counted = _answered(blocks, found, "item").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     rows = counted.toArrow()
     out = np.zeros(m * m)
     out[rows.column("pair").to_numpy()] = rows.column("n").to_numpy()
     return out.reshape(m, m)
 
 
+def _neighbours(blocks: DataFrame, found: DataFrame, k: int) -> DataFrame:
+    """id, own class and counts of the neighbouring classes of every training word, a packed part per block; see ``best_classes`` for slots."""
+    width = 2 * k + 1
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, held, sizes, codes, (number, class_) in _read(batches, "id", "class"):
+            series, _ = _training(codes, held, sizes)
+            a, b = series[:-1], series[1:]
+            of = np.append(class_, END)
+            before, after, twice = a >= 0, b >= 0, (a >= 0) & (a == b)
+            keys = np.concatenate([a[before] * width + of[b[before]], b[after] * width + k + of[a[after]], a[twice] * width + 2 * k])
+            keys, n = np.unique(keys, return_counts=True)
+            if not len(keys):
+                continue
+            code, first = np.unique(keys // width, return_index=True)
+            packed = np.ascontiguousarray(np.stack([keys % width, n], 1).astype("<i4"))
+            ends = np.append(first, len(keys))
+            for lo in range(0, len(code), 20_000):
+                part = code[lo : lo + 20_000]
+                cut = ends[lo : lo + len(part) + 1]
+                counts = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(((cut - cut[0]) * 8).astype("<i4").tobytes()), pa.py_buffer(packed[cut[0] : cut[-1]].tobytes())])
+                yield pa.RecordBatch.from_arrays([pa.array(number[part]), pa.array(class_[part].astype(np.int32)), counts], names=["id", "own", "counts"])
+
+    rows = _answered(blocks, found, "id", "class").mapInArrow(count, "id long, own int, counts binary")
+    return rows.groupBy("id").agg(F.min("own").alias("own"), F.collect_list("counts").alias("counts"))
+
+
+def _unpack(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Entries (row of the batch, slot, n) of a batch's packed counts."""
+    column = batch.column("counts")
+    packed = column.flatten()
+    entries = np.frombuffer(b"".join(packed.to_pylist()), "<i4").reshape(-1, 2).astype(np.int64)
+    parts = np.repeat(np.arange(batch.num_rows), column.value_lengths().to_numpy(zero_copy_only=False))
+    sizes = pa.compute.binary_length(packed).to_numpy(zero_copy_only=False) // 8
+    return np.repeat(parts, sizes), entries[:, 0], entries[:, 1].astype(float)
+
+
+def _class_table(near: DataFrame, k: int, empty: int) -> np.ndarray:
+    """Counts of neighbouring classes; ``empty`` training texts have no word."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(k * k)
+        for batch in batches:
+            of, slots, n = _unpack(batch)
+            own = batch.column("own").to_numpy().astype(np.int64)[of]
+            after, start = slots < k, slots == k + END
+            sums += np.bincount(own[after] * k + slots[after], n[after], k * k)
+            sums += np.bincount(END * k + own[start], n[start], k * k)
+        some = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(sums[some].astype(np.int64))], names=["pair", "n"])
+
+    rows = near.mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(k * k)
+    out[rows.column("pair").to_numpy()] = rows.column("n").to_numpy()
+    out[END * k + END] += empty
+    return out.reshape(k, k)
+
+
+def _moved(near: DataFrame, table: np.ndarray, half: int) -> DataFrame:
+    """id and class of every training word; of those with an even or odd digest (``half``), the best class."""
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 2000):
+                batch = whole.slice(lo, 2000)
+                number, own = batch.column("id").to_numpy(), batch.column("own").to_numpy().astype(np.int64)
+                best = best_classes(*_unpack(batch), own, table)
+                new = np.where((number >> 7 & 1) == half, best, own)
+                yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(new.astype(np.int32))], names=["id", "class"])
+
+    return near.mapInArrow(choose, "id long, class int")
+
+
+def cluster(blocks: DataFrame, start: DataFrame, k: int, empty: int, rounds: int) -> tuple[DataFrame, np.ndarray]:
+    """The words with the class of each, and the counts of neighbouring classes under it.
+
+    ``start`` has the words with the class they start from, which words without training
+    tokens keep. Halves of the words move in turn; the assignment with the highest
+    mutual information is returned.
+    """
+    found, best, gains = start, None, []
+    for number in range(rounds + 1):
+        near = settle(_neighbours(blocks, found, k))
+        table = _class_table(near, k, empty)
+        value = information(table)
+        gains.append(np.inf if best is None else value - best[0])
+        if best is None or value > best[0]:
+            best = (value, found, table)
+        spread = abs(value - information(np.outer(table.sum(1), table.sum(0)) / max(1, table.sum())))
+        if number == rounds or max(gains[-2:]) < SETTLED * spread:
+            break
+        placed = settle(_moved(near, table, number % 2)).withColumnRenamed("class", "placed")
+        found = start.join(placed, "id", "left").withColumn("class", F.coalesce("placed", "class")).drop("placed")
+    return best[1], best[2]
+
+
+_SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, score double"
+_SCORED_ARROW = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("log_counts", pa.float64()), ("score", pa.float64())])
+
+
+def _score(blocks: DataFrame, found: DataFrame, ends: int, model: Model) -> DataFrame:
+    """Per text its tokens, known tokens, sum of log10(count + 1) and score; ``ends`` counts the end token."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, held, sizes, codes, (count, class_) in _read(batches, "c", "class"):
+            first = np.cumsum(sizes) - sizes
+            logs = np.concatenate([[0.0], np.cumsum(np.log10(count + 1)[codes])])
+            known = np.concatenate([[0], np.cumsum(count[codes] > 0)])
+            series = class_[codes]
+            for lo in range(0, len(ids), 2000):
+                part = slice(lo, lo + 2000)
+                size = sizes[part]
+                a, b = first[part], first[part] + size
+                given = logs[b] - logs[a] + np.log10(ends + 1)
+                score = model.score(np.insert(series[a[0] : b[-1]], np.cumsum(size), END), size + 1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[part], pa.int64()), pa.array(held[part], pa.bool_()), pa.array(size + 1), pa.array(known[b] - known[a] + (ends > 0)), pa.array(given), pa.array(given + score)],
+                    schema=_SCORED_ARROW,
+                )
+
+    return _answered(blocks, found, "c", "class").mapInArrow(run, _SCORED)
+
+
 def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fold: tuple[int, int] = (FOLDS, HELD_OUT), classes: int = CLASSES, rounds: int = ROUNDS, item_share: int = ITEM_SHARE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity per row of ``docs``.
 
     Words are cut at white space and A-Z lower-cased; one end follows each text and is
     all of an empty or null one. The model learns from the rows outside the held-out
-    fold; repeated rows count as often as they occur. Without training rows every word is
+    fold, and clusters every word of theirs; repeated rows count as often as they occur. Without training rows every word is
     unknown. An empty table gives an empty result.
     """
     blocks = settle(encode(docs, doc_id, text, fold, block_bytes))
     training = F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b)
     texts_in = F.size(F.filter("held", lambda h: ~h))
-    sums = blocks.agg(F.sum(training).alias("words"), F.sum(texts_in).alias("texts")).first()
+    empty = F.size(F.filter(F.arrays_zip("held", "sizes"), lambda t: ~t["held"] & (t["sizes"] == 0)))
+    sums = blocks.agg(F.sum(training).alias("words"), F.sum(texts_in).alias("texts"), F.sum(empty).alias("empty")).first()
     ends = sums.texts or 0
     total = (sums.words or 0) + ends
     listed = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("code", "w")).select("block", "code", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
@@ -267,7 +434,7 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fol
     counted = listed.withColumns({"c": F.sum("n").over(same), "first": F.col("block") == F.min("block").over(same)})
     shape = F.concat(F.lit(" "), F.substring("word", -2, 2))
     key = F.when((F.col("c") > 0) & (F.col("c") * item_share >= total), F.col("word")).otherwise(shape)
-    words = settle(counted.select("block", "code", "c", "first", key.alias("key")))
+    words = settle(counted.select("block", "code", F.xxhash64("word").alias("id"), "c", "first", key.alias("key")))
 
     kept = words.filter("first and c > 0").groupBy("key").agg(F.sum("c").alias("tokens"), F.count("*").alias("words"))
     kept = settle(kept)
@@ -278,18 +445,16 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fol
     different = np.array([min(ends, 1), others[1] or 0, *(r.words for r in items)], float)
     vocabulary = int(different.sum())
 
-    found = words.join(F.broadcast(number), "key", "left").select("block", "code", "c", F.coalesce("item", F.lit(REST)).alias("item"))
-    texts = settle(_annotate(blocks, found, ends))
-    model = Model.fit(_pairs(texts, len(tokens)), tokens, different, classes, rounds)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = [np.zeros(0)]
-            for lo in range(0, batch.num_rows, 2000):
-                out.append(model.score(*_items_of(batch.column("items").slice(lo, 2000))))
-            given = np.array(batch.column("log_counts").to_pylist(), float)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in _DOC_ARROW.names[:5]), pa.array(given + np.concatenate(out))], names=[*_DOC_ARROW.names[:5], "score"])
-
-    scored = texts.mapInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, score double")
+    of = exchange(_pairs(blocks, words.join(F.broadcast(number), "key", "left").select("block", "code", F.coalesce("item", F.lit(REST)).alias("item")), len(tokens)), classes, rounds)
+    k = int(of.max()) + 1
+    begun = docs.sparkSession.createDataFrame([(r.key, int(of[i + 2])) for i, r in enumerate(items)], "key string, class int")
+    start = words.join(F.broadcast(begun), "key", "left").select("block", "code", "id", "c", "first", F.coalesce("class", F.lit(int(of[REST]))).alias("class"))
+    found, table = cluster(blocks, start, k, sums.empty or 0, rounds)
+    found = settle(found.select("block", "code", "c", "first", "class"))
+    total_of, different_of = np.zeros(k), np.zeros(k)
+    for r in found.filter("first and c > 0").groupBy("class").agg(F.sum("c").alias("tokens"), F.count("*").alias("words")).collect():
+        total_of[r["class"]], different_of[r["class"]] = r.tokens, r.words
+    total_of[END], different_of[END] = ends, min(ends, 1)
+    scored = _score(blocks, found, ends, Model.smooth(np.arange(k), table, total_of, different_of))
     base = F.col("log_counts") - F.col("n_tokens") * F.lit(float(np.log10(total + vocabulary + 1)))
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))

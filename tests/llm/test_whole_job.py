@@ -1,0 +1,37 @@
+"""Cases that an operator met only in part before."""
+
+import numpy as np
+import pytest
+
+from tallyboard.llm import class_lm
+
+
+def test_best_classes_weigh_a_move_exactly():
+    rng = np.random.default_rng(3)
+    m, k = 30, 6
+    pairs = rng.poisson(1.5, (m, m)).astype(float)
+    of = np.array([0, *rng.integers(1, k, m - 1)])
+
+    def table(of):
+        member = np.eye(k)[of]
+        return member.T @ pairs @ member
+
+    entries = [(w - 1, slot, n) for w in range(1, m) for slot, n in enumerate([*(pairs[w] @ np.eye(k)[of]), *(pairs[:, w] @ np.eye(k)[of]), pairs[w, w]]) if n]
+    numbers, slots, n = (np.array(c) for c in zip(*entries))
+    best = class_lm.best_classes(numbers, slots, n.astype(float), of[1:], table(of))
+    for w in range(1, m):
+        values = [class_lm.information(table(np.where(np.arange(m) == w, c, of))) for c in range(1, k)]
+        assert values[best[w - 1] - 1] == pytest.approx(max(values))
+    assert (best != of[1:]).any()
+
+
+def test_rare_words_are_clustered_by_their_neighbours(spark):
+    """Rare words of two kinds share their last letters; their order still counts."""
+    rng = np.random.default_rng(5)
+    a, b = (lambda: "king" if rng.random() < 0.5 else f"a{rng.integers(20)}zz"), (lambda: "runs" if rng.random() < 0.5 else f"b{rng.integers(20)}zz")
+    rows = [(i, " ".join(f"the {a()} is {b()}" for _ in range(30))) for i in range(60)]
+    rows += [(1000 + i, "the a3zz is b4zz the a5zz is b6zz") for i in range(40)] + [(2000 + i, "the b4zz is a3zz the b6zz is a5zz") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").filter("doc_id < 1000 or crc32(cast(cast(doc_id as string) as binary)) % 7 = 2")
+    got = class_lm.score_texts(docs, item_share=16).collect()
+    right, wrong = ({round(r.score, 6) for r in got if r.held_out and r.doc_id // 1000 == kind} for kind in (1, 2))
+    assert len(right) == len(wrong) == 1 and right.pop() > wrong.pop() + 1
