@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sources.session import settle
 from .common import lower_ascii
@@ -29,6 +29,8 @@ PROVIDERS = {
 HARMLESS = r"^[0-9.+-]+$|@|^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$|^[0-9]{4}-[0-9]{2}-[0-9]{2}|^[A-Za-z]+[.]?[0-9]{1,4}$|^(www|https?)[.:]"
 CANDIDATE = r"(?<![A-Za-z0-9_+/.@=-])(?:AKIA[0-9A-Z]{16}\b|gh[pousr]_[A-Za-z0-9]{36,}|[A-Za-z_+/.@=-]*+[0-9][A-Za-z0-9_+/.@=-]*+)"
 LEAST = 8
+BEFORE, AFTER = 32, 16
+"""Characters of the text around a candidate."""
 DICTIONARY_SHARE = 16_384
 """A dictionary word is 1/16384 of all words or more, so there are at most 16384."""
 SAMPLE = 10_000
@@ -52,22 +54,32 @@ def _triples(word: Column) -> Column:
 
 
 def find_candidates(docs: DataFrame, doc_id: str, text: str, path: str) -> DataFrame:
-    """doc_id, path, start (0-based, in characters), value, name, before, after of every different candidate of a text."""
+    """doc_id, path, start (0-based, in characters), value, name, before, after of every place of a candidate.
+
+    A text is cut at its candidates; places are running lengths of the pieces, so the
+    cost grows with the text alone.
+    """
     body = F.coalesce(F.col(text), F.lit(""))
+    wholes, gaps = F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0)), F.split(body, CANDIDATE, -1)
+    ends = F.transform(gaps, lambda g: F.struct(F.length(g).alias("size"), F.left(g, F.lit(AFTER)).alias("head"), F.right(g, F.lit(BEFORE)).alias("tail")))
     found = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"),
         F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"),
-        body.alias("body"),
-        F.explode(F.array_distinct(F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0)))).alias("whole"),
-    )
-    name = F.regexp_extract("whole", r"^([A-Za-z_.-]+)=", 1)
-    value = F.regexp_replace(F.regexp_replace("whole", r"^[A-Za-z_.-]+=+", ""), r"[.=]+$", "")
-    at = F.instr("body", F.col("whole"))
-    placed = found.withColumns({"name": name, "value": value, "at": at})
-    start = F.col("at") - 1 + F.length("whole") - F.length(F.regexp_replace("whole", r"^[A-Za-z_.-]+=+", ""))
-    before = F.substring("body", F.greatest(F.lit(1), F.col("at") - 32), F.least(F.lit(32), F.col("at") - 1))
-    after = F.substring("body", F.col("at") + F.length("whole"), F.lit(16))
-    return placed.filter(F.length("value") >= LEAST).select("doc_id", "path", start.cast("long").alias("start"), "value", "name", before.alias("before"), after.alias("after"))
+        F.monotonically_increasing_id().alias("row"),
+        wholes.alias("wholes"),
+        ends.alias("gaps"),
+    ).filter(F.size("wholes") > 0)
+    places = found.select("doc_id", "path", "row", F.posexplode(F.arrays_zip("wholes", "gaps")).alias("i", "at")).select("doc_id", "path", "row", "i", F.col("at.wholes").alias("whole"), F.col("at.gaps").alias("gap"))
+    prefix = F.regexp_extract("whole", r"^[A-Za-z_.-]+=+", 0)
+    rest = F.substr("whole", F.length("prefix") + 1)
+    places = places.withColumns({"prefix": prefix, "name": F.regexp_extract("whole", r"^([A-Za-z_.-]+)=", 1)}).withColumn("value", F.regexp_replace(rest, r"[.=]+$", ""))
+    order = Window.partitionBy("row").orderBy("i")
+    until = F.sum(F.col("gap.size") + F.coalesce(F.length("whole"), F.lit(0))).over(order) - F.length("whole")
+    ahead = F.array_join(F.collect_list(F.concat(F.col("gap.tail"), F.coalesce(F.right("whole", F.lit(BEFORE)), F.lit("")))).over(order.rowsBetween(-BEFORE, -1)), "")
+    behind = F.array_join(F.collect_list(F.concat(F.col("gap.head"), F.coalesce(F.left("whole", F.lit(AFTER)), F.lit("")))).over(order.rowsBetween(1, AFTER)), "")
+    before = F.right(F.concat(ahead, F.col("gap.tail")), F.lit(BEFORE))
+    placed = places.select("doc_id", "path", (until + F.length("prefix")).cast("long").alias("start"), "value", "name", before.alias("before"), F.left(behind, F.lit(AFTER)).alias("after"))
+    return placed.filter(F.length("value") >= LEAST)
 
 
 def add_features(found: DataFrame, triples: DataFrame) -> DataFrame:
@@ -123,7 +135,7 @@ def scan_secrets(docs: DataFrame, labels: DataFrame | None = None, doc_id: str =
     """Candidates with doc_id, start, length, kind, value_sha256, score and is_secret.
 
     ``labels`` has (value, label 0 or 1); without it ``rule_labels`` makes them. A value
-    that occurs several times in one text is one finding, at its first place. Null text
+    that occurs several times in one text is a finding at each place. Null text
     has none, null path is empty. Repeated rows repeat their findings. Where the labels
     have only one kind, every finding gets that label as score; without any, score is 0.
     An empty table gives an empty result.

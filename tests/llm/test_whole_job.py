@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from tallyboard.llm import class_lm
+from tallyboard.llm import class_lm, secret_scan
 
 
 def test_best_classes_weigh_a_move_exactly():
@@ -35,3 +35,14 @@ def test_rare_words_are_clustered_by_their_neighbours(spark):
     got = class_lm.score_texts(docs, item_share=16).collect()
     right, wrong = ({round(r.score, 6) for r in got if r.held_out and r.doc_id // 1000 == kind} for kind in (1, 2))
     assert len(right) == len(wrong) == 1 and right.pop() > wrong.pop() + 1
+
+
+def test_every_place_of_a_secret_is_found(spark):
+    key = "9f86d081884c7d659a2feaa0c55ad015"
+    text = f"é x{key}y and {key} is here, b2 b3 then token = \"{key}\" c4"
+    docs = spark.createDataFrame([(1, text, "s"), (2, "none", "s"), (3, None, None)], "doc_id long, text string, source string")
+    found = [r for r in secret_scan.find_candidates(docs, "doc_id", "text", "source").collect() if r.value == key]
+    places = sorted(r.start for r in found)
+    assert len(places) == 2 and [text[p : p + len(key)] for p in places] == [key, key] and text[places[0] - 1] == " "
+    for r in found:
+        assert text[r.start + len(key) :].startswith(r.after) and text[: r.start].endswith(r.before) and "token" in r.before or r.start == places[0]
