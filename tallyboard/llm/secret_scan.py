@@ -34,7 +34,7 @@ BEFORE, AFTER = 32, 16
 DICTIONARY_SHARE = 16_384
 """A dictionary word is 1/16384 of all words or more, so there are at most 16384."""
 SAMPLE = 10_000
-"""Labelled findings the forest is trained on at most, those with the smallest hash of their value."""
+"""Labelled values of each label that the forest is trained on, about so many at most, drawn by hash and weighted by their share."""
 TREES, DEPTH, SEED = 20, 6, 5
 DECISION = 0.5
 FEATURES = ["length", "digits", "uppers", "lowers", "marks", "changes", "variety", "coverage", "hexadecimal", "path_depth", "path_example", "named", "named_near", "assigned", "quoted"]
@@ -131,6 +131,21 @@ def rule_labels(featured: DataFrame) -> DataFrame:
     return featured.select("value", label.alias("label")).filter("label is not null").groupBy("value").agg(F.min("label").alias("label"))
 
 
+def draw_sample(values: DataFrame, sample: int) -> tuple[DataFrame, list[float]]:
+    """About ``sample`` values of each label at most, one at least, and all labels there are.
+
+    ``weight`` is how many labelled values a drawn one stands for.
+    """
+    digest = F.pmod(F.xxhash64("value"), F.lit(1 << 20))
+    labels = values.groupBy("label").agg(F.count("*").alias("n"), F.min(digest).alias("least")).orderBy("label").limit(3).collect()
+    drawn, weight = F.lit(False), F.lit(1.0)
+    for r in labels:
+        mine = F.col("label") == r.label
+        drawn = drawn | (mine & ((digest * r.n < sample << 20) | (digest == r.least)))
+        weight = F.when(mine, max(1.0, r.n / max(1, sample))).otherwise(weight)
+    return values.filter(drawn).withColumn("weight", weight), [r.label for r in labels]
+
+
 def scan_secrets(docs: DataFrame, labels: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text", path: str = "source", sample: int = SAMPLE) -> DataFrame:
     """Candidates with doc_id, start, length, kind, value_sha256, score and is_secret.
 
@@ -144,16 +159,13 @@ def scan_secrets(docs: DataFrame, labels: DataFrame | None = None, doc_id: str =
     featured = settle(add_features(found, dictionary_triples(docs, text)))
     named = (labels if labels is not None else rule_labels(featured)).select("value", F.col("label").cast("double").alias("label"))
     values = featured.groupBy("value").agg(*[F.avg(f).alias(f) for f in FEATURES]).join(named, "value")
-    values = settle(values)
-    count = values.count()
-    draws = 1 << 20
-    chosen = values.filter(F.pmod(F.xxhash64("value"), F.lit(draws)) * count < sample * draws)
-    kinds = sorted(r[0] for r in chosen.select("label").distinct().limit(3).collect())
+    values = settle(values.filter("label is not null"))
+    chosen, kinds = draw_sample(values, sample)
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
     if len(kinds) < 2:
         scored = featured.withColumn("score", F.lit(kinds[0] if kinds else 0.0))
     else:
-        training = settle(assembler.transform(chosen.orderBy("value")).select("features", "label").coalesce(1))
-        forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED).fit(training)
+        training = settle(assembler.transform(chosen.orderBy("value")).select("features", "label", "weight").coalesce(1))
+        forest = RandomForestClassifier(weightCol="weight", numTrees=TREES, maxDepth=DEPTH, seed=SEED).fit(training)
         scored = forest.transform(assembler.transform(featured)).withColumn("score", vector_to_array("probability")[1])
     return scored.select("doc_id", "start", F.length("value").alias("length"), "kind", F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"), "score", (F.col("score") >= DECISION).alias("is_secret"))

@@ -46,3 +46,13 @@ def test_every_place_of_a_secret_is_found(spark):
     assert len(places) == 2 and [text[p : p + len(key)] for p in places] == [key, key] and text[places[0] - 1] == " "
     for r in found:
         assert text[r.start + len(key) :].startswith(r.after) and text[: r.start].endswith(r.before) and "token" in r.before or r.start == places[0]
+
+
+def test_a_rare_label_is_drawn(spark):
+    """One secret among many labelled look-alikes is still in the sample."""
+    values = spark.range(5000).selectExpr("concat('order-', id) value", "0.0D label").union(spark.createDataFrame([("9f86d081884c7d65", 1.0)], "value string, label double"))
+    chosen, kinds = secret_scan.draw_sample(values, 10)
+    drawn = chosen.collect()
+    assert kinds == [0.0, 1.0] and len(drawn) < 50
+    assert [(r.value, r.weight) for r in drawn if r.label == 1] == [("9f86d081884c7d65", 1.0)]
+    assert {r.weight for r in drawn if r.label == 0} == {500.0}
