@@ -1,6 +1,7 @@
 """Secret scan with a random forest that removes false positives, in DataFrame functions alone.
 
-Candidates are strings with a digit or of a provider's form. Their features are length, kinds of characters and
+Candidates are strings with a digit, of a provider's form or of letters in mixed case, whatever
+a secret's name assigns, and PEM private keys. Their features are length, kinds of characters and
 changes between them, the share of letter triples that the corpus's common words have
 (dictionary coverage), the document's path, and the words around. A random forest,
 trained on labelled findings, tells secrets from addresses, numbers and other look-alikes.
@@ -18,17 +19,25 @@ from .common import lower_ascii
 
 # Words that name a secret, and the forms of keys that name their provider.
 NAMES = r"(?i)(token|secret|passw|pwd|api.?key|access.?key|auth|credential|private.?key)"
+ASSIGNED = r"[A-Za-z0-9_.-]{0,64}?(?i:token|secret|passw|pwd|api.?key|access.?key|auth|credential|private.?key)[A-Za-z0-9_.-]{0,64}+[\"']?[ \t]{0,8}+(?:=>|:=|[=:])[ \t]{0,8}+"
+"""A name of a secret and what assigns it, up to the quote before the value."""
 PROVIDERS = {
     "aws-access-key": r"^AKIA[0-9A-Z]{16}$",
     "github-token": r"^gh[pousr]_[A-Za-z0-9]{36,}$",
     "google-api-key": r"^AIza[0-9A-Za-z_-]{35}$",
     "slack-token": r"^xox[abprs]-[0-9A-Za-z-]{10,}$",
     "stripe-key": r"^[sr]k_live_[0-9A-Za-z]{16,}$",
+    "private-key": r"^-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY",
 }
 # Forms of what is no secret.
 HARMLESS = r"^[0-9.+-]+$|@|^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$|^[0-9]{4}-[0-9]{2}-[0-9]{2}|^[A-Za-z]+[.]?[0-9]{1,4}$|^(www|https?)[.:]"
-CANDIDATE = r"(?<![A-Za-z0-9_+/.@=-])(?:AKIA[0-9A-Z]{16}\b|gh[pousr]_[A-Za-z0-9]{36,}|[A-Za-z_+/.@=-]*+[0-9][A-Za-z0-9_+/.@=-]*+)"
+PEM = r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----(?:[^-]*+(?:-{1,4}+[^-]++){0,64}+-----END [A-Z0-9 ]{0,40}-----|(?:\s*+[A-Za-z0-9+/=]{16,}+){0,500}+)"
+NAMED = ASSIGNED + r"(?:\"(?!-----BEGIN )[^\s\"]++\"?+|'(?!-----BEGIN )[^\s']++'?+|(?![\"']|-----BEGIN )[^\s]++)"
+FORMS = r"AKIA[0-9A-Z]{16}\b|gh[pousr]_[A-Za-z0-9]{36,}+|AIza[0-9A-Za-z_-]{35}|xox[abprs]-[0-9A-Za-z-]{10,}+|[sr]k_live_[0-9A-Za-z]{16,}+"
+LETTERS = r"(?=[A-Z_+/-]*+[a-z_+/-]++[A-Z])[A-Za-z_+/-]{16,}+=*+"
+CANDIDATE = PEM + r"|(?<![A-Za-z0-9_+/.@=-])(?:" + NAMED + "|" + FORMS + r"|[A-Za-z_+/.@=-]*+[0-9][A-Za-z0-9_+/.@=-]*+|" + LETTERS + ")"
 LEAST = 8
+"""Characters of a candidate that no secret's name assigns, at least."""
 BEFORE, AFTER = 32, 16
 """Characters of the text around a candidate."""
 DICTIONARY_SHARE = 16_384
@@ -70,16 +79,22 @@ def find_candidates(docs: DataFrame, doc_id: str, text: str, path: str) -> DataF
         ends.alias("gaps"),
     ).filter(F.size("wholes") > 0)
     places = found.select("doc_id", "path", "row", F.posexplode(F.arrays_zip("wholes", "gaps")).alias("i", "at")).select("doc_id", "path", "row", "i", F.col("at.wholes").alias("whole"), F.col("at.gaps").alias("gap"))
-    prefix = F.regexp_extract("whole", r"^[A-Za-z_.-]+=+", 0)
+    given = F.regexp_extract("whole", "^" + ASSIGNED + "[\"']?", 0)
+    is_given = (F.length("given") > 0) & (F.length("given") < F.length("whole"))
+    prefix = F.when(is_given, F.col("given")).otherwise(F.regexp_extract("whole", r"^[A-Za-z_.-]+=+", 0))
+    name = F.when(is_given, F.regexp_extract("whole", r"^([A-Za-z0-9_.-]+)", 1)).otherwise(F.regexp_extract("whole", r"^([A-Za-z_.-]+)=", 1))
     rest = F.substr("whole", F.length("prefix") + 1)
-    places = places.withColumns({"prefix": prefix, "name": F.regexp_extract("whole", r"^([A-Za-z_.-]+)=", 1)}).withColumn("value", F.regexp_replace(rest, r"[.=]+$", ""))
+    unquoted = F.when(F.col("prefix").rlike("[\"']$"), F.regexp_replace(rest, "[\"']$", "")).otherwise(F.regexp_replace(rest, "[\"'.,;]+$", ""))
+    value = F.when(F.col("whole").startswith("-----BEGIN "), F.col("whole")).when(F.col("is_given"), unquoted).otherwise(F.regexp_replace(rest, r"[.=]+$", ""))
+    places = places.withColumn("given", given).withColumns({"is_given": is_given, "prefix": prefix, "name": name}).withColumn("value", value)
     order = Window.partitionBy("row").orderBy("i")
     until = F.sum(F.col("gap.size") + F.coalesce(F.length("whole"), F.lit(0))).over(order) - F.length("whole")
     ahead = F.array_join(F.collect_list(F.concat(F.col("gap.tail"), F.coalesce(F.right("whole", F.lit(BEFORE)), F.lit("")))).over(order.rowsBetween(-BEFORE, -1)), "")
     behind = F.array_join(F.collect_list(F.concat(F.col("gap.head"), F.coalesce(F.left("whole", F.lit(AFTER)), F.lit("")))).over(order.rowsBetween(1, AFTER)), "")
-    before = F.right(F.concat(ahead, F.col("gap.tail")), F.lit(BEFORE))
-    placed = places.select("doc_id", "path", (until + F.length("prefix")).cast("long").alias("start"), "value", "name", before.alias("before"), F.left(behind, F.lit(AFTER)).alias("after"))
-    return placed.filter(F.length("value") >= LEAST)
+    before = F.right(F.concat(ahead, F.col("gap.tail"), F.when(F.col("is_given"), F.col("prefix")).otherwise("")), F.lit(BEFORE))
+    after = F.left(F.concat(F.substr(rest, F.length("value") + 1), behind), F.lit(AFTER))
+    placed = places.select("doc_id", "path", (until + F.length("prefix")).cast("long").alias("start"), "value", "name", before.alias("before"), after.alias("after"), "is_given")
+    return placed.filter((F.length("value") >= LEAST) | (F.col("is_given") & (F.length("value") > 0))).drop("is_given")
 
 
 def add_features(found: DataFrame, triples: DataFrame) -> DataFrame:
