@@ -126,15 +126,8 @@ _COLUMNS = "doc_id long, h long, item_ids array<long>, scores array<double>, fir
 _ARROW = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("item_ids", pa.list_(pa.int64())), ("scores", pa.list_(pa.float64())), ("first_words", pa.list_(pa.int64())), ("window_words", pa.list_(pa.int64()))])
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", least: float = SIMILARITY, radius: int = RADIUS, pass_bytes: int = PASS_BYTES) -> DataFrame:
-    """One row per row of ``docs``: doc_id and arrays of the items in it with similarity, window start and size in words.
-
-    Null texts count as empty; empty texts and items match nothing. A text or item of
-    one to four words is one shingle of its own length. A text shorter than an item is one
-    window. Items are held pass by pass, ``pass_bytes`` at a time (a longer item is a
-    pass of its own); the finds of several passes are put together per id and text, so
-    repeated rows repeat.
-    """
+def _find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", least: float = SIMILARITY, radius: int = RADIUS, pass_bytes: int = PASS_BYTES) -> DataFrame:
+    """What ``find_leaks`` gives, and the digest h of the text."""
     items = benchmark.select(F.col(item_id).cast("long").alias("item"), utf8(F.col(item_text)).alias("body"))
     total = items.agg(F.sum(F.length("body"))).first()[0] or 0
     passes = max(1, -(-total // pass_bytes))
@@ -163,7 +156,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
 
         found.append(bodies.mapInArrow(search, _COLUMNS))
     if passes == 1:
-        return found[0].drop("h")
+        return found[0]
     lists = ("item_ids", "scores", "first_words", "window_words")
     hits = [part.filter(F.size("item_ids") > 0).select(F.col("doc_id").alias("of"), F.col("h").alias("of_h"), F.lit(number).alias("pass"), F.struct(*lists).alias("hit")) for number, part in enumerate(found)]
     union = hits[0]
@@ -171,11 +164,23 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
         union = union.unionByName(more)
     grouped = union.dropDuplicates(["of", "of_h", "pass"]).groupBy("of", "of_h").agg(F.collect_list("hit").alias("hits"))
     same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("h") == F.col("of_h"))
-    return bodies.select("doc_id", "h").join(grouped, same, "left").select("doc_id", *[F.flatten(F.coalesce(F.col("hits")[c], F.array())).alias(c) for c in lists])
+    return bodies.select("doc_id", "h").join(grouped, same, "left").select("doc_id", "h", *[F.flatten(F.coalesce(F.col("hits")[c], F.array())).alias(c) for c in lists])
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, *args, **options) -> DataFrame:
+    """One row per row of ``docs``: doc_id and arrays of the items in it with similarity, window start and size in words.
+
+    Null texts count as empty; empty texts and items match nothing. A text or item of
+    one to four words is one shingle of its own length. A text shorter than an item is one
+    window. Items are held pass by pass, ``pass_bytes`` at a time (a longer item is a
+    pass of its own); the finds of several passes are put together per id and text, so
+    repeated rows repeat.
+    """
+    return _find_leaks(docs, benchmark, *args, **options).drop("h")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item; rows with a null id stay."""
-    found = find_leaks(docs, benchmark, doc_id, text, **options)
-    leaked = settle(found.filter((F.size("item_ids") > 0) & F.col("doc_id").isNotNull()).select("doc_id"))
-    return without(docs, [F.col(doc_id)], leaked)
+    """``docs`` without the rows that hold a benchmark item, by id and text; a null id is an id like others."""
+    found = _find_leaks(docs, benchmark, doc_id, text, **options)
+    leaked = settle(found.filter(F.size("item_ids") > 0).select("doc_id", "h").distinct())
+    return without(docs, [F.col(doc_id).cast("long"), F.xxhash64(utf8(F.col(text)))], leaked)

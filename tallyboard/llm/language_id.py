@@ -223,8 +223,8 @@ def _has_letter(text: bytes) -> bool:
     return any(c.isalpha() for c in text.decode("utf-8", "replace"))
 
 
-_COLUMNS = "doc_id long, held_out boolean, lang_pred string, score double"
-_ARROW = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
+_COLUMNS = "doc_id long, h long, held_out boolean, lang_pred string, score double"
+_ARROW = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
 
 def identify(docs: DataFrame, network: Network | None, doc_id: str = "doc_id", text: str = "text", fold: tuple[int, int] = (FOLDS, HELD_OUT)) -> DataFrame:
@@ -234,6 +234,11 @@ def identify(docs: DataFrame, network: Network | None, doc_id: str = "doc_id", t
     ``und`` and score 0. Ties go to the language that sorts first. Rows are independent:
     repeated rows repeat, an empty table gives an empty result, other columns are ignored.
     """
+    return _identify(docs, network, doc_id, text, fold).drop("h")
+
+
+def _identify(docs: DataFrame, network: Network | None, doc_id: str = "doc_id", text: str = "text", fold: tuple[int, int] = (FOLDS, HELD_OUT)) -> DataFrame:
+    """What ``identify`` gives, and the digest h of the text."""
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader(network) if network else None
@@ -255,15 +260,15 @@ def identify(docs: DataFrame, network: Network | None, doc_id: str = "doc_id", t
                     best = int(np.argmax(pooled[k, :-1]))
                     names.append(reader.network.languages[best])
                     scores.append(float(min(1.0, pooled[k, best] / letters)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(scores, pa.float64())], schema=_ARROW)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(scores, pa.float64())], schema=_ARROW)
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), (remainder(F.col(doc_id), fold[0]) == fold[1]).alias("held_out"), utf8(F.col(text)).alias("body"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), (remainder(F.col(doc_id), fold[0]) == fold[1]).alias("held_out"), utf8(F.col(text)).alias("body")).withColumn("h", F.xxhash64("body"))
     return rows.mapInArrow(predict, _COLUMNS)
 
 
 def keep_identified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` without those whose language is ``und``; rows with a null id stay."""
+    """``docs`` without the rows whose language is ``und``, by id and text; a null id is an id like others."""
     network = train_network(docs, doc_id, text, **options)
-    found = identify(docs, network, doc_id, text)
-    rejected = settle(found.filter((F.col("lang_pred") == UNKNOWN) & F.col("doc_id").isNotNull()).select("doc_id"))
-    return without(docs, [F.col(doc_id)], rejected)
+    found = _identify(docs, network, doc_id, text)
+    rejected = settle(found.filter(F.col("lang_pred") == UNKNOWN).select("doc_id", "h").distinct())
+    return without(docs, [F.col(doc_id).cast("long"), F.xxhash64(utf8(F.col(text)))], rejected)

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from tallyboard.llm import class_lm, secret_scan
+from tallyboard.llm import class_lm, decontaminate, language_id, secret_scan
 
 
 def test_best_classes_weigh_a_move_exactly():
@@ -77,3 +77,15 @@ def test_secrets_of_every_form_are_candidates(spark):
     found = {(r.doc_id, r.start, r.value) for r in secret_scan.find_candidates(docs, "doc_id", "text", "source").collect()}
     missing = [(t, v) for i, (t, v) in enumerate(cases.items()) if (i, t.index(v), v) not in found]
     assert not missing, (missing, found)
+
+
+def test_stages_judge_rows_by_id_and_text(spark):
+    """Rows without an id are judged too, and a clean row that shares an id stays."""
+    leak, clean = "one two three four five six seven eight", "nothing of the kind stands here"
+    docs = spark.createDataFrame([(None, leak), (None, clean), (1, leak), (1, clean), (2, None), (None, "12 34"), (3, "12 34"), (3, clean)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, leak), (2, "ten eleven twelve thirteen fourteen fifteen")], "item_id long, text string")
+    for options in ({}, {"pass_bytes": 45}):
+        left = decontaminate.decontaminate(docs, items, **options).collect()
+        assert sorted(map(str, left)) == sorted(map(str, docs.filter(docs.text.isNull() | (docs.text != leak)).collect()))
+    left = language_id.keep_identified(docs.withColumn("lang", docs.text.substr(1, 1))).collect()
+    assert sorted(((r.doc_id, r.text) for r in left), key=str) == sorted([(None, leak), (None, clean), (1, leak), (1, clean), (3, clean)], key=str)
