@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import class_lm, decontaminate, exact_dedup, jaccard_join, language_id, licenses, mixing, secret_scan, suffix_dedup, warc
+from . import class_lm, decontaminate, exact_dedup, jaccard_join, language_id, licenses, mixing, secret_scan, suffix_dedup, token_alignment, warc
 from .common import table
 
 
@@ -54,6 +54,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.train_network(docs))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_tokens(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_class_lm": op2_class_lm,
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_language_id": op10_language_id,
+    "op11_token_alignment": op11_token_alignment,
 }
 
 ORACLES = {
