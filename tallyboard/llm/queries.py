@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import class_lm, decontaminate, exact_dedup, jaccard_join, language_id, licenses, mixing, secret_scan, suffix_dedup, token_alignment, warc
+from . import class_lm, collocations, decontaminate, exact_dedup, jaccard_join, language_id, licenses, mixing, quality_rules, secret_scan, suffix_dedup, token_alignment, warc
 from .common import table
 
 
@@ -58,6 +58,14 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align_tokens(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine_phrases(table(spark, sf_dir, "documents"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.apply_rules(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_class_lm": op2_class_lm,
@@ -70,9 +78,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_language_id": op10_language_id,
     "op11_token_alignment": op11_token_alignment,
+    "op12_collocations": op12_collocations,
+    "op13_quality_rules": op13_quality_rules,
 }
 
 ORACLES = {
     "op8_mix_sources": mixing.ORACLE,
     "op9_exact_dedup": exact_dedup.ORACLE,
+    "op12_collocations": collocations.ORACLE,
+    "op13_quality_rules": quality_rules.ORACLE,
 }
