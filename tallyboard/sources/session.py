@@ -35,7 +35,20 @@ def settle(df: DataFrame) -> DataFrame:
         context.setCheckpointDir(named)
     path = f"{context.getCheckpointDir()}/{uuid.uuid4().hex}"
     _settled.append(path)
-    return write_table(df, path)
+    out = write_table(df, path)
+    out._settled_at = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete what one frame that ``settle`` returned has written, once nothing reads it any more."""
+    _settled.remove(df._settled_at)
+    _delete(df.sparkSession, df._settled_at)
+
+
+def _delete(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 _settled: list[str] = []
@@ -51,11 +64,9 @@ def release_settled(spark: SparkSession, since: int = 0) -> int:
 
     Call it once the results that read them are written.
     """
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     gone = 0
     while len(_settled) > since:
-        path = jvm.org.apache.hadoop.fs.Path(_settled.pop())
-        gone += bool(path.getFileSystem(conf).delete(path, True))
+        gone += bool(_delete(spark, _settled.pop()))
     return gone
 
 
