@@ -5,7 +5,7 @@ tell most about each other. The start is an exchange over items: a word with at
 1/ITEM_SHARE of all tokens is an item of its own, the others are items by their last
 letters. From there every training word is placed by itself, on Spark: each round counts
 the classes before and after every word, and half of the words go to their best class
-against the class table of the round's start. Words that training does not have go by their
+against the class table of the round's start, so two rounds place every word once. Words that training does not have go by their
 last letters. A text's probability is the product over its tokens of the class transition and
 of the word's emission from its class, both smoothed; the class chain starts from the end
 token's class.
@@ -24,10 +24,10 @@ import pyarrow as pa
 import pyarrow.compute
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ..sources.session import settle
-from .common import remainder, slices, utf8
+from ..sources.session import release, settle
+from .common import answer, remainder, slices, utf8
 from .wordhash import LOWER, find_words, hash_spans
 
 FOLDS, HELD_OUT = 7, 2
@@ -36,6 +36,10 @@ ITEM_SHARE = 2048
 """Every item of the start but the rest has 1/2048 of all tokens or more, so there are at most 2049, and 2049 ** 2 pairs."""
 CLASSES = 48
 ROUNDS = 6
+PLACING = 2
+"""Rounds on Spark. More of them raise the mutual information of the training texts, not the probability of others (README)."""
+FAN = 256
+"""Counts of a word from more blocks than this are summed in several steps, so that no row gathers more parts."""
 PRIOR = 50.0
 """Tokens that a class's share of the corpus counts for among its transitions."""
 END, REST = 0, 1
@@ -250,14 +254,14 @@ class Model:
 def _answered(blocks: DataFrame, found: DataFrame, *columns: str) -> DataFrame:
     """Blocks with ``columns`` of their words, from the rows of ``found``."""
     answers = found.groupBy("block").agg(F.collect_list(F.struct("code", *columns)).alias("answers"))
-    return blocks.select("block", "ids", "held", "sizes", "codes").join(answers, "block", "left").select("ids", "held", "sizes", "codes", "answers")
+    return blocks.select("block", "ids", "held", "sizes", "codes").join(answers, "block", "left")
 
 
-def _read(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[list, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]]:
-    """Per block its ids, folds, sizes, codes, and the words' ``columns`` by code."""
+def _read(batches: Iterator[pa.RecordBatch], *columns: str, first: str = "block") -> Iterator[tuple]:
+    """Per block its number (or other ``first`` column), folds, sizes, codes, and the words' ``columns`` by code."""
     for batch in batches:
         for row in range(batch.num_rows):
-            ids, held, sizes = (batch.column(c)[row].as_py() for c in ("ids", "held", "sizes"))
+            ids, held, sizes = (batch.column(c)[row].as_py() for c in (first, "held", "sizes"))
             answers = batch.column("answers")[row].values
             n = len(answers) if answers is not None else 0
             by_code = [np.zeros(n, np.int64) for _ in columns]
@@ -291,12 +295,17 @@ def _pairs(blocks: DataFrame, found: DataFrame, m: int) -> np.ndarray:
     return out.reshape(m, m)
 
 
-def _neighbours(blocks: DataFrame, found: DataFrame, k: int) -> DataFrame:
-    """id, own class and counts of the neighbouring classes of every training word, a packed part per block; see ``best_classes`` for slots."""
+def _packed(entries: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Entries (slot, n) as 32-bit numbers, cut at ``ends``."""
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(((ends - ends[0]) * 8).astype("<i4").tobytes()), pa.py_buffer(np.ascontiguousarray(entries[ends[0] : ends[-1]].astype("<i4")).tobytes())])
+
+
+def _neighbours(blocks: DataFrame, found: DataFrame, k: int, n_blocks: int, fan: int = FAN) -> DataFrame:
+    """id, own class and counts of the neighbouring classes of every training word, in at most about ``fan`` packed parts; see ``best_classes`` for slots."""
     width = 2 * k + 1
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, held, sizes, codes, (number, class_) in _read(batches, "id", "class"):
+        for block, held, sizes, codes, (number, class_) in _read(batches, "id", "class"):
             series, _ = _training(codes, held, sizes)
             a, b = series[:-1], series[1:]
             of = np.append(class_, END)
@@ -306,18 +315,37 @@ def _neighbours(blocks: DataFrame, found: DataFrame, k: int) -> DataFrame:
             if not len(keys):
                 continue
             code, first = np.unique(keys // width, return_index=True)
-            packed = np.ascontiguousarray(np.stack([keys % width, n], 1).astype("<i4"))
+            entries = np.stack([keys % width, n], 1)
             ends = np.append(first, len(keys))
             for lo in range(0, len(code), 20_000):
                 part = code[lo : lo + 20_000]
                 cut = ends[lo : lo + len(part) + 1]
-                counts = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(((cut - cut[0]) * 8).astype("<i4").tobytes()), pa.py_buffer(packed[cut[0] : cut[-1]].tobytes())])
-                yield pa.RecordBatch.from_arrays([pa.array(number[part]), pa.array(class_[part].astype(np.int32)), counts], names=["id", "own", "counts"])
+                yield pa.RecordBatch.from_arrays([pa.array(number[part]), pa.array(class_[part].astype(np.int32)), pa.array(np.full(len(part), block)), _packed(entries, cut)], names=["id", "own", "part", "counts"])
 
-    rows = _answered(blocks, found, "id", "class").mapInArrow(count, "id long, own int, counts binary")
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of, slots, n = _unpack(batch)
+            keys, at = np.unique(of * width + slots, return_inverse=True)
+            sums = np.bincount(at, n, len(keys)).astype(np.int64)
+            times = -(-sums // _MOST)  # a sum beyond 32 bits is several entries
+            keys, sums = np.repeat(keys, times), np.repeat(sums, times)
+            again = np.arange(len(keys)) - np.repeat(np.cumsum(times) - times, times)
+            entries = np.stack([keys % width, np.minimum(sums - again * _MOST, _MOST)], 1)
+            ends = np.searchsorted(keys // width, np.arange(batch.num_rows + 1))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("own"), batch.column("part"), _packed(entries, ends)], names=["id", "own", "part", "counts"])
+
+    schema = "id long, own int, part long, counts binary"
+    rows, parts = _answered(blocks, found, "id", "class").mapInArrow(count, schema), n_blocks
+    while parts > fan:
+        parts = -(-parts // fan)
+        part = F.pmod(F.xxhash64("part", F.lit(parts)), F.lit(parts)).alias("part")
+        rows = rows.groupBy("id", part).agg(F.min("own").alias("own"), F.collect_list("counts").alias("counts")).select("id", "own", "part", "counts").mapInArrow(add, schema)
     return rows.groupBy("id").agg(F.min("own").alias("own"), F.collect_list("counts").alias("counts"))
 
 
+_MOST = 1 << 30
+
+
 def _unpack(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Entries (row of the batch, slot, n) of a batch's packed counts."""
     column = batch.column("counts")
@@ -364,26 +392,41 @@ def _moved(near: DataFrame, table: np.ndarray, half: int) -> DataFrame:
     return near.mapInArrow(choose, "id long, class int")
 
 
-def cluster(blocks: DataFrame, start: DataFrame, k: int, empty: int, rounds: int) -> tuple[DataFrame, np.ndarray]:
+def cluster(blocks: DataFrame, start: DataFrame, k: int, empty: int, rounds: int, n_blocks: int, fan: int = FAN) -> tuple[DataFrame, np.ndarray]:
     """The words with the class of each, and the counts of neighbouring classes under it.
 
     ``start`` has the words with the class they start from, which words without training
     tokens keep. Halves of the words move in turn; the assignment with the highest
-    mutual information is returned.
+    mutual information is returned. What a round has settled is deleted when the next
+    one has read it.
     """
-    found, best, gains = start, None, []
+    found, best, gains, placed = start, None, [], None
     for number in range(rounds + 1):
-        near = settle(_neighbours(blocks, found, k))
-        table = _class_table(near, k, empty)
+        if number < rounds:
+            near = settle(_neighbours(blocks, found, k, n_blocks, fan))
+            table = _class_table(near, k, empty)
+        else:
+            table = _pairs(blocks, found.select("block", "code", F.col("class").alias("item")), k)
         value = information(table)
         gains.append(np.inf if best is None else value - best[0])
         if best is None or value > best[0]:
-            best = (value, found, table)
+            stale = best and best[3]
+            best = (value, found, table, placed)
+        else:
+            stale = placed
+        if stale:
+            release(stale)
         spread = abs(value - information(np.outer(table.sum(1), table.sum(0)) / max(1, table.sum())))
-        if number == rounds or max(gains[-2:]) < SETTLED * spread:
+        if number == rounds:
+            break
+        ended = max(gains[-2:]) < SETTLED * spread
+        if not ended:
+            placed = settle(_moved(near, table, number % 2))
+            moved = placed.withColumnRenamed("class", "placed")
+            found = start.join(moved, "id", "left").withColumn("class", F.coalesce("placed", "class")).drop("placed")
+        release(near)
+        if ended:
             break
-        placed = settle(_moved(near, table, number % 2)).withColumnRenamed("class", "placed")
-        found = start.join(placed, "id", "left").withColumn("class", F.coalesce("placed", "class")).drop("placed")
     return best[1], best[2]
 
 
@@ -395,7 +438,7 @@ def _score(blocks: DataFrame, found: DataFrame, ends: int, model: Model) -> Data
     """Per text its tokens, known tokens, sum of log10(count + 1) and score; ``ends`` counts the end token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, held, sizes, codes, (count, class_) in _read(batches, "c", "class"):
+        for ids, held, sizes, codes, (count, class_) in _read(batches, "c", "class", first="ids"):
             first = np.cumsum(sizes) - sizes
             logs = np.concatenate([[0.0], np.cumsum(np.log10(count + 1)[codes])])
             known = np.concatenate([[0], np.cumsum(count[codes] > 0)])
@@ -414,7 +457,7 @@ def _score(blocks: DataFrame, found: DataFrame, ends: int, model: Model) -> Data
     return _answered(blocks, found, "c", "class").mapInArrow(run, _SCORED)
 
 
-def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fold: tuple[int, int] = (FOLDS, HELD_OUT), classes: int = CLASSES, rounds: int = ROUNDS, item_share: int = ITEM_SHARE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fold: tuple[int, int] = (FOLDS, HELD_OUT), classes: int = CLASSES, rounds: int = ROUNDS, item_share: int = ITEM_SHARE, block_bytes: int = BLOCK_BYTES, placing: int = PLACING, fan: int = FAN) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity per row of ``docs``.
 
     Words are cut at white space and A-Z lower-cased; one end follows each text and is
@@ -426,15 +469,16 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fol
     training = F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b)
     texts_in = F.size(F.filter("held", lambda h: ~h))
     empty = F.size(F.filter(F.arrays_zip("held", "sizes"), lambda t: ~t["held"] & (t["sizes"] == 0)))
-    sums = blocks.agg(F.sum(training).alias("words"), F.sum(texts_in).alias("texts"), F.sum(empty).alias("empty")).first()
+    sums = blocks.agg(F.sum(training).alias("words"), F.sum(texts_in).alias("texts"), F.sum(empty).alias("empty"), F.count("*").alias("blocks"), F.sum(F.size("words")).alias("listed")).first()
     ends = sums.texts or 0
     total = (sums.words or 0) + ends
     listed = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("code", "w")).select("block", "code", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    same = Window.partitionBy("word")
-    counted = listed.withColumns({"c": F.sum("n").over(same), "first": F.col("block") == F.min("block").over(same)})
     shape = F.concat(F.lit(" "), F.substring("word", -2, 2))
     key = F.when((F.col("c") > 0) & (F.col("c") * item_share >= total), F.col("word")).otherwise(shape)
-    words = settle(counted.select("block", "code", F.xxhash64("word").alias("id"), "c", "first", key.alias("key")))
+    counted = settle(listed.groupBy("word").agg(F.sum("n").alias("c"), F.min("block").alias("least"), F.count("*").alias("blocks")).withColumns({"id": F.xxhash64("word"), "key": key}))
+    counts = answer(listed.drop("n"), counted, ["word"], ["id", "c", "key", "least"], "blocks", sums.listed or 0)
+    words = settle(counts.select("block", "code", "id", "c", (F.col("block") == F.col("least")).alias("first"), "key"))
+    release(counted)
 
     kept = words.filter("first and c > 0").groupBy("key").agg(F.sum("c").alias("tokens"), F.count("*").alias("words"))
     kept = settle(kept)
@@ -449,7 +493,7 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fol
     k = int(of.max()) + 1
     begun = docs.sparkSession.createDataFrame([(r.key, int(of[i + 2])) for i, r in enumerate(items)], "key string, class int")
     start = words.join(F.broadcast(begun), "key", "left").select("block", "code", "id", "c", "first", F.coalesce("class", F.lit(int(of[REST]))).alias("class"))
-    found, table = cluster(blocks, start, k, sums.empty or 0, rounds)
+    found, table = cluster(blocks, start, k, sums.empty or 0, placing, sums.blocks, fan)
     found = settle(found.select("block", "code", "c", "first", "class"))
     total_of, different_of = np.zeros(k), np.zeros(k)
     for r in found.filter("first and c > 0").groupBy("class").agg(F.sum("c").alias("tokens"), F.count("*").alias("words")).collect():
