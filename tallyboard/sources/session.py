@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -46,6 +47,16 @@ def release(df: DataFrame) -> None:
     _delete(df.sparkSession, df._settled_at)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Have Spark remove the shuffle files of results that no frame refers to any more.
+
+    It does so when the driver's garbage collector meets them, which may be long after a
+    loop over many rounds has filled the executors' disks.
+    """
+    gc.collect()
+    spark._jvm.java.lang.System.gc()
+
+
 def _delete(spark: SparkSession, path: str) -> bool:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
