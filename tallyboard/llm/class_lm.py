@@ -26,7 +26,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from ..sources.session import release, settle
+from ..sources.session import release, release_shuffles, settle
 from .common import answer, remainder, slices, utf8
 from .wordhash import LOWER, find_words, hash_spans
 
@@ -424,7 +424,9 @@ def cluster(blocks: DataFrame, start: DataFrame, k: int, empty: int, rounds: int
             placed = settle(_moved(near, table, number % 2))
             moved = placed.withColumnRenamed("class", "placed")
             found = start.join(moved, "id", "left").withColumn("class", F.coalesce("placed", "class")).drop("placed")
-        release(near)
+            release(near)
+            del near
+            release_shuffles(blocks.sparkSession)
         if ended:
             break
     return best[1], best[2]
@@ -478,7 +480,9 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fol
     counted = settle(listed.groupBy("word").agg(F.sum("n").alias("c"), F.min("block").alias("least"), F.count("*").alias("blocks")).withColumns({"id": F.xxhash64("word"), "key": key}))
     counts = answer(listed.drop("n"), counted, ["word"], ["id", "c", "key", "least"], "blocks", sums.listed or 0)
     words = settle(counts.select("block", "code", "id", "c", (F.col("block") == F.col("least")).alias("first"), "key"))
+    del counts
     release(counted)
+    release_shuffles(docs.sparkSession)
 
     kept = words.filter("first and c > 0").groupBy("key").agg(F.sum("c").alias("tokens"), F.count("*").alias("words"))
     kept = settle(kept)
