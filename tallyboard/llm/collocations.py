@@ -1,14 +1,15 @@
 """Phrases whose words stand together more often than their parts do, from a weighted de Bruijn graph.
 
 Nodes are runs of three words, edges the runs of four that overlap in them. One pass over
-the texts counts every word. A second one emits, for each word, the longest run from it: an
+the texts counts every word. The last one emits, for each word, the longest run from it: an
 edge, or a shorter run where its piece ends. These are aggregated once; counts of shorter
 phrases are the flow out of a node plus the runs that end there, so no length but the
 longest is counted in the texts. Stretches of edges without a branch are compacted into paths.
 
-Words that occur less than ``least`` times cannot be in a candidate, so the second pass ends
-pieces at them. It knows them from a bitmap of fixed size; a rare word that shares a bit
-with a frequent one costs work only.
+Words and pairs of words that occur less than ``least`` times cannot be in a candidate, so
+the last pass ends pieces at them. It knows them from bitmaps of fixed size: of the words
+counted, and of places that pairs are counted by in a pass between. What shares a place
+with something frequent costs work only.
 """
 
 from __future__ import annotations
@@ -32,9 +33,11 @@ SHARE = 80
 LONGEST = 4
 BITS = 26
 """Places in the bitmap of frequent words: 2 ** 26 bits are 8 MB."""
+PAIR_BITS = 27
+"""Places that pairs of words are counted by; the bitmap of the frequent ones has 16 MB."""
 _CELL = 15
-"""A row of the bitmap has 2 ** 15 bits."""
-FLUSH_BYTES = 4 << 20
+"""A row of a bitmap has 2 ** 15 bits."""
+FLUSH_BYTES, FLUSH_PAIRS = 4 << 20, 2_000_000
 ENDS_PIECE = np.array([chr(c) in ".,;:!?" or 0x0A <= c <= 0x0D for c in range(256)])
 ENDS_WORD = ENDS_PIECE | np.array([c in (0x20, 0x09) for c in range(256)])
 
@@ -48,31 +51,26 @@ def _languages(batch: pa.RecordBatch) -> tuple[list[str], np.ndarray, np.ndarray
     return names, coded.indices.to_numpy(), hash_spans(np.frombuffer(b"".join(raw), np.uint8), ends - [len(r) for r in raw], ends)
 
 
-_COUNTED = pa.schema([("lang", pa.string()), ("word", pa.string()), ("place", pa.int64()), ("n", pa.int64())])
+_COUNTED = pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
 
 
 def _counted(counts: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
-    """Words with counts and places in the bitmap; one row without a word counts all of a language."""
+    """Words with counts; one row without a word counts all of a language."""
     for lang, words in counts.items():
-        raw = list(words)
-        sizes = np.array([len(w) for w in raw], np.int64)
-        ends = np.cumsum(sizes)
-        key = lang.encode()
-        salt = hash_spans(np.frombuffer(key, np.uint8), np.array([0]), np.array([len(key)]))[0]
-        places = _places(hash_spans(np.frombuffer(b"".join(raw), np.uint8), ends - sizes, ends), salt)
-        n = np.fromiter(words.values(), np.int64, len(raw))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * (len(raw) + 1)), pa.array([*(w.decode("utf-8", "replace") for w in raw), None], pa.string()), pa.array([*places.tolist(), None], pa.int64()), pa.array(np.append(n, n.sum()))],
-            schema=_COUNTED,
-        )
+        raw, n = list(words), np.fromiter(words.values(), np.int64, len(words))
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * (len(raw) + 1)), pa.array([*(w.decode("utf-8", "replace") for w in raw), None], pa.string()), pa.array(np.append(n, n.sum()))], schema=_COUNTED)
 
 
-def _places(words: np.ndarray, salts: np.ndarray) -> np.ndarray:
-    return (mix(words ^ salts) >> np.uint64(64 - BITS)).astype(np.int64)
+def _places(words: np.ndarray, salts: np.ndarray, bits: int = BITS) -> np.ndarray:
+    return (mix(words ^ salts) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _set(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (bits[places >> 3] >> (places & 7).astype(np.uint8) & 1).astype(bool)
 
 
 def count_words(rows: DataFrame) -> DataFrame:
-    """lang, word, place in the bitmap and count; the row without a word counts all words of the language."""
+    """lang, word and count; the row without a word counts all words of the language."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, Counter] = {}
@@ -92,29 +90,72 @@ def count_words(rows: DataFrame) -> DataFrame:
                     counts, held = {}, 0
         yield from _counted(counts)
 
-    return rows.mapInArrow(count, "lang string, word string, place long, n long").groupBy("lang", "word").agg(F.min("place").alias("place"), F.sum("n").alias("n"))
+    return rows.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+
+
+def word_places(words: DataFrame) -> DataFrame:
+    """The place of each word in the bitmap."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, of, salts = _languages(batch)
+            for begin, end, data, offsets in slices(batch.column("word")):
+                yield pa.RecordBatch.from_arrays([pa.array(_places(hash_spans(data, offsets[:-1], offsets[1:]), salts[of[begin:end]]))], names=["place"])
 
+    return words.select("lang", utf8(F.col("word")).alias("word")).mapInArrow(place, "place long")
 
-def frequent_bits(words: DataFrame) -> np.ndarray:
-    """The bitmap of the words' places: 2 ** (BITS - 15) rows of 4 KB at most come to the driver."""
+
+def frequent_bits(words: DataFrame, size: int = BITS) -> np.ndarray:
+    """The bitmap of the rows' places: 2 ** (size - 15) rows of 4 KB at most come to the driver."""
     cells = words.groupBy(F.shiftright("place", _CELL).alias("cell")).agg(F.call_function("bitmap_construct_agg", F.col("place").bitwiseAND((1 << _CELL) - 1)).alias("bits"))
-    bits = np.zeros((1 << (BITS - _CELL), (1 << _CELL) // 8), np.uint8)
+    bits = np.zeros((1 << (size - _CELL), (1 << _CELL) // 8), np.uint8)
     for r in cells.collect():
         bits[r.cell, : len(r.bits)] = np.frombuffer(r.bits, np.uint8)
     return bits.ravel()
 
 
-def _runs(data: np.ndarray, offsets: np.ndarray, salts: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of every frequent word of two and more in a piece: its text's row, the words and text of the longest run from it, and where those texts end."""
+def _linked(data: np.ndarray, offsets: np.ndarray, salts: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Start, end and text of every word; the words followed in their piece by one that is frequent as they are, and the places of these pairs."""
     starts, ends, first = find_words(data, offsets, ENDS_WORD)
-    if len(starts) < 2:
-        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint8), np.zeros(1, np.int64))
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    place = _places(hash_spans(data, starts, ends), salts[row])
-    common = (bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+    hashes = hash_spans(data, starts, ends)
+    common = _set(bits, _places(hashes, salts[row]))
     pieces = np.concatenate([[0], np.cumsum(ENDS_PIECE[data])])
+    linked = np.flatnonzero(common[:-1] & common[1:] & (row[:-1] == row[1:]) & (pieces[starts[1:]] == pieces[ends[:-1]]))
+    pairs = _places(hashes[linked] * _FIRST + hashes[linked + 1], salts[row[linked]], PAIR_BITS)
+    return starts, ends, row, linked, pairs
+
+
+_FIRST = np.uint64(0xD6E8FEB86659FD93)
+
+
+def count_pairs(rows: DataFrame, bits: np.ndarray) -> DataFrame:
+    """place and count of the pairs of frequent words; pairs that share a place are counted together."""
+    shared = rows.sparkSession.sparkContext.broadcast(bits)
+
+    def flush(held: list[np.ndarray]) -> pa.RecordBatch:
+        places, n = np.unique(np.concatenate([np.zeros(0, np.int64), *held]), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(places.astype(np.int32)), pa.array(n.astype(np.int32))], names=["place", "n"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in batches:
+            _, of, hashes = _languages(batch)
+            for begin, end, data, offsets in slices(batch.column("body")):
+                held.append(_linked(data, offsets, hashes[of[begin:end]], shared.value)[4])
+                if sum(map(len, held)) > FLUSH_PAIRS:
+                    yield flush(held)
+                    held = []
+        yield flush(held)
+
+    return rows.mapInArrow(count, "place int, n int").groupBy("place").agg(F.sum("n").alias("n"))
+
+
+def _runs(data: np.ndarray, offsets: np.ndarray, salts: np.ndarray, bits: np.ndarray, pair_bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of every word that starts a frequent pair: its text's row, the words and text of the longest run from it, and where those texts end."""
+    starts, ends, row, linked, pairs = _linked(data, offsets, salts, bits)
     goes_on = np.zeros(len(starts) + LONGEST, bool)
-    goes_on[: len(starts) - 1] = common[:-1] & common[1:] & (row[:-1] == row[1:]) & (pieces[starts[1:]] == pieces[ends[:-1]])
+    goes_on[linked[_set(pair_bits, pairs)]] = True
     words, so_far = np.ones(len(starts), np.int64), np.ones(len(starts), bool)
     for k in range(LONGEST - 1):
         so_far &= goes_on[k : k + len(starts)]
@@ -130,15 +171,15 @@ def _runs(data: np.ndarray, offsets: np.ndarray, salts: np.ndarray, bits: np.nda
     return row[at], words[at], spaced[np.repeat(begins[at] - out[:-1], length) + np.arange(out[-1])], out
 
 
-def emit_runs(rows: DataFrame, bits: np.ndarray) -> DataFrame:
-    """lang, run, k: for each word the longest run of frequent words from it, of two to four words."""
-    shared = rows.sparkSession.sparkContext.broadcast(bits)
+def emit_runs(rows: DataFrame, bits: np.ndarray, pair_bits: np.ndarray) -> DataFrame:
+    """lang, run, k: for each word the longest run of frequent pairs from it, of two to four words."""
+    shared = rows.sparkSession.sparkContext.broadcast((bits, pair_bits))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, of, hashes = _languages(batch)
             for begin, end, data, offsets in slices(batch.column("body")):
-                row, words, text, ends = _runs(data, offsets, hashes[of[begin:end]], shared.value)
+                row, words, text, ends = _runs(data, offsets, hashes[of[begin:end]], *shared.value)
                 for lo in range(0, len(row), 50_000):
                     n = min(50_000, len(row) - lo)
                     cut = ends[lo : lo + n + 1]
@@ -225,7 +266,9 @@ def mine_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), utf8(F.col(text)).alias("body"))
     words = settle(count_words(rows).filter((F.col("n") >= least) | F.col("word").isNull()))
     singles, totals = words.filter("word is not null and n >= %d" % least), words.filter("word is null").select("lang", F.col("n").alias("n_words"))
-    phrases = settle(count_phrases(emit_runs(rows, frequent_bits(singles)), least))
+    bits = frequent_bits(word_places(singles))
+    pair_bits = frequent_bits(count_pairs(rows, bits).filter(F.col("n") >= least), PAIR_BITS)
+    phrases = settle(count_phrases(emit_runs(rows, bits, pair_bits), least))
     candidates = phrases.withColumnRenamed("n", "a")
     total = candidates.count()
     paths = compact_paths(phrases)

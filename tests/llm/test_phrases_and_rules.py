@@ -53,7 +53,7 @@ def test_phrases_equal_plain_version(spark, least, top, group_rows):
 
 def test_phrases_with_a_full_bitmap(spark, monkeypatch):
     """Rare words taken for frequent ones change nothing."""
-    monkeypatch.setattr(collocations, "frequent_bits", lambda words: collocations.np.full(1 << (collocations.BITS - 3), 255, collocations.np.uint8))
+    monkeypatch.setattr(collocations, "frequent_bits", lambda words, size=collocations.BITS: collocations.np.full(1 << (size - 3), 255, collocations.np.uint8))
     rows = [(f"rare{i} a b c rare{i} b c d", "en") for i in range(5)]
     got = collocations.mine_phrases(spark.createDataFrame(rows, "text string, lang string"), least=3).select(*FIELDS).collect()
     assert sorted(map(tuple, got)) == mined(rows, 3)
