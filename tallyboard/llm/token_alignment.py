@@ -96,9 +96,11 @@ class Pieces:
 
 @lru_cache(maxsize=4)
 def load(kind: type, file: str) -> tuple:
-    """A tokenizer, its tokens' lengths in bytes and its ids in decimal, once per worker."""
+    """A tokenizer, its tokens' lengths in bytes, and its ids spelled inside a group and as its last, once per worker."""
     tokenizer = kind(file)
-    return tokenizer, np.array([len(b) for b in tokenizer.bytes], np.int64), [str(i) for i in range(len(tokenizer.bytes))]
+    inside = np.array([f"{i}," for i in range(len(tokenizer.bytes))], object)
+    last = np.array([f"{i}{'|' if kind is ByteLevel else ';'}" for i in range(len(tokenizer.bytes))], object)
+    return tokenizer, np.array([len(b) for b in tokenizer.bytes], np.int64), (inside, last)
 
 
 def encode_both(raw: bytes, a: ByteLevel, b: Pieces) -> tuple[list[int], list[int]]:
@@ -119,7 +121,7 @@ def encode_both(raw: bytes, a: ByteLevel, b: Pieces) -> tuple[list[int], list[in
 def cut_groups(ends_a: Sequence[int], ends_b: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
     """For each group the number of A tokens, and of B tokens, up to its end."""
     at_a, at_b = dict(zip(ends_a, range(1, len(ends_a) + 1))), dict(zip(ends_b, range(1, len(ends_b) + 1)))
-    common = sorted(at_a.keys() & at_b.keys())
+    common = [end for end in at_a if end in at_b]  # in the order of A's tokens, so sorted
     n = len(common)
     return np.fromiter(map(at_a.__getitem__, common), np.int64, n), np.fromiter(map(at_b.__getitem__, common), np.int64, n)
 
@@ -178,12 +180,18 @@ def link(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) ->
     return parts[0] if len(parts) == 1 else _summed(*(np.concatenate(c) for c in zip(*parts)))
 
 
-def spell_groups(a: list[str], b: list[str], cut_a: np.ndarray, cut_b: np.ndarray) -> str:
-    out, p, q = [], 0, 0
-    for i, j in zip(cut_a.tolist(), cut_b.tolist()):
-        out.append(f"{a[p]}|{b[q]}" if i - p == 1 == j - q else f"{','.join(a[p:i])}|{','.join(b[q:j])}")
-        p, q = i, j
-    return ";".join(out)
+def spell_groups(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray, spelled_a: tuple, spelled_b: tuple) -> str:
+    """``a1,a2|b1;a3|b2,b3``: each token is put at its place, with the sign that follows it."""
+    n_a, n_b = np.diff(cut_a, prepend=0), np.diff(cut_b, prepend=0)
+    out = np.empty(len(a) + len(b), object)
+    for ids, at, cut, (inside, last) in (
+        (a, np.arange(len(a)) + np.repeat(cut_b - n_b, n_a), cut_a, spelled_a),
+        (b, np.arange(len(b)) + np.repeat(cut_a, n_b), cut_b, spelled_b),
+    ):
+        text = inside[ids]
+        text[cut - 1] = last[ids[cut - 1]]
+        out[at] = text
+    return "".join(out.tolist())[:-1]
 
 
 _DOCUMENT = pa.struct([("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()), ("groups_sha256", pa.string()), ("pairs", pa.int64())])
@@ -204,7 +212,7 @@ class _Block:
             of_a, of_b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
             cuts = cut_groups(np.cumsum(len_a[of_a]).tolist(), np.cumsum(len_b[of_b]).tolist())
             keys, links = link(of_a, of_b, *cuts)
-            spelled = spell_groups([text_a[i] for i in ids_a], [text_b[i] for i in ids_b], *cuts)
+            spelled = spell_groups(of_a, of_b, *cuts, text_a, text_b)
             row |= {"n_groups": len(cuts[0]), "n_links": int(links.sum()), "groups_sha256": hashlib.sha256(spelled.encode()).hexdigest(), "pairs": len(keys)}
             self.keys.append(keys)
             self.links.append(links)
