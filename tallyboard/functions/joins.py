@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import MapType
 
-from ..sources.session import settle
+from ..sources.session import bounded, rows_at_most, settle
 from .columns import all_known
 
 LOOKUP_ROWS = 50_000
@@ -29,7 +29,13 @@ _PLACES = 32
 
 
 def fits(df: DataFrame, rows: int = LOOKUP_ROWS) -> bool:
-    """Whether a frame has at most ``rows`` rows. Runs a job that stops after ``rows + 1``."""
+    """Whether a frame has at most ``rows`` rows.
+
+    Known from writing it if it is settled; otherwise a job counts, up to ``rows + 1``.
+    """
+    most = rows_at_most(df)
+    if most is not None and most <= rows:
+        return True
     return not df.select(F.lit(1)).offset(rows).take(1)
 
 
@@ -69,7 +75,7 @@ def lookup_join(
     lookup rows for one key fan the row out, as a join does.
     """
     keys = [f"_key_{i}" for i in range(len(on))]
-    other = lookup.withColumnsRenamed(dict(zip(on.values(), keys)))
+    other = bounded(lookup.withColumnsRenamed(dict(zip(on.values(), keys))), lookup)
     keyed = df.withColumns({k: F.col(c) for k, c in zip(keys, on)})
     if fits(lookup, rows) if small is None else small:
         joined = keyed.join(F.broadcast(other), keys, how)

@@ -6,7 +6,7 @@ import gc
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from .files import write_table
 
@@ -25,6 +25,7 @@ def settle(df: DataFrame) -> DataFrame:
     The folder is the one the cluster names in ``spark.checkpoint.dir``. A local
     session without one gets a temporary folder; a cluster must name a shared one.
     Parquet keeps later reads to the columns they use. :func:`release_settled` deletes it.
+    Rows are counted while they are written, see :func:`rows_at_most`.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
@@ -36,11 +37,28 @@ def settle(df: DataFrame) -> DataFrame:
         context.setCheckpointDir(named)
     path = f"{context.getCheckpointDir()}/{uuid.uuid4().hex}"
     _settled.append(path)
-    out = write_table(df, path)
-    out._settled_at = path
+    seen = Observation()
+    out = write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)
+    out._settled_at, out._settled_rows = path, seen.get["rows"]
     return out
 
 
+def rows_at_most(df: DataFrame) -> int | None:
+    """How many rows a frame has at most, where writing it or :func:`bounded` has told; else None."""
+    return vars(df).get("_settled_rows")
+
+
+def bounded(df: DataFrame, *sources: DataFrame) -> DataFrame:
+    """``df`` itself, marked as having no more rows than ``sources`` together, if these are known.
+
+    For projections, filters, distinct rows and unions of settled frames.
+    """
+    known = [rows_at_most(s) for s in sources]
+    if None not in known:
+        df._settled_rows = sum(known)
+    return df
+
+
 def release(df: DataFrame) -> None:
     """Delete what one frame that ``settle`` returned has written, once nothing reads it any more."""
     _settled.remove(df._settled_at)
