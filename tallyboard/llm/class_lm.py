@@ -24,10 +24,10 @@ import pyarrow as pa
 import pyarrow.compute
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..sources.session import release, release_shuffles, settle
-from .common import answer, remainder, slices, utf8
+from .common import remainder, slices, utf8
 from .wordhash import LOWER, find_words, hash_spans
 
 FOLDS, HELD_OUT = 7, 2
@@ -471,17 +471,16 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fol
     training = F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b)
     texts_in = F.size(F.filter("held", lambda h: ~h))
     empty = F.size(F.filter(F.arrays_zip("held", "sizes"), lambda t: ~t["held"] & (t["sizes"] == 0)))
-    sums = blocks.agg(F.sum(training).alias("words"), F.sum(texts_in).alias("texts"), F.sum(empty).alias("empty"), F.count("*").alias("blocks"), F.sum(F.size("words")).alias("listed")).first()
+    sums = blocks.agg(F.sum(training).alias("words"), F.sum(texts_in).alias("texts"), F.sum(empty).alias("empty"), F.count("*").alias("blocks")).first()
     ends = sums.texts or 0
     total = (sums.words or 0) + ends
     listed = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("code", "w")).select("block", "code", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
+    # a word has one row per block at most, out of the block's hundred thousand words
+    same = Window.partitionBy("word")
+    counted = listed.withColumns({"c": F.sum("n").over(same), "first": F.col("block") == F.min("block").over(same)})
     shape = F.concat(F.lit(" "), F.substring("word", -2, 2))
     key = F.when((F.col("c") > 0) & (F.col("c") * item_share >= total), F.col("word")).otherwise(shape)
-    counted = settle(listed.groupBy("word").agg(F.sum("n").alias("c"), F.min("block").alias("least"), F.count("*").alias("blocks")).withColumns({"id": F.xxhash64("word"), "key": key}))
-    counts = answer(listed.drop("n"), counted, ["word"], ["id", "c", "key", "least"], "blocks", sums.listed or 0)
-    words = settle(counts.select("block", "code", "id", "c", (F.col("block") == F.col("least")).alias("first"), "key"))
-    del counts
-    release(counted)
+    words = settle(counted.select("block", "code", F.xxhash64("word").alias("id"), "c", "first", key.alias("key")))
     release_shuffles(docs.sparkSession)
 
     kept = words.filter("first and c > 0").groupBy("key").agg(F.sum("c").alias("tokens"), F.count("*").alias("words"))
