@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -38,7 +39,8 @@ def settle(df: DataFrame) -> DataFrame:
     path = f"{context.getCheckpointDir()}/{uuid.uuid4().hex}"
     _settled.append(path)
     seen = Observation()
-    out = write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)
+    with dropping_shuffles(df.sparkSession):
+        out = write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)
     out._settled_at, out._settled_rows = path, seen.get["rows"]
     return out
 
@@ -65,14 +67,22 @@ def release(df: DataFrame) -> None:
     _delete(df.sparkSession, df._settled_at)
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Have Spark remove the shuffle files of results that no frame refers to any more.
+@contextmanager
+def dropping_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Results computed inside leave no shuffle files on the executors once they are complete.
 
-    It does so when the driver's garbage collector meets them, which may be long after a
-    loop over many rounds has filled the executors' disks.
+    Without it the files stay until the driver's garbage collector meets them, which may be
+    long after many rounds have filled the disks. A frame that is computed twice writes them again.
     """
-    gc.collect()
-    spark._jvm.java.lang.System.gc()
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def _delete(spark: SparkSession, path: str) -> bool:

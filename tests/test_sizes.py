@@ -49,3 +49,12 @@ def test_release(spark):
     assert kept.count() == 5
     path = spark._jvm.org.apache.hadoop.fs.Path(gone._settled_at)
     assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def test_settling_leaves_no_shuffle_files(spark):
+    """The setting is as before afterwards, and a frame can be settled twice."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    counted = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    assert sorted(map(tuple, settle(counted).collect())) == sorted(map(tuple, settle(counted).collect())) == sorted(map(tuple, counted.collect()))
+    assert spark.conf.get(name, None) == before
