@@ -26,7 +26,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..sources.session import release, release_shuffles, settle
+from ..sources.session import dropping_shuffles, release, settle
 from .common import remainder, slices, utf8
 from .wordhash import LOWER, find_words, hash_spans
 
@@ -289,7 +289,8 @@ def _pairs(blocks: DataFrame, found: DataFrame, m: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["pair", "n"])
 
     counted = _answered(blocks, found, "item").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    rows = counted.toArrow()
+    with dropping_shuffles(blocks.sparkSession):
+        rows = counted.toArrow()
     out = np.zeros(m * m)
     out[rows.column("pair").to_numpy()] = rows.column("n").to_numpy()
     return out.reshape(m, m)
@@ -425,8 +426,6 @@ def cluster(blocks: DataFrame, start: DataFrame, k: int, empty: int, rounds: int
             moved = placed.withColumnRenamed("class", "placed")
             found = start.join(moved, "id", "left").withColumn("class", F.coalesce("placed", "class")).drop("placed")
             release(near)
-            del near
-            release_shuffles(blocks.sparkSession)
         if ended:
             break
     return best[1], best[2]
@@ -481,7 +480,6 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fol
     shape = F.concat(F.lit(" "), F.substring("word", -2, 2))
     key = F.when((F.col("c") > 0) & (F.col("c") * item_share >= total), F.col("word")).otherwise(shape)
     words = settle(counted.select("block", "code", F.xxhash64("word").alias("id"), "c", "first", key.alias("key")))
-    release_shuffles(docs.sparkSession)
 
     kept = words.filter("first and c > 0").groupBy("key").agg(F.sum("c").alias("tokens"), F.count("*").alias("words"))
     kept = settle(kept)
