@@ -89,3 +89,9 @@ def test_stages_judge_rows_by_id_and_text(spark):
         assert sorted(map(str, left)) == sorted(map(str, docs.filter(docs.text.isNull() | (docs.text != leak)).collect()))
     left = language_id.keep_identified(docs.withColumn("lang", docs.text.substr(1, 1))).collect()
     assert sorted(((r.doc_id, r.text) for r in left), key=str) == sorted([(None, leak), (None, clean), (1, leak), (1, clean), (3, clean)], key=str)
+
+
+def test_counts_summed_in_steps_place_words_alike(docs):
+    """Many small blocks, two parts a row at most: the same scores as with one step."""
+    one, steps = ({r.doc_id: round(r.score, 6) for r in class_lm.score_texts(docs.repartition(2), block_bytes=20_000, fan=fan).collect()} for fan in (256, 2))
+    assert one == steps
