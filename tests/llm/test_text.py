@@ -109,6 +109,18 @@ def test_templates():
     full = re.sub(r"<<var \d>>", "the Software", re.sub(r"<<\w+Optional>>", "", licenses.TEMPLATES["mit-text"]))
     assert "mit-text" in scan(full.upper().encode())[5]
     assert "mit-text" not in scan(full.replace("sublicense", "rent").encode())[5]
+    assert "mit-text" not in scan(full.replace("OUT OF OR IN CONNECTION", "YOU MUST PAY A FEE IN CONNECTION").encode())[5]
+    assert "mit-text" not in scan(full[: full.index("IN NO EVENT")].encode())[5]
+    for label, template in licenses.TEMPLATES.items():
+        for optional in (r"<<\w+Optional>>", r"<<beginOptional>>.*?<<endOptional>>"):
+            whole = re.sub(r"<<var \d+>>", "the Software", re.sub(optional, "", template))
+            if label != licenses.SPDX_TAG:
+                assert label in scan(b"x " + whole.encode() + b" y")[5], label
+                lead = b" ".join(licenses.compile_template(template).anchor)
+                assert label not in scan(b" ".join(licenses.words_of(whole.encode())).replace(lead, lead + b" not"))[5], label
+    assert scan(b"# SPDX-License-Identifier: GPL-2.0-only\nint x")[5] == ["GPL-2.0-only"]
+    assert scan(b"SPDX-License-Identifier: (MIT OR Apache-2.0) AND ISC. Or x")[5] == ["Apache-2.0", "ISC", "MIT"]
+    assert scan(b"SPDX-License-Identifier:")[5] == [] and scan(b"SPDX-License-Identifier: <x>")[5] == ["spdx-tag"]
     machine = licenses.compile_template("a <<beginOptional>>b <<beginOptional>>c<<endOptional>><<endOptional>> <<var 2>> d")
     match = lambda s: machine.match(s.encode().split(), 0)
     assert match("a d") == 2 and match("a b c x y d") == 6 and match("a b c x y z d") is None and match("a b") is None
