@@ -296,14 +296,22 @@ def _pairs(blocks: DataFrame, found: DataFrame, m: int) -> np.ndarray:
     return out.reshape(m, m)
 
 
-def _packed(entries: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """Entries (slot, n) as 32-bit numbers, cut at ``ends``."""
-    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(((ends - ends[0]) * 8).astype("<i4").tobytes()), pa.py_buffer(np.ascontiguousarray(entries[ends[0] : ends[-1]].astype("<i4")).tobytes())])
+_ENTRY = np.dtype([("slot", "u1"), ("n", "<u4")])
+
+
+def _packed(slots: np.ndarray, n: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Entries (slot, n) of five bytes each, cut at ``ends``."""
+    entries = np.empty(ends[-1] - ends[0], _ENTRY)
+    entries["slot"], entries["n"] = slots[ends[0] : ends[-1]], n[ends[0] : ends[-1]]
+    offsets = ((ends - ends[0]) * _ENTRY.itemsize).astype("<i4")
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(entries.tobytes())])
 
 
 def _neighbours(blocks: DataFrame, found: DataFrame, k: int, n_blocks: int, fan: int = FAN) -> DataFrame:
     """id, own class and counts of the neighbouring classes of every training word, in at most about ``fan`` packed parts; see ``best_classes`` for slots."""
     width = 2 * k + 1
+    if width > 256:
+        raise ValueError("a slot is one byte: at most 127 classes")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, held, sizes, codes, (number, class_) in _read(batches, "id", "class"):
@@ -316,12 +324,11 @@ def _neighbours(blocks: DataFrame, found: DataFrame, k: int, n_blocks: int, fan:
             if not len(keys):
                 continue
             code, first = np.unique(keys // width, return_index=True)
-            entries = np.stack([keys % width, n], 1)
             ends = np.append(first, len(keys))
             for lo in range(0, len(code), 20_000):
                 part = code[lo : lo + 20_000]
                 cut = ends[lo : lo + len(part) + 1]
-                yield pa.RecordBatch.from_arrays([pa.array(number[part]), pa.array(class_[part].astype(np.int32)), pa.array(np.full(len(part), block)), _packed(entries, cut)], names=["id", "own", "part", "counts"])
+                yield pa.RecordBatch.from_arrays([pa.array(number[part]), pa.array(class_[part].astype(np.int32)), pa.array(np.full(len(part), block)), _packed(keys % width, n, cut)], names=["id", "own", "part", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -331,9 +338,9 @@ def _neighbours(blocks: DataFrame, found: DataFrame, k: int, n_blocks: int, fan:
             times = -(-sums // _MOST)  # a sum beyond 32 bits is several entries
             keys, sums = np.repeat(keys, times), np.repeat(sums, times)
             again = np.arange(len(keys)) - np.repeat(np.cumsum(times) - times, times)
-            entries = np.stack([keys % width, np.minimum(sums - again * _MOST, _MOST)], 1)
+            sums = np.minimum(sums - again * _MOST, _MOST)
             ends = np.searchsorted(keys // width, np.arange(batch.num_rows + 1))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("own"), batch.column("part"), _packed(entries, ends)], names=["id", "own", "part", "counts"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("own"), batch.column("part"), _packed(keys % width, sums, ends)], names=["id", "own", "part", "counts"])
 
     schema = "id long, own int, part long, counts binary"
     rows, parts = _answered(blocks, found, "id", "class").mapInArrow(count, schema), n_blocks
@@ -351,10 +358,10 @@ def _unpack(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Entries (row of the batch, slot, n) of a batch's packed counts."""
     column = batch.column("counts")
     packed = column.flatten()
-    entries = np.frombuffer(b"".join(packed.to_pylist()), "<i4").reshape(-1, 2).astype(np.int64)
+    entries = np.frombuffer(b"".join(packed.to_pylist()), _ENTRY)
     parts = np.repeat(np.arange(batch.num_rows), column.value_lengths().to_numpy(zero_copy_only=False))
-    sizes = pa.compute.binary_length(packed).to_numpy(zero_copy_only=False) // 8
-    return np.repeat(parts, sizes), entries[:, 0], entries[:, 1].astype(float)
+    sizes = pa.compute.binary_length(packed).to_numpy(zero_copy_only=False) // _ENTRY.itemsize
+    return np.repeat(parts, sizes), entries["slot"].astype(np.int64), entries["n"].astype(float)
 
 
 def _class_table(near: DataFrame, k: int, empty: int) -> np.ndarray:
@@ -481,6 +488,9 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fol
     key = F.when((F.col("c") > 0) & (F.col("c") * item_share >= total), F.col("word")).otherwise(shape)
     words = settle(counted.select("block", "code", F.xxhash64("word").alias("id"), "c", "first", key.alias("key")))
 
+    lean = settle(blocks.select("block", "ids", "held", "sizes", "codes"))
+    release(blocks)
+    blocks = lean
     kept = words.filter("first and c > 0").groupBy("key").agg(F.sum("c").alias("tokens"), F.count("*").alias("words"))
     kept = settle(kept)
     items = kept.filter(F.col("tokens") * item_share >= total).orderBy("key").collect()
