@@ -117,7 +117,7 @@ def test_templates():
             if label != licenses.SPDX_TAG:
                 assert label in scan(b"x " + whole.encode() + b" y")[5], label
                 lead = b" ".join(licenses.compile_template(template).anchor)
-                assert label not in scan(b" ".join(licenses.words_of(whole.encode())).replace(lead, lead + b" not"))[5], label
+                assert label not in scan(b" ".join(licenses.words_of(whole.encode())).replace(lead, lead.rsplit(b" ", 1)[0] + b" not"))[5], label
     assert scan(b"# SPDX-License-Identifier: GPL-2.0-only\nint x")[5] == ["GPL-2.0-only"]
     assert scan(b"SPDX-License-Identifier: (MIT OR Apache-2.0) AND ISC. Or x")[5] == ["Apache-2.0", "ISC", "MIT"]
     assert scan(b"SPDX-License-Identifier:")[5] == [] and scan(b"SPDX-License-Identifier: <x>")[5] == ["spdx-tag"]
