@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from .files import write_table
@@ -69,10 +70,11 @@ def release(df: DataFrame) -> None:
 
 @contextmanager
 def dropping_shuffles(spark: SparkSession) -> Iterator[None]:
-    """Results computed inside leave no shuffle files on the executors once they are complete.
+    """Results of frames made inside leave no shuffle files on the executors once they are complete.
 
     Without it the files stay until the driver's garbage collector meets them, which may be
-    long after many rounds have filled the disks. A frame that is computed twice writes them again.
+    long after many rounds have filled the disks. A frame that is computed twice writes them
+    again. What counts is where a frame is made, not where it is computed; see :func:`last_read`.
     """
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
@@ -82,6 +84,12 @@ def dropping_shuffles(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
 
 
+def last_read(df: DataFrame) -> pa.Table:
+    """A small result on the driver, for a frame that is not computed again: its shuffle files are gone."""
+    with dropping_shuffles(df.sparkSession):
+        return df.select("*").toArrow()
+
+
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tallyboard.functions.joins import fits
-from tallyboard.sources.session import bounded, release, rows_at_most, settle
+from tallyboard.sources.session import bounded, last_read, release, rows_at_most, settle
 
 
 def jobs(spark, run):
@@ -58,3 +58,17 @@ def test_settling_leaves_no_shuffle_files(spark):
     counted = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
     assert sorted(map(tuple, settle(counted).collect())) == sorted(map(tuple, settle(counted).collect())) == sorted(map(tuple, counted.collect()))
     assert spark.conf.get(name, None) == before
+
+
+def test_a_last_read_leaves_no_shuffle_files(spark):
+    """Also of a frame that was made before; it can be computed again."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return files.getAllFiles().mkString(" ").count("shuffle_")
+
+    counted = spark.range(1000).repartition(5).groupBy((F.col("id") % 7).alias("k")).count()
+    before = shuffled()
+    assert sorted(r["count"] for r in last_read(counted).to_pylist()) == [142] * 1 + [143] * 6
+    assert shuffled() <= before
+    assert counted.count() == 7
