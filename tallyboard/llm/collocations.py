@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..sources.session import settle
+from ..sources.session import last_read, settle
 from .common import answer, slices, utf8
 from .wordhash import LOWER, find_words, hash_spans, mix
 
@@ -109,8 +109,9 @@ def frequent_bits(words: DataFrame, size: int = BITS) -> np.ndarray:
     """The bitmap of the rows' places: 2 ** (size - 15) rows of 4 KB at most come to the driver."""
     cells = words.groupBy(F.shiftright("place", _CELL).alias("cell")).agg(F.call_function("bitmap_construct_agg", F.col("place").bitwiseAND((1 << _CELL) - 1)).alias("bits"))
     bits = np.zeros((1 << (size - _CELL), (1 << _CELL) // 8), np.uint8)
-    for r in cells.collect():
-        bits[r.cell, : len(r.bits)] = np.frombuffer(r.bits, np.uint8)
+    rows = last_read(cells)
+    for cell, raw in zip(rows.column("cell").to_pylist(), rows.column("bits").to_pylist()):
+        bits[cell, : len(raw)] = np.frombuffer(raw, np.uint8)
     return bits.ravel()
 
 
