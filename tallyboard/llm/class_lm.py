@@ -4,9 +4,9 @@ All words of the training documents are counted and clustered, so that neighbour
 tell most about each other. The start is an exchange over items: a word with at least
 1/ITEM_SHARE of all tokens is an item of its own, the others are items by their last
 letters. From there every training word is placed by itself, on Spark: each round counts
-the classes before and after every word, and half of the words go to their best class
-against the class table of the round's start, so two rounds place every word once. Words that training does not have go by their
-last letters. A text's probability is the product over its tokens of the class transition and
+the classes before and after half of the words, which go to their best class against the
+class table of the round's start, so two rounds place every word once. Words that training
+does not have go by their last letters. A text's probability is the product over its tokens of the class transition and
 of the word's emission from its class, both smoothed; the class chain starts from the end
 token's class.
 
@@ -26,7 +26,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..sources.session import dropping_shuffles, release, settle
+from ..sources.session import last_read, release, settle
 from .common import remainder, slices, utf8
 from .wordhash import LOWER, find_words, hash_spans
 
@@ -289,8 +289,7 @@ def _pairs(blocks: DataFrame, found: DataFrame, m: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["pair", "n"])
 
     counted = _answered(blocks, found, "item").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    with dropping_shuffles(blocks.sparkSession):
-        rows = counted.toArrow()
+    rows = last_read(counted)
     out = np.zeros(m * m)
     out[rows.column("pair").to_numpy()] = rows.column("n").to_numpy()
     return out.reshape(m, m)
@@ -307,8 +306,12 @@ def _packed(slots: np.ndarray, n: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(entries.tobytes())])
 
 
-def _neighbours(blocks: DataFrame, found: DataFrame, k: int, n_blocks: int, fan: int = FAN) -> DataFrame:
-    """id, own class and counts of the neighbouring classes of every training word, in at most about ``fan`` packed parts; see ``best_classes`` for slots."""
+def _neighbours(blocks: DataFrame, found: DataFrame, k: int, n_blocks: int, half: int, fan: int = FAN) -> DataFrame:
+    """id, own class and counts of the neighbouring classes of the training words with an even or odd digest (``half``).
+
+    The counts are in at most about ``fan`` packed parts; see ``best_classes`` for slots.
+    Rows without an id tell how often each class stands before each other one, over all words.
+    """
     width = 2 * k + 1
     if width > 256:
         raise ValueError("a slot is one byte: at most 127 classes")
@@ -317,18 +320,27 @@ def _neighbours(blocks: DataFrame, found: DataFrame, k: int, n_blocks: int, fan:
         for block, held, sizes, codes, (number, class_) in _read(batches, "id", "class"):
             series, _ = _training(codes, held, sizes)
             a, b = series[:-1], series[1:]
-            of = np.append(class_, END)
-            before, after, twice = a >= 0, b >= 0, (a >= 0) & (a == b)
+            of, moves = np.append(class_, END), np.append((number >> 7 & 1) == half, False)
+
+            def rows(ids: pa.Array, own: np.ndarray, slots: np.ndarray, n: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays([ids, pa.array(own.astype(np.int32)), pa.array(np.full(len(own), block)), _packed(slots, n, ends)], names=["id", "own", "part", "counts"])
+
+            table = np.bincount(of[a] * k + of[b], minlength=k * k)
+            pairs = np.flatnonzero(table)
+            if not len(pairs):
+                continue
+            classes, first = np.unique(pairs // k, return_index=True)
+            yield rows(pa.nulls(len(classes), pa.int64()), classes, pairs % k, table[pairs], np.append(first, len(pairs)))
+
+            before, after = moves[a], moves[b]
+            twice = before & (a == b)
             keys = np.concatenate([a[before] * width + of[b[before]], b[after] * width + k + of[a[after]], a[twice] * width + 2 * k])
             keys, n = np.unique(keys, return_counts=True)
-            if not len(keys):
-                continue
             code, first = np.unique(keys // width, return_index=True)
             ends = np.append(first, len(keys))
             for lo in range(0, len(code), 20_000):
                 part = code[lo : lo + 20_000]
-                cut = ends[lo : lo + len(part) + 1]
-                yield pa.RecordBatch.from_arrays([pa.array(number[part]), pa.array(class_[part].astype(np.int32)), pa.array(np.full(len(part), block)), _packed(keys % width, n, cut)], names=["id", "own", "part", "counts"])
+                yield rows(pa.array(number[part]), class_[part], keys % width, n, ends[lo : lo + len(part) + 1])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -347,8 +359,8 @@ def _neighbours(blocks: DataFrame, found: DataFrame, k: int, n_blocks: int, fan:
     while parts > fan:
         parts = -(-parts // fan)
         part = F.pmod(F.xxhash64("part", F.lit(parts)), F.lit(parts)).alias("part")
-        rows = rows.groupBy("id", part).agg(F.min("own").alias("own"), F.collect_list("counts").alias("counts")).select("id", "own", "part", "counts").mapInArrow(add, schema)
-    return rows.groupBy("id").agg(F.min("own").alias("own"), F.collect_list("counts").alias("counts"))
+        rows = rows.groupBy("id", "own", part).agg(F.collect_list("counts").alias("counts")).mapInArrow(add, schema)
+    return rows.groupBy("id", "own").agg(F.collect_list("counts").alias("counts"))
 
 
 _MOST = 1 << 30
@@ -364,77 +376,69 @@ def _unpack(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.repeat(parts, sizes), entries["slot"].astype(np.int64), entries["n"].astype(float)
 
 
-def _class_table(near: DataFrame, k: int, empty: int) -> np.ndarray:
-    """Counts of neighbouring classes; ``empty`` training texts have no word."""
+def _class_table(near: DataFrame, k: int) -> np.ndarray:
+    """Counts of neighbouring classes, from the rows without an id."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(k * k)
         for batch in batches:
             of, slots, n = _unpack(batch)
-            own = batch.column("own").to_numpy().astype(np.int64)[of]
-            after, start = slots < k, slots == k + END
-            sums += np.bincount(own[after] * k + slots[after], n[after], k * k)
-            sums += np.bincount(END * k + own[start], n[start], k * k)
+            sums += np.bincount(batch.column("own").to_numpy().astype(np.int64)[of] * k + slots, n, k * k)
         some = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(sums[some].astype(np.int64))], names=["pair", "n"])
 
-    rows = near.mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    rows = last_read(near.filter("id is null").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")))
     out = np.zeros(k * k)
     out[rows.column("pair").to_numpy()] = rows.column("n").to_numpy()
-    out[END * k + END] += empty
     return out.reshape(k, k)
 
 
-def _moved(near: DataFrame, table: np.ndarray, half: int) -> DataFrame:
-    """id and class of every training word; of those with an even or odd digest (``half``), the best class."""
+def _placed(found: DataFrame, near: DataFrame, table: np.ndarray) -> DataFrame:
+    """The words of ``found``, those that ``near`` tells the neighbours of in their best class."""
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, 2000):
                 batch = whole.slice(lo, 2000)
-                number, own = batch.column("id").to_numpy(), batch.column("own").to_numpy().astype(np.int64)
-                best = best_classes(*_unpack(batch), own, table)
-                new = np.where((number >> 7 & 1) == half, best, own)
-                yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(new.astype(np.int32))], names=["id", "class"])
+                best = best_classes(*_unpack(batch), batch.column("own").to_numpy().astype(np.int64), table)
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(best.astype(np.int32))], names=["id", "placed"])
 
-    return near.mapInArrow(choose, "id long, class int")
+    moved = near.filter("id is not null").mapInArrow(choose, "id long, placed int")
+    return found.join(moved, "id", "left").withColumn("class", F.coalesce("placed", "class")).drop("placed")
 
 
-def cluster(blocks: DataFrame, start: DataFrame, k: int, empty: int, rounds: int, n_blocks: int, fan: int = FAN) -> tuple[DataFrame, np.ndarray]:
+def cluster(blocks: DataFrame, start: DataFrame, k: int, rounds: int, n_blocks: int, fan: int = FAN) -> tuple[DataFrame, np.ndarray]:
     """The words with the class of each, and the counts of neighbouring classes under it.
 
-    ``start`` has the words with the class they start from, which words without training
-    tokens keep. Halves of the words move in turn; the assignment with the highest
-    mutual information is returned. What a round has settled is deleted when the next
-    one has read it.
+    ``start`` has the words with the class they start from, settled; words without
+    training tokens keep it. Halves of the words move in turn; the assignment with the
+    highest mutual information is returned, settled. What else is settled, ``start``
+    too, is deleted once it is read.
     """
-    found, best, gains, placed = start, None, [], None
+    found, best, gains = start, None, []
     for number in range(rounds + 1):
+        near = None
         if number < rounds:
-            near = settle(_neighbours(blocks, found, k, n_blocks, fan))
-            table = _class_table(near, k, empty)
+            near = settle(_neighbours(blocks, found, k, n_blocks, number % 2, fan))
+            table = _class_table(near, k)
         else:
             table = _pairs(blocks, found.select("block", "code", F.col("class").alias("item")), k)
         value = information(table)
         gains.append(np.inf if best is None else value - best[0])
         if best is None or value > best[0]:
-            stale = best and best[3]
-            best = (value, found, table, placed)
-        else:
-            stale = placed
-        if stale:
-            release(stale)
+            if best:
+                release(best[1])
+            best = (value, found, table)
         spread = abs(value - information(np.outer(table.sum(1), table.sum(0)) / max(1, table.sum())))
-        if number == rounds:
-            break
-        ended = max(gains[-2:]) < SETTLED * spread
-        if not ended:
-            placed = settle(_moved(near, table, number % 2))
-            moved = placed.withColumnRenamed("class", "placed")
-            found = start.join(moved, "id", "left").withColumn("class", F.coalesce("placed", "class")).drop("placed")
+        ended = number == rounds or max(gains[-2:]) < SETTLED * spread
+        following = None if ended else settle(_placed(found, near, table))
+        if near:
             release(near)
+        if found is not best[1]:
+            release(found)
         if ended:
             break
+        found = following
     return best[1], best[2]
 
 
@@ -476,8 +480,7 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fol
     blocks = settle(encode(docs, doc_id, text, fold, block_bytes))
     training = F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b)
     texts_in = F.size(F.filter("held", lambda h: ~h))
-    empty = F.size(F.filter(F.arrays_zip("held", "sizes"), lambda t: ~t["held"] & (t["sizes"] == 0)))
-    sums = blocks.agg(F.sum(training).alias("words"), F.sum(texts_in).alias("texts"), F.sum(empty).alias("empty"), F.count("*").alias("blocks")).first()
+    sums = blocks.agg(F.sum(training).alias("words"), F.sum(texts_in).alias("texts"), F.count("*").alias("blocks")).first()
     ends = sums.texts or 0
     total = (sums.words or 0) + ends
     listed = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("code", "w")).select("block", "code", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
@@ -503,9 +506,9 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fol
     of = exchange(_pairs(blocks, words.join(F.broadcast(number), "key", "left").select("block", "code", F.coalesce("item", F.lit(REST)).alias("item")), len(tokens)), classes, rounds)
     k = int(of.max()) + 1
     begun = docs.sparkSession.createDataFrame([(r.key, int(of[i + 2])) for i, r in enumerate(items)], "key string, class int")
-    start = words.join(F.broadcast(begun), "key", "left").select("block", "code", "id", "c", "first", F.coalesce("class", F.lit(int(of[REST]))).alias("class"))
-    found, table = cluster(blocks, start, k, sums.empty or 0, placing, sums.blocks, fan)
-    found = settle(found.select("block", "code", "c", "first", "class"))
+    start = settle(words.join(F.broadcast(begun), "key", "left").select("block", "code", "id", "c", "first", F.coalesce("class", F.lit(int(of[REST]))).alias("class")))
+    release(words)
+    found, table = cluster(blocks, start, k, placing, sums.blocks, fan)
     total_of, different_of = np.zeros(k), np.zeros(k)
     for r in found.filter("first and c > 0").groupBy("class").agg(F.sum("c").alias("tokens"), F.count("*").alias("words")).collect():
         total_of[r["class"]], different_of[r["class"]] = r.tokens, r.words
