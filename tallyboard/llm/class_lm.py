@@ -258,16 +258,16 @@ def _answered(blocks: DataFrame, found: DataFrame, *columns: str) -> DataFrame:
 
 
 def _read(batches: Iterator[pa.RecordBatch], *columns: str, first: str = "block") -> Iterator[tuple]:
-    """Per block its number (or other ``first`` column), folds, sizes, codes, and the words' ``columns`` by code."""
+    """Per block its number (or other ``first`` column), folds, sizes, codes, and the words' ``columns`` by code, 0 for words without an answer."""
     for batch in batches:
         for row in range(batch.num_rows):
             ids, held, sizes = (batch.column(c)[row].as_py() for c in (first, "held", "sizes"))
             answers = batch.column("answers")[row].values
-            n = len(answers) if answers is not None else 0
-            by_code = [np.zeros(n, np.int64) for _ in columns]
+            at = answers.field("code").to_numpy() if answers is not None else np.zeros(0, np.int64)
+            by_code = [np.zeros(int(at.max(initial=-1)) + 1, np.int64) for _ in columns]
             for values, c in zip(by_code, columns):
-                if n:
-                    values[answers.field("code").to_numpy()] = answers.field(c).to_numpy()
+                if len(at):
+                    values[at] = answers.field(c).to_numpy()
             yield ids, np.array(held, bool), np.array(sizes, np.int64), _unsqueeze(batch.column("codes")[row].as_py()).astype(np.int64), by_code
 
 
@@ -419,10 +419,10 @@ def cluster(blocks: DataFrame, start: DataFrame, k: int, rounds: int, n_blocks:
     for number in range(rounds + 1):
         near = None
         if number < rounds:
-            near = settle(_neighbours(blocks, found, k, n_blocks, number % 2, fan))
+            near = settle(_neighbours(blocks, found.filter("c > 0"), k, n_blocks, number % 2, fan))
             table = _class_table(near, k)
         else:
-            table = _pairs(blocks, found.select("block", "code", F.col("class").alias("item")), k)
+            table = _pairs(blocks, found.filter("c > 0").select("block", "code", F.col("class").alias("item")), k)
         value = information(table)
         gains.append(np.inf if best is None else value - best[0])
         if best is None or value > best[0]:
@@ -442,6 +442,8 @@ def cluster(blocks: DataFrame, start: DataFrame, k: int, rounds: int, n_blocks:
     return best[1], best[2]
 
 
+_AT_ONCE = 200_000
+"""Words that a task scores at once, or one text."""
 _SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, score double"
 _SCORED_ARROW = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("log_counts", pa.float64()), ("score", pa.float64())])
 
@@ -451,20 +453,24 @@ def _score(blocks: DataFrame, found: DataFrame, ends: int, model: Model) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, held, sizes, codes, (count, class_) in _read(batches, "c", "class", first="ids"):
-            first = np.cumsum(sizes) - sizes
-            logs = np.concatenate([[0.0], np.cumsum(np.log10(count + 1)[codes])])
-            known = np.concatenate([[0], np.cumsum(count[codes] > 0)])
-            series = class_[codes]
-            for lo in range(0, len(ids), 2000):
-                part = slice(lo, lo + 2000)
-                size = sizes[part]
-                a, b = first[part], first[part] + size
-                given = logs[b] - logs[a] + np.log10(ends + 1)
-                score = model.score(np.insert(series[a[0] : b[-1]], np.cumsum(size), END), size + 1)
+            logs, known, ends_at, lo = np.log10(count + 1), (count > 0).astype(np.int64), np.cumsum(sizes), 0
+            while lo < len(ids):
+                start = ends_at[lo] - sizes[lo]
+                hi = min(max(lo + 1, int(np.searchsorted(ends_at, start + _AT_ONCE, side="right"))), lo + 2000)
+                size, part = sizes[lo:hi], codes[start : ends_at[hi - 1]]
+                b = np.cumsum(size)
+
+                def sums(values: np.ndarray) -> np.ndarray:
+                    so_far = np.concatenate([np.zeros(1, values.dtype), np.cumsum(values)])
+                    return so_far[b] - so_far[b - size]
+
+                given = sums(logs[part]) + np.log10(ends + 1)
+                score = model.score(np.insert(class_[part], b, END), size + 1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[part], pa.int64()), pa.array(held[part], pa.bool_()), pa.array(size + 1), pa.array(known[b] - known[a] + (ends > 0)), pa.array(given), pa.array(given + score)],
+                    [pa.array(ids[lo:hi], pa.int64()), pa.array(held[lo:hi], pa.bool_()), pa.array(size + 1), pa.array(sums(known[part]) + (ends > 0)), pa.array(given), pa.array(given + score)],
                     schema=_SCORED_ARROW,
                 )
+                lo = hi
 
     return _answered(blocks, found, "c", "class").mapInArrow(run, _SCORED)
 
@@ -503,7 +509,7 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fol
     different = np.array([min(ends, 1), others[1] or 0, *(r.words for r in items)], float)
     vocabulary = int(different.sum())
 
-    of = exchange(_pairs(blocks, words.join(F.broadcast(number), "key", "left").select("block", "code", F.coalesce("item", F.lit(REST)).alias("item")), len(tokens)), classes, rounds)
+    of = exchange(_pairs(blocks, words.filter("c > 0").join(F.broadcast(number), "key", "left").select("block", "code", F.coalesce("item", F.lit(REST)).alias("item")), len(tokens)), classes, rounds)
     k = int(of.max()) + 1
     begun = docs.sparkSession.createDataFrame([(r.key, int(of[i + 2])) for i, r in enumerate(items)], "key string, class int")
     start = settle(words.join(F.broadcast(begun), "key", "left").select("block", "code", "id", "c", "first", F.coalesce("class", F.lit(int(of[REST]))).alias("class")))
