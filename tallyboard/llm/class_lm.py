@@ -110,6 +110,7 @@ def encode(docs: DataFrame, doc_id: str, text: str, fold: tuple[int, int], block
                     number, block = number + 1, _Block()
         if block.ids:
             yield block.close(number)
+        pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), (remainder(F.col(doc_id), fold[0]) == fold[1]).alias("held"), utf8(F.col(text)).alias("body"))
     return rows.mapInArrow(build, _BLOCK)
@@ -269,6 +270,7 @@ def _read(batches: Iterator[pa.RecordBatch], *columns: str, first: str = "block"
                 if len(at):
                     values[at] = answers.field(c).to_numpy()
             yield ids, np.array(held, bool), np.array(sizes, np.int64), _unsqueeze(batch.column("codes")[row].as_py()).astype(np.int64), by_code
+    pa.default_memory_pool().release_unused()  # idle workers stay, and would hold it through later stages
 
 
 def _training(codes: np.ndarray, held: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
