@@ -181,6 +181,7 @@ def scan_secrets(docs: DataFrame, labels: DataFrame | None = None, doc_id: str =
         scored = featured.withColumn("score", F.lit(kinds[0] if kinds else 0.0))
     else:
         training = settle(assembler.transform(chosen.orderBy("value")).select("features", "label", "weight").coalesce(1))
-        forest = RandomForestClassifier(weightCol="weight", numTrees=TREES, maxDepth=DEPTH, seed=SEED).fit(training)
+        # The copy has no training summary, whose session does not go to the tasks once it has observed a frame.
+        forest = RandomForestClassifier(weightCol="weight", numTrees=TREES, maxDepth=DEPTH, seed=SEED).fit(training).copy()
         scored = forest.transform(assembler.transform(featured)).withColumn("score", vector_to_array("probability")[1])
     return scored.select("doc_id", "start", F.length("value").alias("length"), "kind", F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"), "score", (F.col("score") >= DECISION).alias("is_secret"))

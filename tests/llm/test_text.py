@@ -311,6 +311,14 @@ def test_secrets_from_given_labels(spark, odd):
     assert np.mean([r.is_secret == (r.length == 16) for r in other]) > 0.95
 
 
+def test_forest_goes_to_tasks(spark):
+    """A session that has observed a frame cannot be sent to tasks, so the forest must not hold it."""
+    rows = [(i, f"password={zlib.crc32(str(i).encode()):08x}Xy{i:04d} or 10.0.{i}.77 mail{i}@example.com", "s") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    scored = secret_scan.scan_secrets(docs).select("score").collect()
+    assert len({r.score for r in scored}) > 1
+
+
 def test_pipeline(spark, docs):
     kept = docs
     for name, stage in corpus_pipeline.STAGES:
