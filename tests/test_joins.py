@@ -47,6 +47,25 @@ def test_spread_left_join_does_not_pile_up_rows_that_cannot_match(skewed, spark)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+def test_a_code_that_most_rows_share_is_dealt_over_tasks(skewed, spark, rows):
+    """Known to the list or not, and several rows of the list for it."""
+    other = spark.sql("SELECT * FROM VALUES ('k7', 2), ('k7', 3) AS t(k, v)")
+    plain = joins.spread_left_join(skewed, other, ["k"])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        dealt = joins.spread_left_join(skewed, other, ["k"], copies=joins.COPIES)
+        sizes = [r[1] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+        assert rows(dealt) == rows(plain)
+        assert max(sizes) < 900
+        known = joins.spread_left_join(skewed, spark.sql("SELECT 'hot' AS k, 1 AS v"), ["k"], copies=joins.COPIES)
+        assert known.filter("v = 1").count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_a_large_lookup_is_split_at_its_hot_key(spark):
     changed = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
