@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tallyboard.operators import elements, metrics
+from tallyboard.operators import dimensions, elements, metrics
 
 DEFS = "Metric_ID string, Metric_Type string, Numerator_Element string, Denominator_Element string"
 
@@ -50,3 +50,39 @@ def test_rollup_is_the_same_where_dimensions_are_not_copied(spark, rows, monkeyp
     assert rows(copied) == rows(dealt)
     total = lambda level: copied.filter(f"Level = '{level}' AND Aggregation_Source = 'Provider'").agg(F.sum("Numerator")).first()[0]
     assert total("ICB") == total("National") + copied.filter("Level = 'Provider' AND Org_Code = 'p0'").agg(F.sum("Numerator")).first()[0]
+
+
+ROLL_DEFS = [("M1", "Proportion", "1", "2"), ("M2", "Count", "3", None), ("M3", "Proportion", "2", "2"), ("M1", "Proportion", "3", "1"), (None, "Count", "9", None)]
+
+
+def _dimensions(spark):
+    providers = spark.createDataFrame([("p0", "N1", "R1"), ("p1", None, "R2"), (None, "N3", "R3")], "ODS_Code string, ICB_Code string, Region_Code string")
+    commissioners = spark.createDataFrame([("c1", "N1", "R1"), ("c2", "N2", None)], "Organisation_Code string, ICB_Code string, Region_Code string")
+    return providers, commissioners
+
+
+def test_metrics_side_by_side_are_those_that_are_joined(spark, rows, monkeypatch):
+    defs = spark.createDataFrame(ROLL_DEFS, DEFS)
+    long = elements.breakdowns_long(_counts(spark).withColumn("Value", F.nullif("Value", F.lit(6))), groups=["Age"])
+    parts = elements.assemble_elements(long, long.filter("Element_ID = '001'").withColumn("Element_ID", F.lit("1.0")))
+    packed = metrics.ratio_metrics(parts, defs)
+    rolled = metrics.hierarchy_rollup(packed, *_dimensions(spark))
+    assert metrics.packed_form(packed) and metrics.packed_form(rolled)
+    monkeypatch.setattr(metrics, "PACKED_METRICS", 0)
+    joined = metrics.ratio_metrics(parts, defs)
+    assert metrics.packed_form(joined) is None
+    assert rows(packed) == rows(joined)
+    assert rows(rolled) == rows(metrics.hierarchy_rollup(joined, *_dimensions(spark)))
+
+
+def test_names_are_joined_to_a_group_once(spark, rows, monkeypatch, no_broadcast):
+    defs = spark.createDataFrame(ROLL_DEFS, DEFS)
+    made = metrics.ratio_metrics(elements.breakdowns_long(_counts(spark), groups=["Age"]), defs)
+    rolled = metrics.hierarchy_rollup(made, *_dimensions(spark))
+    dims = spark.createDataFrame([("Provider", "p0", "a"), ("Provider", "p0", "b"), ("ICB", "N1", "c"), ("National", "ENG", "d")], "Level string, Org_Code string, Org_Name string")
+    copied = rows(dimensions.decorate_by_level(rolled, dims))
+    monkeypatch.setattr(dimensions, "fits", lambda df, rows=0: False)
+    named = dimensions.decorate_by_level(rolled, dims)
+    assert rows(named) == copied
+    plan = named._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate inline") < plan.index("Join LeftOuter")  # metrics become rows after the join
