@@ -86,3 +86,14 @@ def test_names_are_joined_to_a_group_once(spark, rows, monkeypatch, no_broadcast
     assert rows(named) == copied
     plan = named._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate inline") < plan.index("Join LeftOuter")  # metrics become rows after the join
+
+
+def test_only_cells_that_a_band_ends_in_are_ordered(spark, rows):
+    made = [(f"g{i % 3}" if i % 5 else None, f"o{i // 2}" if i % 11 else None, None if i % 4 == 0 else (i % 3) / 2) for i in range(600)]
+    df = spark.createDataFrame([*made, ("one", "o", 1.0), ("two", "o", None), ("two", "p", -0.0)], "g string, org string, r double")
+    plain = rows(metrics.quantile_bands(df, ["g"], "r", "org"))
+    cells = metrics.quantile_bands(df, ["g"], "r", "org", group_rows=10)
+    assert rows(cells) == plain
+    assert rows(metrics.quantile_bands(df, ["g"], "r", "org", n=7, group_rows=10)) == rows(metrics.quantile_bands(df, ["g"], "r", "org", n=7))
+    assert cells._jdf.queryExecution().optimizedPlan().toString().count("Window [row_number") == 1
+    assert "Union" in cells._jdf.queryExecution().optimizedPlan().toString()
