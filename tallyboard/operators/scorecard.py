@@ -353,14 +353,14 @@ def scorecard_long(
         for label, kind, column, test, limit in checks
     ]
     entries.append(entry(score, "Count", F.col("Count_Passes"), grade_of()))
-    cell = ["Reporting_Period", "Org_Code", "Organisation_Name", "Setting_Type"]
-    rows = wide.select(
-        *cell, F.col("Region_Code").alias("_region"), F.col("ICB_Code").alias("_icb"), F.inline(F.array(*entries))
-    )
     regions = region.select(
         F.col("Region_Code").alias("_code"), "Region_Code", F.col("Region").alias("Region_Name")
     )
     icbs = icb.select(F.col("ICB_Code").alias("_code"), "ICB_Code", "ICB_Name")
+    # A cell is looked up once, before it becomes a row per measure.
+    rows = wide.withColumnsRenamed({"Region_Code": "_region", "ICB_Code": "_icb"})
     rows = lookup_join(rows, regions, {"_region": "_code"})
     rows = lookup_join(rows, icbs, {"_icb": "_code"})
-    return conform(rows, SCORECARD)
+    cell = ["Reporting_Period", "Org_Code", "Organisation_Name", "Setting_Type"]
+    names = ["Region_Code", "Region_Name", "ICB_Code", "ICB_Name"]
+    return conform(rows.select(*cell, *names, F.inline(F.array(*entries))), SCORECARD)
