@@ -16,7 +16,7 @@ from ..functions.columns import (
     ratio,
     suppress_and_round,
 )
-from ..functions.joins import lookup_join, product, spread_left_join
+from ..functions.joins import crowded_classes, in_classes, lookup_join, product, spread_left_join
 
 
 def expected_submissions(xref: DataFrame) -> DataFrame:
@@ -115,11 +115,12 @@ def score_setting(setting: str = "SETTING_TYPE", activity: str = "ACTIVITY_TYPE"
     return code_pair_label(F.col(setting), F.col(activity), spec.SCORE_SETTINGS)
 
 
-def link_keys(sources: Mapping[str, tuple[DataFrame, str, str]]) -> DataFrame:
+def link_keys(sources: Mapping[str, tuple[DataFrame, str, str]], distinct: bool = True) -> DataFrame:
     """Distinct (setting code, organisation, upper-cased key) over all activity sources.
 
     ``sources`` maps a setting code to the source, its organisation and its key column.
-    Upper-casing comes first, so spellings of one key cannot repeat a record.
+    Upper-casing comes first, so spellings of one key cannot repeat a record. Without
+    ``distinct`` keys repeat, for :func:`record_quality_profile`, which deals them first.
     """
     parts = [
         df.select(F.lit(code).alias("_code"), F.col(org).alias("_org"), F.upper(key).alias("_key"))
@@ -128,7 +129,56 @@ def link_keys(sources: Mapping[str, tuple[DataFrame, str, str]]) -> DataFrame:
     union = parts[0]
     for part in parts[1:]:
         union = union.unionByName(part)
-    return union.dropna().distinct()
+    return union.dropna().distinct() if distinct else union.dropna()
+
+
+_CELL = ["Reporting_Period", "ODS_CODE", "ODS_Name", "Setting_Type"]
+
+
+def _counted_by_org(rows: DataFrame, links: DataFrame, counts: Sequence[str]) -> DataFrame:
+    """Counts per cell of organisations that are no task's burden: rows are dealt by organisation, once.
+
+    Its records, its link keys and its persons then lie together, and a record is linked
+    where a window over its key holds a link.
+    """
+    known = links.select(F.col("_org").alias("ODS_CODE"), "_code", "_key", F.lit(1).alias("_link"))
+    together = rows.withColumn("_link", F.lit(0)).unionByName(known, allowMissingColumns=True).repartition("ODS_CODE")
+    # The digest first, which most comparisons of the sort end at.
+    same = Window.partitionBy("_digest", "ODS_CODE", "_code", "_key")
+    placed = together.withColumn("_digest", F.xxhash64("ODS_CODE", "_code", "_key"))
+    marked = placed.withColumn("_linked", F.max("_link").over(same)).filter("_link = 0")
+    return marked.groupBy(*_CELL).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.sum("_linked").alias("_linked"),
+        *[count_if(F.bit_get(F.col("_marks"), F.lit(i)) == 1).alias(c) for i, c in enumerate(counts)],
+        F.countDistinct("_person").alias("_persons"),
+    )
+
+
+def _counted_by_key(rows: DataFrame, links: DataFrame, counts: Sequence[str]) -> DataFrame:
+    """The same counts where one organisation may hold most rows.
+
+    Records are counted per key before they are joined to the links, which leaves a key
+    that a third of all records share with a handful of rows. Persons are counted in a
+    shuffle by person.
+    """
+    per_key = rows.groupBy(*_CELL, "_code", "_key").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[count_if(F.bit_get(F.col("_marks"), F.lit(i)) == 1).alias(c) for i, c in enumerate(counts)],
+    )
+    known = links.distinct().withColumn("_linked", F.lit(1))
+    linked = spread_left_join(per_key.withColumn("_org", F.col("ODS_CODE")), known, ["_code", "_org", "_key"])
+    sums = linked.groupBy(*_CELL).agg(
+        F.sum("_rows").alias("_rows"),
+        F.sum(F.when(F.col("_linked") == 1, F.col("_rows")).otherwise(0)).alias("_linked"),
+        *[F.sum(c).alias(c) for c in counts],
+        F.lit(0).cast("bigint").alias("_persons"),
+    )
+    persons = rows.groupBy(*_CELL).agg(F.countDistinct("_person").alias("_persons"))
+    # Both sides hold one row per group; adding them needs no null-safe join.
+    return sums.unionByName(persons, allowMissingColumns=True).groupBy(*_CELL).agg(
+        *[F.sum(c).alias(c) for c in ["_rows", "_linked", *counts, "_persons"]]
+    )
 
 
 def record_quality_profile(
@@ -137,11 +187,10 @@ def record_quality_profile(
     """Volumes and rates of the records per month, organisation and setting.
 
     A record links to the one source of its own setting, so a single join on
-    (setting, organisation, key) decides it. Records are counted per key before that
-    join, which leaves a key that a third of all records share with a handful of
-    rows. Distinct persons are counted exactly, in a shuffle by person.
+    (setting, organisation, key) decides it; ``links`` may repeat. Records and links are
+    dealt by organisation, which every count is within. Organisations that are measured
+    to crowd are counted per key and per person instead. Distinct persons are exact.
     """
-    group = ["Reporting_Period", "ODS_CODE", "ODS_Name", "Setting_Type"]
     label = score_setting()
     plan, seen = F.col("TOBACCODEPENDENCE_CAREPLAN"), F.col("SEEN_INHOUSE") == "Y"
     followed = plan.isin(spec.FOLLOW_UP_PLANS)
@@ -161,6 +210,8 @@ def record_quality_profile(
         "_lost": followed & (F.col("OUTCOME_AT28DAYS") == spec.LOST_TO_FOLLOW_UP),
         "_aged": in_range,
     }
+    # The tests' outcomes travel as the bits of one number.
+    marks = sum((F.when(test, 1 << i).otherwise(0) for i, test in enumerate(counts.values())), F.lit(0))
     rows = records.select(
         period_month(F.col("REPORTING_PERIOD")).alias("Reporting_Period"),
         "ODS_CODE",
@@ -169,27 +220,19 @@ def record_quality_profile(
         F.col("SETTING_TYPE").alias("_code"),
         key.alias("_key"),
         F.col(person).alias("_person"),
-        *[test.alias(name) for name, test in counts.items()],
+        marks.alias("_marks"),
     )
 
-    per_key = rows.groupBy(*group, "_code", "_key").agg(
-        F.count(F.lit(1)).alias("_rows"), *[count_if(F.col(c)).alias(c) for c in counts]
-    )
-    known = links.withColumn("_linked", F.lit(1))
-    linked = spread_left_join(per_key.withColumn("_org", F.col("ODS_CODE")), known, ["_code", "_org", "_key"])
-    sums = linked.groupBy(*group).agg(
-        F.sum("_rows").alias("_rows"),
-        F.sum(F.when(F.col("_linked") == 1, F.col("_rows")).otherwise(0)).alias("_linked"),
-        *[F.sum(c).alias(c) for c in counts],
-        F.lit(0).cast("bigint").alias("_persons"),
-    )
-    persons = rows.groupBy(*group).agg(F.countDistinct("_person").alias("_persons"))
-    # Both sides hold one row per group; adding them needs no null-safe join.
-    both = sums.unionByName(persons, allowMissingColumns=True).groupBy(*group).agg(
-        *[F.sum(c).alias(c) for c in ["_rows", "_linked", "_persons", *counts]]
-    )
+    crowd = crowded_classes((rows, "ODS_CODE"), (links, "_org"))
+    if crowd:
+        here, there = in_classes("ODS_CODE", crowd), in_classes("_org", crowd)
+        most = _counted_by_org(rows.filter(~here), links.filter(~there), list(counts))
+        rest = _counted_by_key(rows.filter(here), links.filter(there), list(counts))
+        both = most.unionByName(rest)
+    else:
+        both = _counted_by_org(rows, links, list(counts))
     parents = providers.select(F.col("ODS_Code").alias("_org"), "Region_Code", "ICB_Code").distinct()
-    placed = lookup_join(both, parents, {"ODS_CODE": "_org"})
+    placed = lookup_join(both, parents, {"ODS_CODE": "_org"}, dealt="ODS_CODE")
 
     def rate(a: str, b: str) -> Column:
         return ratio(F.col(a), F.col(b), 2)

@@ -3,7 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tallyboard.operators import dimensions, elements, metrics
+from tallyboard.functions import joins
+from tallyboard.functions.columns import period_month
+from tallyboard.operators import dimensions, elements, metrics, scorecard
 
 DEFS = "Metric_ID string, Metric_Type string, Numerator_Element string, Denominator_Element string"
 
@@ -97,3 +99,41 @@ def test_only_cells_that_a_band_ends_in_are_ordered(spark, rows):
     assert rows(metrics.quantile_bands(df, ["g"], "r", "org", n=7, group_rows=10)) == rows(metrics.quantile_bands(df, ["g"], "r", "org", n=7))
     assert cells._jdf.queryExecution().optimizedPlan().toString().count("Window [row_number") == 1
     assert "Union" in cells._jdf.queryExecution().optimizedPlan().toString()
+
+
+RECORD = "REPORTING_PERIOD ODS_CODE ODS_Name SETTING_TYPE ACTIVITY_TYPE HOSPITAL_SPELL_ID PREGNANCY_ID SMOKINGSTATUS SEEN_INHOUSE TOBACCODEPENDENCE_CAREPLAN INHOUSE_REFERRAL OUTCOME_AT28DAYS Der_Age_at_CDS_Activity_Date Person".split()
+LINK = "_code string, _org string, _key string"
+MONTHS = ["P-08-2022", "P-09-2022", None]
+
+
+def _records(spark):
+    def pick(values, i):
+        return values[i % len(values)]
+
+    made = [
+        (
+            pick(MONTHS, i), pick(["a", "b", "a", "c", None], i), pick(["n", None, "m"], i // 2), pick(["1", "2", "3", None], i), pick(["1", "3"], i // 3),
+            pick([None, "k1", "K1", f"s{i}"], i // 3), pick(["p1", None, f"p{i}"], i), pick(["1", None, "2"], i), pick(["Y", "N", None], i // 2),
+            pick(["20", None, "10"], i), pick(["Y", "N"], i), pick(["4", "1"], i // 2), pick(["9", "30", "200", None], i), pick(["x", "y", None, f"z{i}"], i),
+        )
+        for i in range(400)
+    ]
+    links = [(code, org, key) for code in "123" for org in "ac" for key in ("K1", "P1", "S7", "P6")] * 2 + [("1", None, "K1"), ("2", "b", "S9")]
+    return spark.createDataFrame(made, ", ".join(f"{c} string" for c in RECORD)), spark.createDataFrame(links[:-2], LINK).unionByName(spark.createDataFrame(links[-2:], LINK).dropna())
+
+
+def test_profile_shuffles_a_record_once(spark, rows, monkeypatch, no_broadcast):
+    records, links = _records(spark)
+    providers = spark.createDataFrame([("a", "R1", "I1"), ("a", "R1", "I2"), ("c", "R2", None)], "ODS_Code string, Region_Code string, ICB_Code string")
+    profile = lambda: scorecard.record_quality_profile(records, links, providers, "Person")
+    dealt = profile()
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") == 1
+    assert plan.split("REPARTITION_BY_COL")[0].count("ENSURE_REQUIREMENTS") == 0  # nothing is dealt again above it
+    crowds = []
+    for rows_each in (150, 0):  # organisations over their share, then every one, are counted per key
+        monkeypatch.setattr(scorecard, "crowded_classes", lambda *parts, n=rows_each: crowds.append(joins.crowded_classes(*parts, rows=n)) or crowds[-1])
+        assert rows(profile()) == rows(dealt)
+    assert 0 < len(crowds[0]) < len(crowds[1]) and -1 in crowds[1]
+    plain = records.groupBy(F.col("ODS_CODE"), F.col("ODS_Name")).agg(F.count("*").alias("n"), F.countDistinct("Person").alias("p"))
+    assert dealt.filter("ICB_Code is null or ICB_Code != 'I2'").agg(F.sum("Count_Records")).first()[0] == plain.agg(F.sum("n")).first()[0]
