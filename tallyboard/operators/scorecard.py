@@ -16,7 +16,7 @@ from ..functions.columns import (
     ratio,
     suppress_and_round,
 )
-from ..functions.joins import crowded_classes, in_classes, lookup_join, product, spread_left_join
+from ..functions.joins import crowded_classes, in_classes, join_within, lookup_join, product, spread_left_join
 
 
 def expected_submissions(xref: DataFrame) -> DataFrame:
@@ -270,7 +270,7 @@ def lagged_rolling_rate(totals: DataFrame, activity: DataFrame, months: int = 12
         "Activity",
         F.avg("Activity").over(recent).alias("_average"),
     )
-    joined = totals.join(rolled, ["Reporting_Period", "ODS_Code", "Setting_Type"], "left")
+    joined = join_within(totals, rolled, ["ODS_Code", "Reporting_Period"], "Setting_Type")
     return joined.select(
         "ODS_Code",
         "Reporting_Period",
@@ -282,13 +282,40 @@ def lagged_rolling_rate(totals: DataFrame, activity: DataFrame, months: int = 12
 
 
 def prevalence_rate(records: DataFrame, totals: DataFrame) -> DataFrame:
-    """Records with the current status over the aggregate total of their group."""
-    counts = records.groupBy(
-        period_month(F.col("REPORTING_PERIOD")).alias("Reporting_Period"),
-        F.col("ODS_CODE").alias("ODS_Code"),
-        score_setting().alias("Setting_Type"),
-    ).agg(count_if(F.col("SMOKINGSTATUS") == spec.CURRENT_STATUS).alias("Count_Smokers"))
-    joined = counts.join(totals, ["Reporting_Period", "ODS_Code", "Setting_Type"], "left")
+    """Records with the current status over the aggregate total of their group.
+
+    The settings of a month and organisation are counted side by side, so that the
+    groups are dealt as the totals are.
+    """
+    label, current = score_setting(), F.col("SMOKINGSTATUS") == spec.CURRENT_STATUS
+    settings = {name: label == name for *_, name in spec.SCORE_SETTINGS} | {None: label.isNull()}
+    counts = (
+        records.groupBy(
+            F.col("ODS_CODE").alias("ODS_Code"), period_month(F.col("REPORTING_PERIOD")).alias("Reporting_Period")
+        )
+        .agg(
+            *[F.max(F.when(mine, 1)).alias(f"_any_{i}") for i, mine in enumerate(settings.values())],
+            *[count_if(mine & current).alias(f"_count_{i}") for i, mine in enumerate(settings.values())],
+        )
+        .select(
+            "Reporting_Period",
+            "ODS_Code",
+            F.inline(
+                F.array_compact(
+                    F.array(
+                        *[
+                            F.when(
+                                F.col(f"_any_{i}") == 1,
+                                F.struct(F.lit(name).cast("string").alias("Setting_Type"), F.col(f"_count_{i}").alias("Count_Smokers")),
+                            )
+                            for i, name in enumerate(settings)
+                        ]
+                    )
+                )
+            ),
+        )
+    )
+    joined = join_within(counts, totals, ["ODS_Code", "Reporting_Period"], "Setting_Type")
     return joined.select(
         "ODS_Code",
         "Setting_Type",
@@ -316,10 +343,11 @@ def scorecard_wide(
 ) -> DataFrame:
     """All measures of every grid cell and how many of the checks it passes.
 
-    Every side is already aggregated. A missing measure is a failed check.
+    Every side is already aggregated. A missing measure is a failed check. All sides are
+    dealt by month and organisation, so the grid is dealt once.
     """
     by_setting = ["Reporting_Period", "Org_Code", "Setting_Type"]
-    by_org = by_setting[:2]
+    by_org = ["Org_Code", "Reporting_Period"]
     sent = submissions.select(
         "Reporting_Period",
         F.col("OrganisationCode").alias("Org_Code"),
@@ -335,7 +363,8 @@ def scorecard_wide(
     ]
     wide = grid.join(prior, by_org, "left").join(sent, by_org, "left")
     for side in (measured, summary, *rates):
-        wide = wide.join(side, by_setting, "left")
+        wide = join_within(wide, side, by_org, "Setting_Type")
+    wide = wide.select(*by_setting, *[c for c in wide.columns if c not in by_setting])
     score = sum(
         (F.when(_passes(c, test, limit), 1).otherwise(0) for _, _, c, test, limit in checks), F.lit(0)
     )

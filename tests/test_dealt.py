@@ -137,3 +137,23 @@ def test_profile_shuffles_a_record_once(spark, rows, monkeypatch, no_broadcast):
     assert 0 < len(crowds[0]) < len(crowds[1]) and -1 in crowds[1]
     plain = records.groupBy(F.col("ODS_CODE"), F.col("ODS_Name")).agg(F.count("*").alias("n"), F.countDistinct("Person").alias("p"))
     assert dealt.filter("ICB_Code is null or ICB_Code != 'I2'").agg(F.sum("Count_Records")).first()[0] == plain.agg(F.sum("n")).first()[0]
+
+
+def test_sides_of_the_scorecard_are_dealt_once(spark, rows, no_broadcast):
+    records, _ = _records(spark)
+    totals = scorecard.setting_totals(
+        records.select(F.col("REPORTING_PERIOD").alias("p"), F.col("ODS_CODE").alias("ODS_Code"), F.lit("2").alias("m")),
+        {"Physical Acute": ["m"], "Maternity": ["m", "m"], "Adult Mental Health": []}, period_month(F.col("p")),
+    )
+    got = scorecard.prevalence_rate(records, totals)
+    counts = records.groupBy(period_month(F.col("REPORTING_PERIOD")).alias("Reporting_Period"), F.col("ODS_CODE").alias("ODS_Code"), scorecard.score_setting().alias("Setting_Type"))
+    plain = counts.agg(F.count_if(F.col("SMOKINGSTATUS") == "1").alias("Count_Smokers")).join(totals, ["Reporting_Period", "ODS_Code", "Setting_Type"], "left")
+    shown = ["ODS_Code", "Setting_Type", "Reporting_Period", "Count_Smokers", "Value"]
+    assert rows(got, *shown) == rows(plain, *shown)
+    twice = totals.unionByName(totals.withColumn("Value", F.col("Value") + 1))
+    by_all = ["Reporting_Period", "ODS_Code", "Setting_Type"]
+    joined = joins.join_within(totals, twice.withColumnRenamed("Value", "other"), by_all[:2], "Setting_Type")
+    assert rows(joined, *by_all, "Value", "other") == rows(totals.join(twice.withColumnRenamed("Value", "other"), by_all, "left"), *by_all, "Value", "other")
+    again = joins.join_within(joined, totals.withColumnRenamed("Value", "third"), by_all[:2], "Setting_Type")
+    left = again._jdf.queryExecution().executedPlan().toString().split("+- Sort")[0]
+    assert "Exchange" not in left  # the first join's rows are not dealt again
