@@ -157,3 +157,38 @@ def test_sides_of_the_scorecard_are_dealt_once(spark, rows, no_broadcast):
     again = joins.join_within(joined, totals.withColumnRenamed("Value", "third"), by_all[:2], "Setting_Type")
     left = again._jdf.queryExecution().executedPlan().toString().split("+- Sort")[0]
     assert "Exchange" not in left  # the first join's rows are not dealt again
+
+
+def test_grid_is_dealt_once(spark, no_broadcast):
+    grid = spark.createDataFrame([("2022-08-01", "a", "n", "R", "I", "Maternity")], "m string, Org_Code string, Organisation_Name string, Region_Code string, ICB_Code string, Setting_Type string")
+    grid = grid.select(F.col("m").cast("date").alias("Reporting_Period"), *grid.columns[1:])
+    records, links = _records(spark)
+    sent = spark.createDataFrame([("P-08-2022", "a", "Complete")], "ReportingPeriod string, OrganisationCode string, StatusofSubmission string")
+    sent = scorecard.complete_submissions(sent)
+    totals = grid.select("Reporting_Period", F.col("Org_Code").alias("ODS_Code"), "Setting_Type", F.lit(9.0).alias("Value"))
+    activity = grid.select(F.col("Setting_Type").alias("Source"), "Org_Code", F.add_months("Reporting_Period", -1).alias("Date"), F.lit(3).cast("bigint").alias("Activity"))
+    providers = spark.createDataFrame([("a", "R1", "I1")], "ODS_Code string, Region_Code string, ICB_Code string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        graded = scorecard.grade(
+            scorecard.scorecard_wide(
+                grid,
+                scorecard.record_quality_profile(records, links, providers, "Person"),
+                totals,
+                scorecard.prior_submission_count(grid, sent),
+                sent,
+                scorecard.prevalence_rate(records, totals),
+                scorecard.lagged_rolling_rate(totals, activity),
+            )
+        )
+        node, dealt = graded._jdf.queryExecution().executedPlan(), 0
+        while node.children().size():
+            node = node.children().apply(0)
+            dealt += node.nodeName() == "Exchange"
+        assert dealt == 1
+        found = graded.select("Reporting_Period", "Org_Code", "Setting_Type", "Patient_Records", "Aggregate_Records", "Percent_Identification").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    cells = records.filter("REPORTING_PERIOD = 'P-08-2022' AND ODS_CODE = 'a' AND SETTING_TYPE = '3'").groupBy("ODS_Name").count().collect()
+    assert sorted(r.Patient_Records for r in found) == sorted(r["count"] for r in cells)
+    assert {(r.Aggregate_Records, r.Percent_Identification) for r in found} == {(9.0, 3.0)}
