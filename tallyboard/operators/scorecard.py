@@ -100,9 +100,8 @@ def setting_totals(
     """Aggregate counts per month, organisation and setting; null counts as 0."""
 
     def total(columns: Sequence[str]) -> Column:
-        return sum(
-            (F.sum(F.coalesce(F.col(c).try_cast("double"), F.lit(0.0))) for c in columns), F.lit(0.0)
-        )
+        # A row's columns are added first, so that one sum per setting is shuffled.
+        return F.sum(sum((F.coalesce(F.col(c).try_cast("double"), F.lit(0.0)) for c in columns), F.lit(0.0)))
 
     sums = agg.groupBy(date.alias("Reporting_Period"), F.col(org).alias("ODS_Code")).agg(
         *[total(columns).alias(setting) for setting, columns in mapping.items()]
@@ -141,12 +140,14 @@ def _counted_by_org(rows: DataFrame, links: DataFrame, counts: Sequence[str]) ->
     Its records, its link keys and its persons then lie together, and a record is linked
     where a window over its key holds a link.
     """
-    known = links.select(F.col("_org").alias("ODS_CODE"), "_code", "_key", F.lit(1).alias("_link"))
-    together = rows.withColumn("_link", F.lit(0)).unionByName(known, allowMissingColumns=True).repartition("ODS_CODE")
+    known = links.select(F.col("_org").alias("ODS_CODE"), "_code", "_key")
+    # Only links are without marks.
+    together = rows.unionByName(known, allowMissingColumns=True).repartition("ODS_CODE")
     # The digest first, which most comparisons of the sort end at.
     same = Window.partitionBy("_digest", "ODS_CODE", "_code", "_key")
     placed = together.withColumn("_digest", F.xxhash64("ODS_CODE", "_code", "_key"))
-    marked = placed.withColumn("_linked", F.max("_link").over(same)).filter("_link = 0")
+    link = F.col("_marks").isNull().cast("int")
+    marked = placed.withColumn("_linked", F.max(link).over(same)).filter("_marks IS NOT NULL")
     return marked.groupBy(*_CELL).agg(
         F.count(F.lit(1)).alias("_rows"),
         F.sum("_linked").alias("_linked"),
@@ -294,8 +295,8 @@ def prevalence_rate(records: DataFrame, totals: DataFrame) -> DataFrame:
             F.col("ODS_CODE").alias("ODS_Code"), period_month(F.col("REPORTING_PERIOD")).alias("Reporting_Period")
         )
         .agg(
-            *[F.max(F.when(mine, 1)).alias(f"_any_{i}") for i, mine in enumerate(settings.values())],
-            *[count_if(mine & current).alias(f"_count_{i}") for i, mine in enumerate(settings.values())],
+            # Null where the group has no record of the setting.
+            *[F.sum(F.when(mine, F.when(current, 1).otherwise(0))).alias(f"_count_{i}") for i, mine in enumerate(settings.values())],
         )
         .select(
             "Reporting_Period",
@@ -305,7 +306,7 @@ def prevalence_rate(records: DataFrame, totals: DataFrame) -> DataFrame:
                     F.array(
                         *[
                             F.when(
-                                F.col(f"_any_{i}") == 1,
+                                F.col(f"_count_{i}").isNotNull(),
                                 F.struct(F.lit(name).cast("string").alias("Setting_Type"), F.col(f"_count_{i}").alias("Count_Smokers")),
                             )
                             for i, name in enumerate(settings)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tallyboard.functions import joins
 from tallyboard.functions.columns import period_month
 from tallyboard.operators import dimensions, elements, metrics, scorecard
+from tallyboard.workload import score
 
 DEFS = "Metric_ID string, Metric_Type string, Numerator_Element string, Denominator_Element string"
 
@@ -192,3 +193,62 @@ def test_grid_is_dealt_once(spark, no_broadcast):
     cells = records.filter("REPORTING_PERIOD = 'P-08-2022' AND ODS_CODE = 'a' AND SETTING_TYPE = '3'").groupBy("ODS_Name").count().collect()
     assert sorted(r.Patient_Records for r in found) == sorted(r["count"] for r in cells)
     assert {(r.Aggregate_Records, r.Percent_Identification) for r in found} == {(9.0, 3.0)}
+
+
+@pytest.fixture
+def lines(spark, tmp_path):
+    """A folder with the tables that the scorecard reads."""
+    made = [
+        (i // 4, i % 9, i % 3, i % 7 + 1, float(i % 50), (i % 11) / 100, (i % 8) / 100, "ANR"[i % 3], "OF"[i // 3 % 2], f"199{6 + i % 2}-0{i % 5 + 1}-11")
+        for i in range(200)
+    ]
+    schema = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate string"
+    tables = {
+        "lineitem": spark.createDataFrame(made, schema).withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp")),
+        "orders": spark.createDataFrame([(i, i % 6, "FPO"[i % 3]) for i in range(50)], "o_orderkey long, o_custkey long, o_orderstatus string").withColumn("o_orderpriority", F.lit("1-URGENT")),
+        "supplier": spark.createDataFrame([(i, f"S{i}", i, 900.0) for i in range(3)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"),
+        "nation": spark.createDataFrame([(i, f"N{i}", 0) for i in range(3)], "n_nationkey int, n_name string, n_regionkey int"),
+        "region": spark.createDataFrame([(0, "R")], "r_regionkey int, r_name string"),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_totals_are_dealt_once_for_all_their_joins(spark, lines, no_broadcast):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        graded = score.grade(spark, lines)
+        plan = graded._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum("ReusedExchange" in line and "Value#" in line for line in plan.splitlines()) == 2
+
+
+def test_totals_shuffle_one_sum_per_setting(spark, rows):
+    made = [("m1", "a", "1", "2.5", None), ("m1", "a", None, "x", "4"), ("m1", None, None, None, None), (None, "b", "7", "1", "1")]
+    agg = spark.createDataFrame(made, "m string, ODS_Code string, p string, q string, r string")
+    totals = scorecard.setting_totals(agg, {"one": ["p", "q"], "two": ["q", "r"], "none": []}, F.col("m"))
+    plan = scorecard.setting_totals(agg, {"all": ["p", "q", "r"]}, F.col("m"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("partial_sum") == 1
+    found = [("m1", "a", "one", 3.5), ("m1", "a", "two", 6.5), ("m1", None, "one", 0.0), ("m1", None, "two", 0.0), (None, "b", "one", 8.0), (None, "b", "two", 2.0)]
+    found += [(m, o, "none", 0.0) for m, o in (("m1", "a"), ("m1", None), (None, "b"))]
+    assert rows(totals) == sorted(found, key=lambda r: tuple((v is not None, str(v)) for v in r))
+
+
+def test_prevalence_shuffles_one_count_per_setting(spark, rows):
+    records, _ = _records(spark)
+    totals = spark.createDataFrame([], "ODS_Code string, Reporting_Period date, Setting_Type string, Value double")
+    made = scorecard.prevalence_rate(records, totals)
+    assert made._jdf.queryExecution().executedPlan().toString().count("partial_sum") == 4
+    cell = [F.col("ODS_CODE"), scorecard.score_setting().alias("s"), period_month(F.col("REPORTING_PERIOD")).alias("p")]
+    plain = records.select(*cell, (F.coalesce("SMOKINGSTATUS", F.lit("")) == "1").cast("long").alias("n")).groupBy("ODS_CODE", "s", "p").agg(F.sum("n"))
+    assert rows(made.drop("Value", "Percent_Prevalence")) == rows(plain)
+
+
+def test_unused_keys_are_not_written(spark, lines):
+    written = score._profiled_records(spark, lines)
+    spells, bookings = F.col("HOSPITAL_SPELL_ID"), F.col("PREGNANCY_ID")
+    kept = {r.SETTING_TYPE: (r.spells, r.bookings, r.n) for r in written.groupBy("SETTING_TYPE").agg(F.count(spells).alias("spells"), F.count(bookings).alias("bookings"), F.count("*").alias("n")).collect()}
+    assert set(kept) == {"1", "2", "3", None} and kept[None][:2] == (0, 0)
+    assert kept["1"][:2] == (kept["1"][2], 0) and kept["2"][:2] == (kept["2"][2], 0) and kept["3"][:2] == (0, kept["3"][2])
