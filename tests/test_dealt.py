@@ -252,3 +252,84 @@ def test_unused_keys_are_not_written(spark, lines):
     kept = {r.SETTING_TYPE: (r.spells, r.bookings, r.n) for r in written.groupBy("SETTING_TYPE").agg(F.count(spells).alias("spells"), F.count(bookings).alias("bookings"), F.count("*").alias("n")).collect()}
     assert set(kept) == {"1", "2", "3", None} and kept[None][:2] == (0, 0)
     assert kept["1"][:2] == (kept["1"][2], 0) and kept["2"][:2] == (kept["2"][2], 0) and kept["3"][:2] == (0, kept["3"][2])
+
+
+RULES = [{"Element_ID": f"{i}", "Element_Logic": f"kind % {i + 1} = 0"} for i in (1, 2, 3)]
+
+
+def _elements(spark, together=True):
+    """Elements of records with two breakdowns, and some that no commissioner has."""
+    made = [
+        (f"r{i}" if i % 9 else None, i % 7, "2020-01-01" if i % 5 else None, f"p{i % 4}", f"c{i % 5}" if i % 6 else None, "s", "t", "m" if i % 2 else None, f"g{i % 3}")
+        for i in range(150)
+    ]
+    names = ["Date", "Provider_Code", "Commissioner_Code", "Service_Setting", "Activity_Type", "Gender", "Age"]
+    records = spark.createDataFrame(made, "RecordID string, kind int, " + ", ".join(f"_dim_{n} string" for n in names))
+    records = records.withColumn("_dim_Date", F.col("_dim_Date").cast("date"))
+    counts = elements.rule_counts(records, RULES, dims=names)
+    long = elements.breakdowns_long(counts, groups=["Gender", "Age"])
+    sums = records.groupBy(F.col("_dim_Date").alias("Date"), F.col("_dim_Provider_Code").alias("Provider_Code")).agg(F.nullif(F.sum("kind"), F.lit(3)).alias("Value"))
+    other = elements._as_total(sums, F.lit("2.0"), F.lit("s"), F.lit("t"))
+    return long, elements.assemble_elements(long, other, together=together)
+
+
+def _plain(df):
+    """The same rows as a frame that carries nothing."""
+    return df.select("*")
+
+
+def test_counts_side_by_side_give_the_same_breakdowns_and_metrics(spark, rows, no_broadcast, monkeypatch):
+    monkeypatch.setattr(elements, "TASK_ROWS", 30)
+    defs = spark.createDataFrame(ROLL_DEFS, DEFS)
+    long, together = _elements(spark)
+    form = elements.counted_form(long)
+    counts = form.unpacked(form.rows, ["Date", "Provider_Code", "Commissioner_Code", "Service_Setting", "Activity_Type", "Gender", "Age"])
+    assert rows(long) == rows(elements.breakdowns_long(_plain(counts), groups=["Gender", "Age"]))
+    made, plain = metrics.ratio_metrics(together, defs), metrics.ratio_metrics(_plain(together), defs)
+    assert rows(made) == rows(plain)
+    assert rows(metrics.hierarchy_rollup(made, *_dimensions(spark))) == rows(metrics.hierarchy_rollup(plain, *_dimensions(spark)))
+    # Rows become a row per breakdown where they are summed, and are not dealt again in between.
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Generate inline(CASE WHEN _broken" in plan
+    assert "Exchange" not in plan[: plan.index("Union")]
+
+
+def test_rollup_deals_rows_that_are_not_broken_down(spark, rows, no_broadcast, monkeypatch):
+    made = metrics.ratio_metrics(_elements(spark, together=False)[1], spark.createDataFrame(ROLL_DEFS, DEFS))
+    copied = rows(metrics.hierarchy_rollup(made, *_dimensions(spark)))
+    assert copied == rows(metrics.hierarchy_rollup(_plain(made), *_dimensions(spark)))
+    written = []
+    kept = metrics.settle
+    monkeypatch.setattr(metrics, "settle", lambda df, *how: written.append(df) or kept(df, *how))
+    monkeypatch.setattr(metrics, "fits", lambda df, rows=0: False)
+    assert rows(metrics.hierarchy_rollup(made, *_dimensions(spark))) == copied
+    plan = written[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate inline(CASE WHEN _broken") < plan.index("RepartitionByExpression")  # above it, so after it
+
+
+def test_own_rows_are_named_where_they_lie(spark, rows, no_broadcast, monkeypatch):
+    defs = spark.createDataFrame(ROLL_DEFS, DEFS)
+    made = metrics.ratio_metrics(elements.breakdowns_long(_counts(spark), groups=["Age"]), defs)
+    dims = spark.createDataFrame([("Provider", "p0", "a"), ("Provider", "p0", "b"), ("Commissioner", "c1", "e"), ("ICB", "N1", "c"), ("National", "ENG", "d")], "Level string, Org_Code string, Org_Name string")
+    copied = rows(dimensions.decorate_by_level(metrics.hierarchy_rollup(made, *_dimensions(spark)), dims))
+    for part in (metrics, dimensions):
+        monkeypatch.setattr(part, "fits", lambda df, rows=0: False)
+    rolled = metrics.hierarchy_rollup(made, *_dimensions(spark))
+    named = dimensions.decorate_by_level(rolled, dims)
+    assert rows(named) == copied
+    assert rows(dimensions.decorate_by_level(metrics.where(rolled, F.col("Date").isNotNull()), dims)) == [r for r in copied if r[1] is not None]
+    plan = named._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan
+    assert not spark.catalog.listTables()
+
+
+def test_only_the_presence_of_a_record_id_is_looked_up_with_it(spark, no_broadcast):
+    columns = "RecordID ETHNICITY LSOA_OF_RESIDENCE ACTIVITY_DATE ODS_CODE SubICB_Code SETTING_TYPE ACTIVITY_TYPE GENDER Der_Age_at_CDS_Activity_Date".split()
+    records = spark.createDataFrame([("r1", "A", "L1", None, "P", "C", "1", "1", "1", "30")], ", ".join(f"{c} string" for c in columns))
+    records = records.withColumn("ACTIVITY_DATE", F.col("ACTIVITY_DATE").cast("date"))
+    areas = spark.range(60_000).select(F.concat(F.lit("L"), "id").alias("LSOA_Code"), F.lit("2").alias("IMD_Decile"))
+    labels = spark.createDataFrame([("A", "British")], "Main_Code_Text string, Main_Description string")
+    counts = elements.rule_counts(elements.categorise(records, labels, areas), [{"Element_ID": "1", "Element_Logic": "IMD_Decile = '2'"}], dims=["Provider_Code"])
+    assert [tuple(r) for r in counts.collect()] == [("001", "P", 1)]
+    dealt = next(line for line in counts._jdf.queryExecution().optimizedPlan().toString().split("\n") if "_spread" in line and "Project" in line)
+    assert "_has_RecordID" in dealt and " RecordID" not in dealt.replace("isnotnull(RecordID", "")
