@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from tallyboard.functions import joins
 from tallyboard.functions.columns import period_month
-from tallyboard.operators import dimensions, elements, metrics, scorecard
+from tallyboard.operators import dimensions, elements, ingest, metrics, scorecard
+from tallyboard.sources.session import settle
 from tallyboard.workload import score
 
 DEFS = "Metric_ID string, Metric_Type string, Numerator_Element string, Denominator_Element string"
@@ -333,3 +334,20 @@ def test_only_the_presence_of_a_record_id_is_looked_up_with_it(spark, no_broadca
     assert [tuple(r) for r in counts.collect()] == [("001", "P", 1)]
     dealt = next(line for line in counts._jdf.queryExecution().optimizedPlan().toString().split("\n") if "_spread" in line and "Project" in line)
     assert "_has_RecordID" in dealt and " RecordID" not in dealt.replace("isnotnull(RecordID", "")
+
+
+def test_candidates_are_looked_up_once_per_set(spark, rows, no_broadcast, monkeypatch):
+    codes = ["a", "=a", "", None, "none", "b"]
+    made = [(i, codes[i % 6], codes[i // 6 % 6], codes[i // 36 % 4]) for i in range(300)]
+    df = settle(spark.createDataFrame([*made, *[(-i, "none", None, "x") for i in range(1, 60)]], "n int, x string, y string, z string"))
+    ref = spark.createDataFrame([("a",), ("a",), ("b",), ("",), (None,)], "code string")
+    plain = rows(ingest.waterfall_lookup(df, ["x", "y", "z"], ref, "code", "found"))
+    some = df.filter("n % 2 = 0")
+    for part in (ingest, joins):
+        monkeypatch.setattr(part, "fits", lambda df, rows=0: False)
+    monkeypatch.setattr(ingest, "HOT_ROWS", 50)
+    once = ingest.waterfall_lookup(some, ["x", "y", "z"], ref, "code", "found", source=df)
+    assert rows(once) == [r for r in plain if r[0] % 2 == 0]
+    assert once._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 1
+    monkeypatch.setattr(joins, "fits", lambda df, rows=0: "_hot" in df.columns)  # hot sets alone are copied
+    assert rows(ingest.waterfall_lookup(some, ["x", "y", "z"], ref, "code", "found", source=df)) == [r for r in plain if r[0] % 2 == 0]
