@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from tallyboard.functions import joins
 from tallyboard.functions.columns import period_month
-from tallyboard.operators import dimensions, elements, ingest, metrics, scorecard
+from tallyboard.contracts import DASHBOARD_METRICS
+from tallyboard.operators import dimensions, elements, ingest, metrics, publish, scorecard
 from tallyboard.sources.session import settle
 from tallyboard.workload import score
 
@@ -351,3 +352,18 @@ def test_candidates_are_looked_up_once_per_set(spark, rows, no_broadcast, monkey
     assert once._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 1
     monkeypatch.setattr(joins, "fits", lambda df, rows=0: "_hot" in df.columns)  # hot sets alone are copied
     assert rows(ingest.waterfall_lookup(some, ["x", "y", "z"], ref, "code", "found", source=df)) == [r for r in plain if r[0] % 2 == 0]
+
+
+def test_grid_writes_only_the_rows_of_its_level(spark, monkeypatch):
+    shown = {"Metric_ID": "M1", "Service_Setting": "s", "Activity_Type": "t", "Aggregation_Source": "Provider"}
+    made = [{**shown, "Level": level, "Org_Code": org, "Numerator": n} for level, org, n in [("ICB", "N1", 5), ("Provider", "p1", 10), ("Provider", "p2", 15)]]
+    published = spark.createDataFrame([tuple(r.get(f.name) for f in DASHBOARD_METRICS) for r in made], DASHBOARD_METRICS)
+    published = published.withColumn("Date", F.lit("2022-08-01").cast("date"))
+    places = spark.createDataFrame([("N1", "a", "b", "R", "c", "d"), ("N2", "a", "b", "R", "c", "d")], "ICB_Code string, ICB_Name string, ICB_Map string, Region_Code string, Region_Name string, Region_Map string")
+    texts = [f"{s}_Element_{t}" for s in ("Numerator", "Denominator") for t in ("Description", "Source", "Logic")]
+    defs = spark.createDataFrame([("M1", *["x"] * 10)], ", ".join(f"{c} string" for c in ["Metric_ID", "Metric_Name", "Metric_Category", "Metric_Type", "Metric_Setting", *texts]))
+    written, kept = [], publish.settle
+    monkeypatch.setattr(publish, "settle", lambda df: written.append(kept(df)) or written[-1])
+    dense = publish.densify_grid(published, places, defs)
+    assert sorted((r.Level, r.Org_Code, r.Numerator) for r in dense.collect()) == [("ICB", "N1", 5), ("ICB", "N2", None), ("Provider", "p1", 10), ("Provider", "p2", 15)]
+    assert [w.select("Org_Code").collect() for w in written] == [[("N1",)]]
